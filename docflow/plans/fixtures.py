@@ -1,15 +1,19 @@
 """Inputs that Spark derives from the given tables (rules in FIXTURES.md).
 
 Every rule is a projection of one table, row by row: no shuffle, no limit.
+OCR blocks are written to the shared folder on first use, as they would be
+stored in practice; the operators then read them as a columnar table.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow import schemas as S
 from docflow.operators.ocr import explode_blocks
+from docflow.session import scratch_dir
 from docflow.sources import events as ev
 
 EXTENSIONS = [".pdf", ".jpg", ".jpeg", ".png", ".PDF", ".txt"]
@@ -253,16 +257,36 @@ def table_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_STORED: dict[tuple, str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """The derived table ``name``, written once per session to the shared folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key in _STORED:
+        try:
+            return spark.read.parquet(_STORED[key])
+        except AnalysisException:
+            pass  # the folder was cleared: write it again
+    _STORED[key] = scratch_dir(spark, name)
+    build(spark, sf_dir).write.parquet(_STORED[key])
+    return spark.read.parquet(_STORED[key])
+
+
+def _blocks(responses):
+    return lambda spark, sf_dir: explode_blocks(responses(spark, sf_dir))
+
+
 def text_blocks(spark, sf_dir):
-    return explode_blocks(text_responses(spark, sf_dir))
+    return stored(spark, sf_dir, "text_blocks", _blocks(text_responses))
 
 
 def form_blocks(spark, sf_dir):
-    return explode_blocks(form_responses(spark, sf_dir))
+    return stored(spark, sf_dir, "form_blocks", _blocks(form_responses))
 
 
 def table_blocks(spark, sf_dir):
-    return explode_blocks(table_responses(spark, sf_dir))
+    return stored(spark, sf_dir, "table_blocks", _blocks(table_responses))
 
 
 def all_blocks(spark, sf_dir):
