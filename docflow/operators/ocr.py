@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from docflow.operators.ordered import collect_in_order, latest_by_key, running
 
 PAGE_PART = 1_000_000
-CONTENT_TYPES = ["PAGE", "LINE", "TABLE", "KEY_VALUE_SET"]
 
 
 # --- blocks -------------------------------------------------------------------
@@ -37,10 +36,32 @@ def geometry_columns(blocks: DataFrame) -> DataFrame:
     )
 
 
-def block_map(blocks: DataFrame) -> DataFrame:
-    """Blocks by id; of blocks with the same id the last one counts."""
+def block_map(blocks: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """Blocks that their id stands for: of blocks with the same id the last one counts.
+
+    ``wanted`` are the rows (and columns) of ``blocks`` that may serve as a
+    child; all blocks still decide which one is last. Repeated ids are found by
+    a hash aggregate over ids and positions alone.
+    """
     known = blocks.where(F.col("Id").isNotNull() & F.col("BlockType").isNotNull())
-    return latest_by_key(known, ["documentId", "Id"], "pos")
+    repeated = (
+        known.groupBy("documentId", F.col("Id"))
+        .agg(F.max("pos").alias("_last"), F.count(F.lit(1)).alias("_n"))
+        .where("_n > 1")
+        .select(F.col("documentId").alias("_doc"), F.col("Id").alias("_id"), "_last")
+    )
+    candidates = known if wanted is None else wanted.where(F.col("Id").isNotNull())
+    outdated = (F.col("documentId") == F.col("_doc")) & (F.col("Id") == F.col("_id")) & (F.col("pos") < F.col("_last"))
+    return candidates.join(repeated, outdated, "left_anti")
+
+
+def _leaves(blocks: DataFrame) -> DataFrame:
+    """Words and selections by id, each with the ``token`` it adds to a text."""
+    is_word = F.col("BlockType") == "WORD"
+    return block_map(blocks, blocks.where(F.col("BlockType").isin("WORD", "SELECTION_ELEMENT"))).select(
+        "documentId", "Id", is_word.alias("isWord"),
+        F.when(is_word, F.col("Text")).otherwise(F.col("SelectionStatus")).alias("token"),
+    )
 
 
 def _ids(rel_type: str, which: str = "all") -> Column:
@@ -88,22 +109,26 @@ def extract_selections(blocks: DataFrame) -> DataFrame:
     )
 
 
-def _content_of(parents: DataFrame, ids: str, blocks: DataFrame) -> DataFrame:
-    """Words and selections listed by each parent (documentId, pos), in order.
+# --- pages --------------------------------------------------------------------
 
-    ``content`` is null where nothing was found.
-    """
-    leaves = block_map(
-        blocks.select("documentId", "pos", "Id", "BlockType", "Text", "SelectionStatus", "Confidence")
-    ).where(F.col("BlockType").isin("WORD", "SELECTION_ELEMENT")).select(
-        "documentId", "Id",
-        F.struct("BlockType", "Id", "Text", "SelectionStatus", "Confidence").alias("leaf"),
-    )
-    found = _resolve(parents.select("documentId", "pos", ids), F.col(ids), leaves)
-    return found.groupBy("documentId", "pos").agg(collect_in_order("ord", "leaf").alias("content"))
+def _opens() -> Column:
+    """A PAGE block opens a page, and so does the first block of a document."""
+    return (F.col("BlockType") == "PAGE") | (F.col("pos") == 0)
 
 
-# --- pages --------------------------------------------------------------------
+def _number_pages(rows: DataFrame, order: list[str], opens: Column, **kw) -> DataFrame:
+    return (
+        running(
+            rows, ["documentId"], order,
+            {"page": ("sum", opens.cast("int").cast("bigint")), "_start": ("max", F.when(opens, F.col("pos")))},
+            slice_on=F.col("pos"), dense=True, **kw,
+        )
+        .withColumn("page", F.col("page").cast("int"))
+        .withColumn("offset", F.col("pos") - F.col("_start"))
+        .withColumn("part", F.floor(F.col("offset") / PAGE_PART).cast("int"))
+        .drop("_start")
+    )
+
 
 def segment_pages(blocks: DataFrame, **kw) -> DataFrame:
     """Add ``page``, from 1, ``offset`` (position in the page) and ``part``.
@@ -112,35 +137,33 @@ def segment_pages(blocks: DataFrame, **kw) -> DataFrame:
     Rows may be left out beforehand, except PAGE blocks and the first block of
     a document. ``part`` is 0 unless a page spans more than ``PAGE_PART`` blocks.
     """
-    opens = F.col("BlockType") == "PAGE"
-    leads = (F.col("pos") == 0) & ~opens
-    numbered = running(
-        blocks, ["documentId"], ["pos"],
-        {
-            "page": ("sum", (opens | leads).cast("int").cast("bigint")),
-            "_start": ("max", F.when(opens | leads, F.col("pos"))),
-        },
-        dense=True, **kw,
-    )
-    return (
-        numbered.withColumn("page", F.col("page").cast("int"))
-        .withColumn("offset", F.col("pos") - F.col("_start"))
-        .withColumn("part", F.floor(F.col("offset") / PAGE_PART).cast("int"))
-        .drop("_start")
-    )
+    return _number_pages(blocks, ["pos"], _opens(), **kw)
 
 
-def _content_blocks(blocks: DataFrame) -> DataFrame:
-    """What page numbers depend on, and the blocks that make up page content."""
-    return blocks.where(F.col("BlockType").isin(CONTENT_TYPES) | (F.col("pos") == 0))
+def page_starts(blocks: DataFrame) -> DataFrame:
+    """The first block of every page."""
+    return segment_pages(blocks.where(_opens()).select("documentId", "pos", "BlockType"))
+
+
+def _paged(rows: DataFrame, blocks: DataFrame, keep_marks: bool = False) -> DataFrame:
+    """Add page numbers to any rows that have ``documentId`` and ``pos``.
+
+    The rows meet the page openings of ``blocks`` in one window; ``keep_marks``
+    keeps the openings as rows without other values.
+    """
+    marks = blocks.where(_opens()).select("documentId", "pos", F.lit(True).alias("_mark"))
+    mixed = rows.withColumn("_mark", F.lit(False)).unionByName(marks, allowMissingColumns=True)
+    numbered = _number_pages(
+        mixed.withColumn("_rank", (~F.col("_mark")).cast("int")), ["pos", "_rank"], F.col("_mark"),
+        contributors=marks,
+    ).drop("_rank", "offset")
+    return (numbered if keep_marks else numbered.where(~F.col("_mark"))).drop("_mark")
 
 
 def page_lines(blocks: DataFrame) -> DataFrame:
     """LINE blocks with their page."""
-    narrow = _content_blocks(blocks).where(
-        F.col("BlockType").isin("PAGE", "LINE") | (F.col("pos") == 0)
-    ).select("documentId", "pos", "BlockType", "Text")
-    return segment_pages(narrow).where(F.col("BlockType") == "LINE").drop("BlockType")
+    lines = blocks.where(F.col("BlockType") == "LINE").select("documentId", "pos", "Text")
+    return _paged(lines, blocks)
 
 
 def extract_lines(blocks: DataFrame) -> DataFrame:
@@ -148,13 +171,15 @@ def extract_lines(blocks: DataFrame) -> DataFrame:
     lines = blocks.where(F.col("BlockType") == "LINE").select(
         "documentId", "pos", "Id", "Text", "Confidence", "Geometry", _ids("CHILD").alias("ids")
     )
-    content = _content_of(lines, "ids", blocks)
-    words = F.transform(
-        F.filter(F.coalesce("content", F.array().cast(dict(content.dtypes)["content"])),
-                 lambda x: x["BlockType"] == "WORD"),
-        lambda x: F.struct(x["Id"].alias("Id"), x["Text"].alias("Text"), x["Confidence"].alias("Confidence")),
+    words = block_map(blocks, blocks.where(F.col("BlockType") == "WORD")).select(
+        "documentId", "Id", F.struct("Id", "Text", "Confidence").alias("word")
+    )
+    found = _resolve(lines.select("documentId", "pos", "ids"), F.col("ids"), words)
+    content = found.groupBy("documentId", "pos").agg(collect_in_order("ord", "word").alias("words"))
+    none = F.array().cast(dict(content.dtypes)["words"])
+    return lines.drop("ids").join(content, ["documentId", "pos"], "left").withColumn(
+        "words", F.coalesce("words", none)
     )
-    return lines.drop("ids").join(content, ["documentId", "pos"], "left").withColumn("words", words).drop("content")
 
 
 def page_text(lines: DataFrame) -> DataFrame:
@@ -173,21 +198,30 @@ def _key_blocks(blocks: DataFrame) -> DataFrame:
     ).withColumn("keyIds", _ids("CHILD", "last")).where(F.col("keyIds").isNotNull())
 
 
-def _joined(content: Column, selections: bool) -> Column:
-    """Words, and selection states where wanted, joined by a space."""
-    kept = content if selections else F.filter(content, lambda x: x["BlockType"] == "WORD")
-    texts = F.transform(
-        kept, lambda x: F.when(x["BlockType"] == "WORD", x["Text"]).otherwise(x["SelectionStatus"])
+def _texts(parents: DataFrame, keys: list[str], blocks: DataFrame) -> DataFrame:
+    """Words and selections that each parent (``keys``, ``ids``) lists, joined by a space.
+
+    ``words`` leaves out selections; a parent that lists nothing known has
+    empty texts. A group holds the id list of one parent.
+    """
+    listed = parents.select("documentId", *keys, F.posexplode_outer("ids").alias("ord", "Id"))
+    found = listed.join(_leaves(blocks), ["documentId", "Id"], "left")
+
+    def joined(kept):
+        tokens = F.sort_array(F.collect_list(F.when(kept, F.struct("ord", "token"))))
+        return F.array_join(F.transform(tokens, lambda t: t["token"]), " ")
+
+    return found.groupBy("documentId", *keys).agg(
+        joined(F.col("isWord")).alias("words"), joined(F.col("token").isNotNull()).alias("tokens")
     )
-    return F.coalesce(F.array_join(texts, " "), F.lit(""))
 
 
 def field_key_text(blocks: DataFrame) -> DataFrame:
     """Key text of each form field: its words joined by a space, possibly empty."""
-    keys = _key_blocks(blocks).select("documentId", "pos", "Id", "Confidence", "keyIds")
-    content = _content_of(keys, "keyIds", blocks)
-    return keys.drop("keyIds").join(content, ["documentId", "pos"], "left").select(
-        "documentId", "pos", "Id", "Confidence", _joined(F.col("content"), False).alias("key")
+    keys = _key_blocks(blocks).select("documentId", "pos", "Id", "Confidence", F.col("keyIds").alias("ids"))
+    texts = _texts(keys.select("documentId", "pos", "ids"), ["pos"], blocks)
+    return keys.drop("ids").join(texts, ["documentId", "pos"]).select(
+        "documentId", "pos", "Id", "Confidence", F.col("words").alias("key")
     )
 
 
@@ -195,8 +229,7 @@ def key_value_pairs(blocks: DataFrame) -> DataFrame:
     """The VALUE block that counts for each KEY block: the last with a CHILD list."""
     keys = _key_blocks(blocks).select("documentId", F.col("pos").alias("keyPos"), "Relationships")
     values = (
-        block_map(blocks.select("documentId", "pos", "Id", "BlockType", "EntityTypes", "Relationships"))
-        .where(F.array_contains("EntityTypes", "VALUE"))
+        block_map(blocks, blocks.where(F.array_contains("EntityTypes", "VALUE")))
         .withColumn("valueIds", _ids("CHILD", "last"))
         .where(F.col("valueIds").isNotNull())
         .select("documentId", "Id", F.col("pos").alias("valuePos"), "valueIds")
@@ -211,57 +244,33 @@ def key_value_pairs(blocks: DataFrame) -> DataFrame:
 
 def field_value_text(blocks: DataFrame) -> DataFrame:
     """Value text of each KEY block that has a value: words and selections joined by a space."""
-    pairs = key_value_pairs(blocks).withColumnRenamed("keyPos", "pos")
-    content = _content_of(pairs, "valueIds", blocks)
-    return pairs.join(content, ["documentId", "pos"], "left").select(
-        "documentId", "pos", "valueId", _joined(F.col("content"), True).alias("value")
+    pairs = key_value_pairs(blocks).select(
+        "documentId", F.col("keyPos").alias("pos"), "valueId", F.col("valueIds").alias("ids")
+    )
+    texts = _texts(pairs.select("documentId", "pos", "ids"), ["pos"], blocks)
+    return pairs.drop("ids").join(texts, ["documentId", "pos"]).select(
+        "documentId", "pos", "valueId", F.col("tokens").alias("value")
     )
 
 
-def extract_form_fields(blocks: DataFrame) -> DataFrame:
-    """Form fields with their page; ``value`` is null for a key without a value.
-
-    Keys and values resolve their words in one pass: both lists are tagged
-    and looked up together.
-    """
+def _fields(blocks: DataFrame) -> DataFrame:
+    """Keys with their values; both sides look up their words together."""
     keys = _key_blocks(blocks).select("documentId", "pos", F.lit("key").alias("side"), F.col("keyIds").alias("ids"))
     values = key_value_pairs(blocks).select(
         "documentId", F.col("keyPos").alias("pos"), F.lit("value").alias("side"), F.col("valueIds").alias("ids")
     )
-    sides = keys.unionByName(values)
-    texts = _side_texts(sides, blocks)
-    pages = segment_pages(
-        _content_blocks(blocks).where(
-            F.col("BlockType").isin("PAGE", "KEY_VALUE_SET") | (F.col("pos") == 0)
-        ).select("documentId", "pos", "BlockType")
-    ).select("documentId", "pos", "page", "part")
-    return texts.join(pages, ["documentId", "pos"])
-
-
-def _side_texts(sides: DataFrame, blocks: DataFrame) -> DataFrame:
-    leaves = block_map(
-        blocks.select("documentId", "pos", "Id", "BlockType", "Text", "SelectionStatus")
-    ).where(F.col("BlockType").isin("WORD", "SELECTION_ELEMENT")).select(
-        "documentId", "Id", "BlockType",
-        F.when(F.col("BlockType") == "WORD", F.col("Text")).otherwise(F.col("SelectionStatus")).alias("token"),
-    )
-    found = (
-        sides.select("documentId", "pos", "side", F.posexplode_outer("ids").alias("ord", "Id"))
-        .join(leaves, ["documentId", "Id"], "left")
-        # a key takes words only; an unknown id gives no token
-        .withColumn("token", F.when((F.col("side") == "value") | (F.col("BlockType") == "WORD"), F.col("token")))
-    )
-    def side_text(side):
-        tokens = F.sort_array(F.collect_list(F.when(
-            (F.col("side") == side) & F.col("token").isNotNull(), F.struct("ord", "token"))))
-        return F.array_join(F.transform(tokens, lambda t: t["token"]), " ")
-
-    return found.groupBy("documentId", "pos").agg(
-        side_text("key").alias("key"),
-        F.when(F.max(F.col("side") == "value"), side_text("value")).alias("value"),
+    texts = _texts(keys.unionByName(values), ["pos", "side"], blocks)
+    is_value = F.col("side") == "value"
+    return texts.groupBy("documentId", "pos").agg(
+        F.max(F.when(~is_value, F.col("words"))).alias("key"), F.max(F.when(is_value, F.col("tokens"))).alias("value")
     )
 
 
+def extract_form_fields(blocks: DataFrame) -> DataFrame:
+    """Form fields with their page; ``value`` is null for a key without a value."""
+    return _paged(_fields(blocks), blocks)
+
+
 def form_map(fields: DataFrame) -> DataFrame:
     """Fields by key text; of fields with the same key on a page the last one counts."""
     return latest_by_key(fields, ["documentId", "page", "key"], "pos")
@@ -285,47 +294,43 @@ def forms_rows(fields: DataFrame) -> DataFrame:
 
 # --- tables -------------------------------------------------------------------
 
-def cell_text(cells: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Text of cells (documentId, pos, ids): each word and a space, each selection and a comma and space."""
-    content = _content_of(cells, "ids", blocks)
-    joined = F.array_join(F.transform("content", lambda x: F.when(
-        x["BlockType"] == "WORD", F.concat(x["Text"], F.lit(" "))
-    ).otherwise(F.concat(x["SelectionStatus"], F.lit(", ")))), "")
-    return cells.drop("ids").join(content, ["documentId", "pos"], "left").withColumn(
-        "text", F.coalesce(joined, F.lit(""))
-    ).drop("content")
+def _cell_texts(cells: DataFrame, keys: list[str], blocks: DataFrame) -> DataFrame:
+    """Text of each cell (``keys``, ``ids``): each word and a space, each selection and a comma and space."""
+    listed = cells.select("documentId", *keys, F.posexplode_outer("ids").alias("ord", "Id"))
+    found = listed.join(_leaves(blocks), ["documentId", "Id"], "left").withColumn(
+        "token", F.concat("token", F.when(F.col("isWord"), " ").otherwise(", "))
+    )
+    tokens = F.sort_array(F.collect_list(F.when(F.col("token").isNotNull(), F.struct("ord", "token"))))
+    return (
+        # by the leading keys alone, so that rows and tables need no further shuffle
+        found.repartition("documentId", keys[0])
+        .groupBy("documentId", *keys)
+        .agg(F.array_join(F.transform(tokens, lambda t: t["token"]), "").alias("text"))
+    )
+
+
+def cell_text(blocks: DataFrame) -> DataFrame:
+    """Text of every CELL block."""
+    cells = blocks.where(F.col("BlockType") == "CELL").select("documentId", "pos", _ids("CHILD").alias("ids"))
+    return _cell_texts(cells, ["pos"], blocks)
 
 
 def extract_cells(blocks: DataFrame) -> DataFrame:
     """CELL blocks with their indexes, spans and text."""
     cells = blocks.where(F.col("BlockType") == "CELL").select(
-        "documentId", "pos", "Id", "RowIndex", "ColumnIndex", "RowSpan", "ColumnSpan", "Confidence",
-        _ids("CHILD").alias("ids"),
-    )
-    return cell_text(cells, blocks)
-
-
-def _table_blocks(blocks: DataFrame) -> DataFrame:
-    return blocks.where(F.col("BlockType") == "TABLE").select(
-        "documentId", F.col("pos").alias("tablePos"), _ids("CHILD").alias("cellIds")
+        "documentId", "pos", "Id", "RowIndex", "ColumnIndex", "RowSpan", "ColumnSpan", "Confidence"
     )
+    return cells.join(cell_text(blocks), ["documentId", "pos"])
 
 
 def table_cells(blocks: DataFrame) -> DataFrame:
     """Cells of every TABLE in listed order, with ``cellOrd`` and text."""
-    children = block_map(
-        blocks.select("documentId", "pos", "Id", "BlockType", "RowIndex", "ColumnIndex", "Relationships")
-    ).select("documentId", "Id", F.col("pos").alias("cellPos"), "RowIndex", "ColumnIndex", _ids("CHILD").alias("ids"))
-    listed = _resolve(
-        _table_blocks(blocks), F.col("cellIds"), children
-    ).drop("cellIds").withColumnRenamed("ord", "cellOrd")
-    # a cell may be listed by several tables: its text is looked up once
-    texts = cell_text(
-        listed.select("documentId", F.col("cellPos").alias("pos"), "ids").groupBy("documentId", "pos")
-        .agg(F.first("ids").alias("ids")),
-        blocks,
-    ).withColumnRenamed("pos", "cellPos")
-    return listed.drop("ids", "Id").join(texts, ["documentId", "cellPos"])
+    tables = blocks.where(F.col("BlockType") == "TABLE").select(
+        "documentId", F.col("pos").alias("tablePos"), _ids("CHILD").alias("cellIds")
+    )
+    children = block_map(blocks).select("documentId", "Id", "RowIndex", _ids("CHILD").alias("ids"))
+    listed = _resolve(tables, F.col("cellIds"), children).withColumnRenamed("ord", "cellOrd")
+    return _cell_texts(listed, ["tablePos", "cellOrd", "RowIndex"], blocks)
 
 
 def segment_table_rows(cells: DataFrame) -> DataFrame:
@@ -345,32 +350,33 @@ def segment_table_rows(cells: DataFrame) -> DataFrame:
     )
 
 
-def extract_tables(blocks: DataFrame) -> DataFrame:
-    """``rows`` of cell texts for every TABLE, with its page."""
+def _tables(blocks: DataFrame) -> DataFrame:
+    """``rows`` of cell texts for every TABLE at ``pos``."""
     cells = segment_table_rows(table_cells(blocks))
     no_rows = F.array().cast("array<array<string>>")
     empty_row = F.array(F.array().cast("array<string>"))
     rows = cells.groupBy("documentId", "tablePos", "rowOrd").agg(
         collect_in_order("cellOrd", "text").alias("cells")
     )
-    tables = rows.groupBy("documentId", "tablePos").agg(
+    tables = rows.groupBy("documentId", F.col("tablePos").alias("pos")).agg(
         F.min("rowOrd").alias("_first"), collect_in_order("rowOrd", "cells").alias("rows")
     )
-    pages = segment_pages(
-        _content_blocks(blocks).where(
-            F.col("BlockType").isin("PAGE", "TABLE") | (F.col("pos") == 0)
-        ).select("documentId", "pos", "BlockType", _ids("CHILD").isNotNull().alias("_listed"))
-    ).where(F.col("BlockType") == "TABLE").select(
-        "documentId", F.col("pos").alias("tablePos"), "page", "part", "_listed"
+    every = blocks.where(F.col("BlockType") == "TABLE").select(
+        "documentId", "pos", _ids("CHILD").isNotNull().alias("_listed")
     )
-    return pages.join(tables, ["documentId", "tablePos"], "left").select(
-        "documentId", "page", "part", "tablePos",
+    return every.join(tables, ["documentId", "pos"], "left").select(
+        "documentId", "pos",
         F.when(F.col("rows").isNull(), F.when(F.col("_listed"), empty_row).otherwise(no_rows))
         .when(F.col("_first") > 1, F.concat(empty_row, F.col("rows")))
         .otherwise(F.col("rows")).alias("rows"),
     )
 
 
+def extract_tables(blocks: DataFrame) -> DataFrame:
+    """``rows`` of cell texts for every TABLE, with its page."""
+    return _paged(_tables(blocks), blocks).withColumnRenamed("pos", "tablePos")
+
+
 def table_csv_rows(tables: DataFrame) -> DataFrame:
     """CSV rows of each table: a title row, its rows, two empty rows."""
     empty = F.array().cast("array<string>")
@@ -388,47 +394,42 @@ def tables_rows(tables: DataFrame) -> DataFrame:
 
 # --- whole pages ----------------------------------------------------------------
 
-def page_content(blocks: DataFrame) -> DataFrame:
-    """Lines, tables and fields of each page mixed in block order.
-
-    ``text`` is the line, the field's key, or null; ``rows`` holds table rows or
-    the field's key and value.
-    """
-    lines = page_lines(blocks).select(
-        "documentId", "page", "part", "pos", F.lit("line").alias("kind"), F.col("Text").alias("text"),
+def _content(blocks: DataFrame) -> DataFrame:
+    lines = blocks.where(F.col("BlockType") == "LINE").select(
+        "documentId", "pos", F.lit("line").alias("kind"), F.col("Text").alias("text"),
         F.lit(None).cast("array<array<string>>").alias("rows"),
     )
-    fields = extract_form_fields(blocks).select(
-        "documentId", "page", "part", "pos", F.lit("field").alias("kind"), F.col("key").alias("text"),
+    fields = _fields(blocks).select(
+        "documentId", "pos", F.lit("field").alias("kind"), F.col("key").alias("text"),
         F.array(F.array("key", F.coalesce("value", F.lit("")))).alias("rows"),
     )
-    tables = table_csv_rows(extract_tables(blocks)).select(
-        "documentId", "page", "part", F.col("tablePos").alias("pos"), F.lit("table").alias("kind"),
-        F.lit(None).cast("string").alias("text"), F.col("csv").alias("rows"),
+    tables = table_csv_rows(_tables(blocks)).select(
+        "documentId", "pos", F.lit("table").alias("kind"), F.lit(None).cast("string").alias("text"),
+        F.col("csv").alias("rows"),
     )
     return lines.unionByName(fields).unionByName(tables)
 
 
+def page_content(blocks: DataFrame) -> DataFrame:
+    """Lines, tables and fields of each page mixed in block order (``pos``).
+
+    ``text`` is the line, the field's key, or null; ``rows`` holds table rows or
+    the field's key and value.
+    """
+    return _paged(_content(blocks), blocks)
+
+
 def pages(blocks: DataFrame) -> DataFrame:
     """One row per page: its text, form rows and table rows.
 
-    All content meets in a single aggregation by page.
+    All content gets its page in one window and meets in one aggregation.
     """
-    every = segment_pages(
-        blocks.where((F.col("BlockType") == "PAGE") | (F.col("pos") == 0))
-        .select("documentId", "pos", "BlockType")
-    ).select(
-        "documentId", "page", "part", F.lit(0).cast("bigint").alias("pos"), F.lit("page").alias("kind"),
-        F.lit(None).cast("string").alias("text"),
-        F.lit(None).cast("array<array<string>>").alias("rows"),
-    )
-
     def gather(kind, value):
         return F.transform(F.sort_array(F.collect_list(
             F.when(F.col("kind") == kind, F.struct("pos", F.col(value).alias("v")))
         )), lambda x: x["v"])
 
-    return page_content(blocks).unionByName(every).groupBy("documentId", "page", "part").agg(
+    return _paged(_content(blocks), blocks, keep_marks=True).groupBy("documentId", "page", "part").agg(
         F.array_join(F.transform(gather("line", "text"), lambda t: F.concat(t, F.lit("\n"))), "").alias("text"),
         F.flatten(gather("table", "rows")).alias("table"),
         F.flatten(gather("field", "rows")).alias("forms"),

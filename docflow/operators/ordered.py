@@ -74,13 +74,16 @@ def running(
     slice_on: Column | None = None,
     slice_rows: int = SLICE_ROWS,
     dense: bool = False,
+    contributors: DataFrame | None = None,
 ) -> DataFrame:
     """Add running totals (first row to this row) per key in ``order``.
 
     ``totals`` maps a new column to (``sum``/``min``/``max``, value). ``order``
     must be unique within a key. ``slice_on`` is a number that never falls along
     ``order`` (default: the first order column); with ``dense`` it counts from 0
-    without wide gaps and the keys need not be counted first.
+    without wide gaps and the keys need not be counted first. ``contributors``
+    (dense only) are the rows that add to the totals, where these come cheaper
+    than ``df`` as a whole.
     """
     slice_on = F.col(order[0]) if slice_on is None else slice_on
     sliced = _sliced(df, keys, slice_on, slice_rows, dense)
@@ -93,7 +96,8 @@ def running(
     earlier = (
         Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     )
-    per_slice = sliced.where(F.col("_slice").isNotNull()).groupBy(*keys, "_slice").agg(
+    adding = sliced if contributors is None else _sliced(contributors, keys, slice_on, slice_rows, dense)
+    per_slice = adding.where(F.col("_slice").isNotNull()).groupBy(*keys, "_slice").agg(
         *[TOTALS[k](v).alias(n) for n, (k, v) in totals.items()]
     )
     carry = per_slice.select(

@@ -23,8 +23,14 @@ QUEUE = "arn:docflow:queue"
 LINES_PER_PAGE = 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A given table; ``spread`` deals the rows of a table of few files to all cores.
+
+    A table of many files is read by as many tasks already and is not moved.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if spread and len(df.inputFiles()) < cores else df
 
 
 def pick(values: list[str], number: Column) -> Column:
@@ -130,21 +136,29 @@ def status_events_of(events: DataFrame) -> DataFrame:
 def block(kind: str, id_: Column, text=None, children=None, values=None, entity=None, status=None,
           row=None, column=None, top=None) -> Column:
     """One OCR block. ``children``/``values`` are arrays of ids; None leaves the list out."""
+    def typed(name, value, kind):
+        return (F.lit(None).cast(kind) if value is None else value).alias(name)
+
     relations = [
         F.struct(F.lit(name).alias("Type"), ids.alias("Ids"))
         for name, ids in (("VALUE", values), ("CHILD", children)) if ids is not None
     ]
     top = F.lit(0.25) if top is None else top
-    box = F.struct(F.lit(0.5), F.lit(0.125), F.lit(0.25), top)
-    corners = F.array(F.struct(F.lit(0.25), top), F.struct(F.lit(0.75), top))
-    null = F.lit(None)
+    box = F.struct(*[F.lit(v).alias(n) for v, n in ((0.5, "Width"), (0.125, "Height"), (0.25, "Left"))], top.alias("Top"))
+    corners = F.array(*[F.struct(F.lit(x).alias("X"), top.alias("Y")) for x in (0.25, 0.75)])
+
+    def number(name, value):
+        return typed(name, None if value is None else F.lit(value).cast("bigint"), "bigint")
+
     return F.struct(
-        F.lit(kind), id_, null if text is None else text, F.lit(99.5), F.struct(box, corners),
-        F.array(*relations) if relations else null,
-        F.array(F.lit(entity)) if entity else null, null if status is None else status,
-        null if row is None else F.lit(row), null if column is None else F.lit(column),
-        null if row is None else F.lit(1), null if column is None else F.lit(1),
-    ).cast(S.BLOCK)
+        F.lit(kind).alias("BlockType"), id_.alias("Id"), typed("Text", text, "string"),
+        F.lit(99.5).alias("Confidence"), F.struct(box.alias("BoundingBox"), corners.alias("Polygon")).alias("Geometry"),
+        typed("Relationships", F.array(*relations) if relations else None, S.RELATIONSHIPS),
+        typed("EntityTypes", F.array(F.lit(entity)) if entity else None, "array<string>"),
+        typed("SelectionStatus", status, "string"),
+        number("RowIndex", row), number("ColumnIndex", column),
+        number("RowSpan", None if row is None else 1), number("ColumnSpan", None if column is None else 1),
+    )
 
 
 def _ids(*ids: str) -> Column:
@@ -184,7 +198,7 @@ def text_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array().cast(f"array<{S.BLOCK}>")
     )
     blocks = F.concat(outdated, F.flatten(F.transform(F.split("text", "\n"), line)))
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", spread=True).select(
         F.concat(F.lit("doc-"), doc.cast("string")).alias("documentId"), blocks.alias("Blocks")
     )
 
@@ -220,7 +234,7 @@ def form_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(block("KEY_VALUE_SET", F.lit("bare"), entity="KEY")),
         field(6, "Nation", F.concat(F.lit("N"), nation)),
     )
-    return table(spark, sf_dir, "customer").select(
+    return table(spark, sf_dir, "customer", spread=True).select(
         F.concat(F.lit("cust-"), F.col("c_custkey").cast("string")).alias("documentId"), blocks.alias("Blocks")
     )
 
@@ -252,7 +266,7 @@ def table_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(order % 3 == 0, F.array(block("TABLE", F.lit("t2"), children=_ids("nowhere")))).otherwise(no_blocks),
         F.when(order % 5 == 0, F.array(block("TABLE", F.lit("t3")))).otherwise(no_blocks),
     )
-    return table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders", spread=True).select(
         F.concat(F.lit("ord-"), order.cast("string")).alias("documentId"), blocks.alias("Blocks")
     )
 

@@ -56,7 +56,7 @@ NOTED = CHUNKS + ", " + notes_sql("chunks", "chunk", "doc, ord")
 
 
 def _texts(spark, d):
-    return fx.table(spark, d, "documents").select(
+    return fx.table(spark, d, "documents", spread=True).select(
         F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("documentId"), "text")
 
 

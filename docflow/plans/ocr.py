@@ -237,7 +237,9 @@ def forms_rows(spark, d):
 @query("cell_text", CELLS + """
 SELECT doc AS "documentId", id, text FROM cells""")
 def cell_text(spark, d):
-    return ocr.extract_cells(fx.table_blocks(spark, d)).select("documentId", F.col("Id").alias("id"), "text")
+    blocks = fx.table_blocks(spark, d)
+    return ocr.cell_text(blocks).join(blocks.select("documentId", "pos", "Id"), ["documentId", "pos"]).select(
+        "documentId", F.col("Id").alias("id"), "text")
 
 
 @query("extract_cells", CELLS + """
