@@ -225,8 +225,8 @@ def field_key_text(blocks: DataFrame) -> DataFrame:
     )
 
 
-def key_value_pairs(blocks: DataFrame) -> DataFrame:
-    """The VALUE block that counts for each KEY block: the last with a CHILD list."""
+def _listed_values(blocks: DataFrame) -> DataFrame:
+    """VALUE blocks with a CHILD list that each KEY block lists, in order."""
     keys = _key_blocks(blocks).select("documentId", F.col("pos").alias("keyPos"), "Relationships")
     values = (
         block_map(blocks, blocks.where(F.array_contains("EntityTypes", "VALUE")))
@@ -234,8 +234,13 @@ def key_value_pairs(blocks: DataFrame) -> DataFrame:
         .where(F.col("valueIds").isNotNull())
         .select("documentId", "Id", F.col("pos").alias("valuePos"), "valueIds")
     )
+    return _resolve(keys, _ids("VALUE"), values).drop("Relationships")
+
+
+def key_value_pairs(blocks: DataFrame) -> DataFrame:
+    """The VALUE block that counts for each KEY block: the last with a CHILD list."""
     return (
-        _resolve(keys, _ids("VALUE"), values)
+        _listed_values(blocks)
         .groupBy("documentId", "keyPos")
         .agg(F.max_by(F.struct("Id", "valuePos", "valueIds"), F.col("ord")).alias("v"))
         .select("documentId", "keyPos", F.col("v.Id").alias("valueId"), "v.valuePos", "v.valueIds")
@@ -255,14 +260,34 @@ def field_value_text(blocks: DataFrame) -> DataFrame:
 
 def _fields(blocks: DataFrame) -> DataFrame:
     """Keys with their values; both sides look up their words together."""
-    keys = _key_blocks(blocks).select("documentId", "pos", F.lit("key").alias("side"), F.col("keyIds").alias("ids"))
-    values = key_value_pairs(blocks).select(
-        "documentId", F.col("keyPos").alias("pos"), F.lit("value").alias("side"), F.col("valueIds").alias("ids")
+    keys = _key_blocks(blocks).select(
+        "documentId", "pos", F.lit("key").alias("side"), F.lit(0).alias("nth"), F.col("keyIds").alias("ids")
+    )
+    values = _listed_values(blocks).select(
+        "documentId", F.col("keyPos").alias("pos"), F.lit("value").alias("side"), F.col("ord").alias("nth"),
+        F.col("valueIds").alias("ids"),
     )
-    texts = _texts(keys.unionByName(values), ["pos", "side"], blocks)
+    listed = keys.unionByName(values).select(
+        "documentId", "pos", "side", "nth", F.posexplode_outer("ids").alias("ord", "Id")
+    )
+    found = listed.join(_leaves(blocks), ["documentId", "Id"], "left")
     is_value = F.col("side") == "value"
-    return texts.groupBy("documentId", "pos").agg(
-        F.max(F.when(~is_value, F.col("words"))).alias("key"), F.max(F.when(is_value, F.col("tokens"))).alias("value")
+
+    def tokens(kept):
+        return F.sort_array(F.collect_list(F.when(kept, F.struct("nth", "ord", "token"))))
+
+    def text(items, nth):
+        return F.array_join(F.transform(F.filter(items, lambda t: t["nth"] == nth), lambda t: t["token"]), " ")
+
+    # only the last value block counts, with words or without
+    sides = found.groupBy("documentId", "pos").agg(
+        tokens(~is_value & F.col("isWord")).alias("k"),
+        tokens(is_value & F.col("token").isNotNull()).alias("v"),
+        F.max(F.when(is_value, F.col("nth"))).alias("last"),
+    )
+    return sides.select(
+        "documentId", "pos", text(F.col("k"), F.lit(0)).alias("key"),
+        F.when(F.col("last").isNotNull(), text(F.col("v"), F.col("last"))).alias("value"),
     )
 
 

@@ -25,27 +25,24 @@ def register_documents(registry: DataFrame | None, events: DataFrame) -> Outcome
     return Outcome(accepted, rejected)
 
 
-def classify_documents(registry: DataFrame, rules: DataFrame | None = None) -> Outcome:
+def classify_documents(registry: DataFrame, rules: dict[str, bool] | None = None) -> Outcome:
     """Add ``class`` and ``eligible``; rows without the needed fields are refused.
 
-    ``rules`` (``class``, ``eligible``) replaces the fixed list of classes;
-    a class it does not name is not eligible.
+    ``rules`` (class to eligible) replaces the fixed list of classes; a class
+    it does not name is not eligible. The rules become part of the expression,
+    so no class, however common, is shuffled to one task.
     """
     complete = (
         F.col("documentMetadata").isNotNull()
         & present("documentId") & present("bucketName") & present("documentName")
     )
     rejected = registry.where(~complete).withColumn("reason", F.lit("invalid document item"))
+    allowed = S.ANALYSED_CLASSES if rules is None else [c for c, ok in rules.items() if ok]
     valid = registry.where(complete).withColumn(
         "class", F.try_element_at("documentMetadata", F.lit("class"))
     )
-    if rules is None:
-        eligible = F.coalesce(F.col("class").isin(S.ANALYSED_CLASSES), F.lit(False))
-        return Outcome(valid.withColumn("eligible", eligible), rejected)
-    ruled = valid.join(rules.select("class", F.col("eligible").alias("_rule")), "class", "left")
-    return Outcome(
-        ruled.withColumn("eligible", F.coalesce("_rule", F.lit(False))).drop("_rule"), rejected
-    )
+    eligible = F.coalesce(F.col("class").isin(allowed), F.lit(False))
+    return Outcome(valid.withColumn("eligible", eligible), rejected)
 
 
 def start_analysis_events(classified: DataFrame) -> DataFrame:
@@ -66,7 +63,7 @@ def start_analysis_events(classified: DataFrame) -> DataFrame:
     )
 
 
-def refused_documents(registry: DataFrame, rules: DataFrame | None = None) -> DataFrame:
+def refused_documents(registry: DataFrame, rules: dict[str, bool] | None = None) -> DataFrame:
     """Registered documents that are not allowed on, with their class."""
     return classify_documents(registry, rules).accepted.where(~F.col("eligible")).select(
         "documentId", "bucketName", "documentName", "class"

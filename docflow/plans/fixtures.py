@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow import schemas as S
-from docflow.operators.ocr import explode_blocks
 from docflow.session import scratch_dir
 from docflow.sources import events as ev
 
@@ -288,7 +287,17 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
 
 
 def _blocks(responses):
-    return lambda spark, sf_dir: explode_blocks(responses(spark, sf_dir))
+    """Blocks of derived responses.
+
+    No response is empty, and the outer form does not build it a second time to
+    test for that.
+    """
+    def build(spark, sf_dir):
+        return responses(spark, sf_dir).select(
+            "documentId", F.posexplode_outer("Blocks").alias("pos", "b")
+        ).select("documentId", F.col("pos").cast("bigint").alias("pos"), "b.*")
+
+    return build
 
 
 def text_blocks(spark, sf_dir):

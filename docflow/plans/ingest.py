@@ -376,7 +376,7 @@ def _registry(spark, d):
 SELECT id AS "documentId", class, class IN ('internal_research_report', 'external_public_report') AS eligible,
   class = 'unlisted' AS eligible_by_rules FROM created""")
 def classify_documents(spark, d):
-    rules = spark.sql("SELECT 'unlisted' AS class, true AS eligible UNION ALL SELECT 'classified_report', false")
+    rules = {"unlisted": True, "classified_report": False}
     by_list = registry.classify_documents(fx.registry_events(spark, d)).accepted
     return registry.classify_documents(by_list.drop("class").withColumnRenamed("eligible", "by_list"), rules).accepted.select(
         "documentId", "class", F.col("by_list").alias("eligible"), F.col("eligible").alias("eligible_by_rules"))

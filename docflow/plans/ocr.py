@@ -79,7 +79,8 @@ rows AS (
 SELECT doc AS "documentId", (count(DISTINCT i) + count(*) + max(i) // 20 + 1 - CASE WHEN any_value(doc_id) % 5 = 0 THEN 1 ELSE 0 END
   + CASE WHEN any_value(doc_id) % 4 = 0 THEN 1 ELSE 0 END)::BIGINT AS blocks FROM words GROUP BY doc""")
 def explode_blocks(spark, d):
-    return fx.text_blocks(spark, d).groupBy("documentId").agg((F.max("pos") + 1).alias("blocks"))
+    return ocr.explode_blocks(fx.stored(spark, d, "text_responses", fx.text_responses)).groupBy("documentId").agg(
+        (F.max("pos") + 1).alias("blocks"))
 
 
 @query("read_ocr_responses", LINES + """

@@ -12,6 +12,13 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # broadcast by measured sizes only: estimates from compressed files are far too low
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "16m",
+    # hash joins only where every partition of the small side is measured to fit
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # a union whose branches AQE splits differently must not zip their partitions
+    "spark.sql.unionOutputPartitioning": "false",
     # a hot document must be split even where the split costs another exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
