@@ -53,7 +53,7 @@ def path_document_id(key) -> Column:
 
 def path_document_name(key) -> Column:
     head = F.split_part(_c(key), F.lit("/ocr-analysis/"), F.lit(1))
-    return F.array_join(F.slice(F.split(head, "/"), 2, 2147483647), "/")
+    return F.regexp_replace(head, "^[^/]*/?", "")
 
 
 def page_path(object_name, page, file_name: str) -> Column:

@@ -1,0 +1,173 @@
+import random
+
+from pyspark.sql import functions as F
+
+from docflow import schemas as S
+from docflow.operators import annotate, keyed, lineage, registry, routing, tracking
+
+STATUS = ("documentId STRING, bucketName STRING, objectName STRING, status STRING, stage STRING, "
+          "initDoc STRING, message STRING, versionId STRING, timestamp STRING, seq BIGINT")
+LINEAGE = ("documentId STRING, callerId STRING, targetBucketName STRING, targetFileName STRING, s3Event STRING, "
+           "versionId STRING, sourceBucketName STRING, sourceFileName STRING, timestamp STRING, seq BIGINT")
+
+
+def status(doc, seq, state="IN_PROGRESS", init=None, message=None, stage="S"):
+    return (doc, "b", "o", state, stage, init, message, None, f"t{seq:04d}", seq)
+
+
+def test_fold_rejects_early_updates_and_repeated_inits(spark):
+    rows = [status("a", 1), status("a", 2, init="True", message="ignored"), status("a", 3, "FAILED", message="m"),
+            status("a", 4, init="True"), status("b", 5, "SUCCEEDED"), status("c", 6, init="True"), status("c", 0)]
+    out = tracking.fold_status_events(spark.createDataFrame(rows, STATUS))
+    ops = {r.documentId: r for r in out.operations.collect()}
+    assert set(ops) == {"a", "c"}
+    assert (ops["a"].documentStatus, ops["a"].lastUpdate) == ("FAILED", "t0003")
+    assert (ops["c"].documentStatus, ops["c"].lastUpdate) == ("IN_PROGRESS", None)
+    assert [(r.seq, r.message) for r in tracking.timeline_of(out.timeline, "a").collect()] == [(2, None), (3, "m")]
+    assert {r.seq: r.reason for r in out.rejected.collect()} == {
+        1: "document is not tracked", 4: "document is already tracked", 5: "document is not tracked", 0: "document is not tracked"}
+
+
+def test_fold_equals_one_event_at_a_time(spark):
+    rng = random.Random(5)
+    rows = [status("hot" if rng.random() < 0.5 else f"d{rng.randrange(12)}", i, rng.choice(["FAILED", "SUCCEEDED"]),
+                   "True" if rng.random() < 0.2 else None, stage=f"S{rng.randrange(3)}") for i in range(400)]
+    state, lines, refused = {}, [], 0
+    for r in rows:
+        doc, init, tracked = r[0], r[5] == "True", r[0] in state
+        if init == tracked:
+            refused += 1
+            continue
+        state[doc] = (r[3], r[4], None if init else r[8])
+        lines.append((doc, r[9]))
+    rng.shuffle(rows)
+    out = tracking.fold_status_events(spark.createDataFrame(rows, STATUS).repartition(5))
+    assert {r.documentId: (r.documentStatus, r.documentStage, r.lastUpdate) for r in out.operations.collect()} == state
+    assert sorted((r.documentId, r.seq) for r in out.timeline.collect()) == sorted(lines)
+    assert out.rejected.count() == refused
+    items = tracking.operations_items(out.operations, out.timeline, part_rows=10, slice_rows=7).collect()
+    got = sorted((r.documentId, e.timestamp) for r in items for e in r.timeline)
+    assert got == sorted((d, f"t{s:04d}") for d, s in lines)
+    hot = sorted((r for r in items if r.documentId == "hot"), key=lambda r: r.part)
+    assert len(hot) > 2 and all(len(r.timeline) == 10 for r in hot[:-1])
+    joined = [e.timestamp for r in hot for e in r.timeline]
+    assert joined == sorted(joined)
+
+
+def test_start_then_update_equals_the_fold(spark):
+    rows = [status("a", 1, init="True"), status("a", 2, "FAILED"), status("a", 3, "SUCCEEDED"), status("x", 4)]
+    events = spark.createDataFrame(rows, STATUS)
+    ops = tracking.start_tracking(None, events).accepted
+    assert tracking.start_tracking(ops, events).accepted.count() == 0
+    out = tracking.update_tracking(ops, events)
+    assert out.operations.collect() == tracking.fold_status_events(events).operations.collect()
+    assert [r.documentId for r in out.rejected.collect()] == ["x"]
+    done = tracking.mark_complete(ops, ops, S.STAGE_ANNOTATE, F.lit("t9"))
+    assert done.timeline.first().message == "" and done.operations.first().documentStatus == "SUCCEEDED"
+    assert tracking.finished_documents(done.operations).count() == 1
+
+
+def test_paging(spark):
+    ops = spark.createDataFrame([(f"d{i:02d}",) for i in range(7)], "documentId STRING")
+    token, seen = None, []
+    while True:
+        page = tracking.list_documents(ops, token, limit=3).orderBy("documentId").collect()
+        seen.append([r.documentId for r in page])
+        token = page[0].nextToken if page else None
+        if token is None:
+            break
+    assert seen == [["d00", "d01", "d02"], ["d03", "d04", "d05"], ["d06"]]
+
+
+def test_status_helpers(spark):
+    docs = spark.createDataFrame([("d", True), ("e", False)], "documentId STRING, ok BOOLEAN")
+    rows = tracking.stage_status(docs, "X", "ok", F.lit("bad")).orderBy("documentId", "step").collect()
+    assert [(r.status, r.message) for r in rows] == [
+        ("IN_PROGRESS", None), ("SUCCEEDED", None), ("IN_PROGRESS", None), ("FAILED", "bad")]
+    assert tracking.status_events(docs, "X", "failed", "").first().message is None
+    assert tracking.status_events(docs, "X", "init").first().initDoc == "True"
+
+
+def test_registration_first_wins(spark):
+    schema = "documentId STRING, name STRING, seq BIGINT"
+    events = spark.createDataFrame([("a", "late", 5), ("a", "first", 1), ("b", "only", 2)], schema)
+    stored = spark.createDataFrame([("b", "old", 0)], schema)
+    out = registry.register_documents(stored, events)
+    assert [(r.documentId, r.name) for r in out.accepted.collect()] == [("a", "first")]
+    assert sorted(r.seq for r in out.rejected.collect()) == [2, 5]
+
+
+def test_classification(spark):
+    schema = "documentId STRING, bucketName STRING, documentName STRING, documentMetadata MAP<STRING,STRING>"
+    reg = spark.createDataFrame([
+        ("1", "b", "n", {"class": "internal_research_report"}), ("2", "b", "n", {"class": "classified_report"}),
+        ("3", "b", "n", {}), ("4", "", "n", {"class": "x"}), ("5", "b", "n", None)], schema)
+    out = registry.classify_documents(reg)
+    assert {r.documentId: r.eligible for r in out.accepted.collect()} == {"1": True, "2": False, "3": False}
+    assert sorted(r.documentId for r in out.rejected.collect()) == ["4", "5"]
+    assert [(r.step, r.status, r.initDoc) for r in registry.start_analysis_events(out.accepted).orderBy("step").collect()] == [
+        (0, "IN_PROGRESS", "True"), (1, "SUCCEEDED", None)]
+    assert sorted(r.documentId for r in registry.refused_documents(reg).collect()) == ["2", "3"]
+
+
+def lineage_row(doc, seq, event="ObjectCreated:Put", name="f", time=None, version=None, source=None):
+    return (doc, "c", "b", name, event, version, source, source, time or f"t{seq:04d}", seq)
+
+
+def test_deletes_take_the_earliest_document_before_them(spark):
+    events = spark.createDataFrame([
+        lineage_row("UNKNOWN_YET", 1, "ObjectRemoved:Delete"),
+        lineage_row("late", 2, time="t0009"), lineage_row("UNKNOWN_YET", 3, "ObjectRemoved:Delete"),
+        lineage_row("early", 4, time="t0001"), lineage_row("UNKNOWN_YET", 5, "ObjectRemoved:Delete"),
+        lineage_row("other", 6, version="v"), lineage_row("UNKNOWN_YET", 7, "ObjectRemoved:Delete", version="v"),
+    ], LINEAGE)
+    for slice_rows in (1, 2, 100):
+        out = lineage.resolve_deleted_ids(None, events, slice_rows=slice_rows)
+        assert {r.seq: r.documentId for r in out.accepted.collect()} == {
+            2: "late", 3: "late", 4: "early", 5: "early", 6: "other", 7: "other"}
+        assert [r.seq for r in out.rejected.collect()] == [1]
+    table = lineage.append_lineage(None, lineage.resolve_deleted_ids(None, events).accepted)
+    later = spark.createDataFrame([lineage_row("UNKNOWN_YET", 8, "ObjectRemoved:Delete"),
+                                   lineage_row("newer", 9, time="t0000"), lineage_row("UNKNOWN_YET", 10, "ObjectRemoved:Delete")], LINEAGE)
+    out = lineage.resolve_deleted_ids(table, later)
+    assert {r.seq: r.documentId for r in out.accepted.collect()} == {8: "early", 9: "newer", 10: "newer"}
+
+
+def test_append_is_keyed_and_keeps_sources_of_copies_only(spark):
+    events = spark.createDataFrame([
+        lineage_row("d", 1, source="s", time="t"), lineage_row("d", 2, S.EVENT_COPY, source="s", time="t"),
+        lineage_row("e", 3, source="s")], LINEAGE)
+    table = lineage.append_lineage(None, events)
+    assert {(r.documentId, r.s3Event, r.sourceFileName) for r in table.collect()} == {
+        ("d", S.EVENT_COPY, "s"), ("e", "ObjectCreated:Put", None)}
+    assert lineage.append_lineage(table, events).count() == 2
+    assert {r.sourceFileName for r in lineage.append_lineage(None, events, keep_sources=True).collect()} == {"s"}
+    assert [r.documentId for r in lineage.lineage_edges(table).collect()] == ["d"]
+
+
+def test_routes(spark):
+    names = ["a.jpg", "b.jpeg", "c.png", "d.pdf", "e.PDF", "f.b/g", None]
+    docs = spark.createDataFrame([(str(i), "b", n) for i, n in enumerate(names)], "documentId STRING, bucketName STRING, objectName STRING")
+    out = routing.plan_copies(docs, "sync", "async")
+    assert {r.objectName: (r.targetBucketName, r.targetFileName) for r in out.accepted.collect()} == {
+        "a.jpg": ("sync", "0/a.jpg"), "b.jpeg": ("sync", "1/b.jpeg"), "c.png": ("sync", "2/c.png"), "d.pdf": ("async", "3/d.pdf")}
+    assert sorted(r.documentId for r in out.rejected.collect()) == ["4", "5", "6"]
+
+
+def test_keyed_items(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "documentId STRING, v INT")
+    put = spark.createDataFrame([("b", 9, 2), ("b", 8, 1), ("c", 3, 1)], "documentId STRING, v INT, at INT")
+    assert {tuple(r) for r in keyed.upsert_items(df, put, ["documentId"], "at").collect()} == {("a", 1), ("b", 9), ("c", 3)}
+    assert [r.documentId for r in keyed.delete_documents(df, put).collect()] == ["a"]
+    assert keyed.get_document(df, "zzz").count() == 0
+    assert keyed.items_by_key(df, "documentId", "b", ["v"]).first().v == 2
+
+
+def test_tag_check(spark):
+    objects = spark.createDataFrame([("b", f"{i}/x/ocr-analysis/fullresponse.json") for i in range(3)], "bucket STRING, key STRING")
+    objects = annotate.dissect_object_name(objects)
+    catalog = spark.createDataFrame([("b", "0/x/ocr-analysis/fullresponse.json", {"documentId": "0"}),
+                                     ("b", "1/x/ocr-analysis/fullresponse.json", {"documentId": "9"})],
+                                    "bucket STRING, key STRING, tags MAP<STRING,STRING>")
+    out = annotate.check_tag_matches_path(objects, catalog)
+    assert [r.documentId for r in out.accepted.collect()] == ["0"] and out.rejected.count() == 2
