@@ -67,17 +67,25 @@ def _features() -> Column:
     return F.array(*[F.lit(f) for f in S.OCR_FEATURES])
 
 
-def plan_ocr_jobs(objects: DataFrame, catalog: DataFrame, output_bucket: str) -> DataFrame:
-    """One OCR job per document of the async path.
+def plan_ocr_jobs(objects: DataFrame, catalog: DataFrame, output_bucket: str) -> Outcome:
+    """One OCR job per document of the async path; an object without an id is refused.
 
     The document id is the request token, so requests with the same id are the
     same job.
     """
-    jobs = earliest_by_key(tagged_objects(objects, catalog), ["documentId"], ["bucketName", "objectName"])
-    return jobs.select(
-        "*", F.col("documentId").alias("clientRequestToken"), F.col("documentId").alias("jobTag"),
-        _features().alias("featureTypes"), F.lit(output_bucket).alias("outputBucket"),
-        F.concat("objectName", F.lit("/textract-output")).alias("outputPrefix"),
+    tagged = tagged_objects(objects, catalog)
+    jobs = earliest_by_key(tagged.where(present("documentId")), ["documentId"], ["bucketName", "objectName"])
+    note = F.format_string(
+        "Not able to start document analysis for document Id %s; bucket %s with name %s",
+        F.coalesce("documentId", F.lit("")), "bucketName", "objectName",
+    )
+    return Outcome(
+        jobs.select(
+            "*", F.col("documentId").alias("clientRequestToken"), F.col("documentId").alias("jobTag"),
+            _features().alias("featureTypes"), F.lit(output_bucket).alias("outputBucket"),
+            F.concat("objectName", F.lit("/textract-output")).alias("outputPrefix"),
+        ),
+        tagged.where(~present("documentId")).withColumn("reason", note),
     )
 
 

@@ -22,7 +22,7 @@ OPERATIONS = [
     "documentId", "bucketName", "objectName", "documentStatus", "documentStage",
     "lastUpdate", "documentVersion",
 ]
-TIMELINE_PART = 100_000
+TIMELINE_PART = 10_000
 
 
 class Tracked(NamedTuple):
@@ -191,7 +191,10 @@ def operations_items(ops: DataFrame, timeline: DataFrame, part_rows: int = TIMEL
         .groupBy("documentId", "part")
         .agg(collect_in_order("ord", "timestamp", "stage", "status", "message").alias("timeline"))
     )
-    return ops.join(parts, "documentId", "left").withColumn("part", F.coalesce("part", F.lit(0)))
+    # inner, so that the many parts of one document can be split over tasks
+    told = parts.join(ops, "documentId")
+    silent = ops.join(parts.where("part = 0"), "documentId", "left_anti").withColumn("part", F.lit(0).cast("bigint"))
+    return told.unionByName(silent, allowMissingColumns=True).select(*ops.columns, "part", "timeline")
 
 
 def timeline_of(timeline: DataFrame, document_id: str) -> DataFrame:

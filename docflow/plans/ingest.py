@@ -445,15 +445,18 @@ def _copied_catalog(objects):
 
 @query("plan_ocr_jobs", COPIES + """
 SELECT id AS "documentId", target AS "bucketName", target_key AS "objectName", id AS "jobTag", 'ocr-results' AS "outputBucket",
-  target_key || '/textract-output' AS "outputPrefix", 'TABLES,FORMS' AS features
-FROM copies WHERE ext = '.pdf'""")
+  target_key || '/textract-output' AS "outputPrefix", 'TABLES,FORMS' AS features, NULL::VARCHAR AS reason
+FROM copies WHERE ext = '.pdf' AND doc_id % 5 <> 0
+UNION ALL SELECT NULL, target, target_key, NULL, NULL, NULL, NULL,
+  'Not able to start document analysis for document Id ; bucket ' || target || ' with name ' || target_key
+FROM copies, (VALUES (1), (2)) twice WHERE ext = '.pdf' AND doc_id % 5 = 0""")
 def plan_ocr_jobs(spark, d):
     objects = _copied_objects(spark, d, "async")
-    tagged = objects.select("bucket", "key", F.create_map(F.lit("documentId"), F.col("documentId")).alias("tags"))
     requests = objects.drop("documentId")
-    jobs = routing.plan_ocr_jobs(requests.unionByName(requests), tagged, "ocr-results")
-    return jobs.select("documentId", "bucketName", "objectName", "jobTag", "outputBucket", "outputPrefix",
-                       F.array_join("featureTypes", ",").alias("features"))
+    out = routing.plan_ocr_jobs(requests.unionByName(requests), _copied_catalog(objects), "ocr-results")
+    jobs = out.accepted.select("documentId", "bucketName", "objectName", "jobTag", "outputBucket", "outputPrefix",
+                               F.array_join("featureTypes", ",").alias("features"), F.lit(None).cast("string").alias("reason"))
+    return jobs.unionByName(out.rejected, allowMissingColumns=True)
 
 
 @query("sync_requests", COPIES + """

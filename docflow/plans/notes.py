@@ -188,10 +188,13 @@ def upsert_search_index(spark, d):
         F.coalesce("last", F.lit(False)).alias("last"))
 
 
-@query("search_index", INDEX + r"""
+SEARCH = INDEX + r"""
 , tokens AS (SELECT doc, page, list_distinct(regexp_split_to_array(lower(text), '[ \t\r\n!-/:-@\[-`{-~]+')) AS t FROM entries),
 hits AS (SELECT doc, page, len(list_filter(t, lambda x: x IN ('the', 'that', 'inth'))) AS matched FROM tokens)
-SELECT doc AS "documentId", page, matched::INTEGER AS matched, matched = 3 AS "all" FROM hits WHERE matched >= 1""")
+SELECT doc AS "documentId", page, matched::INTEGER AS matched, matched = 3 AS "all" FROM hits WHERE matched >= 1"""
+
+
+@query("search_index", SEARCH)
 def search_index(spark, d):
     hits = search.search_index(_pages_index(spark, d), ["THE", "that", "inth"], mode="any")
     return hits.select("documentId", "page", "matched", (F.col("matched") == 3).alias("all"))
@@ -203,3 +206,11 @@ SELECT doc AS "documentId", page FROM tokens WHERE list_contains(t, 'the') AND l
 def search_index_all(spark, d):
     talks = F.col("documentId").startswith("talk-")
     return search.search_index(_pages_index(spark, d), ["the", "and"], metadata=talks).select("documentId", "page")
+
+
+@query("search_tokens", SEARCH)
+def search_tokens(spark, d):
+    path = scratch_dir(spark, "tokens")
+    search.write_token_table(_pages_index(spark, d), path)
+    hits = search.search_tokens(spark.read.parquet(path), ["THE", "that", "inth"], mode="any")
+    return hits.select("documentId", "page", "matched", (F.col("matched") == 3).alias("all"))

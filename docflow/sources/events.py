@@ -140,11 +140,10 @@ def fan_out_by_type(messages: DataFrame) -> dict[str, DataFrame]:
 def write_metadata_events(messages: DataFrame, path: str) -> None:
     """Append messages to the log, partitioned by type.
 
-    One type may hold most rows, so files are spread by document, not by type.
+    Each task writes its own messages: one document, or the placeholder id of
+    all deletes, may hold most rows, so nothing is brought together by key.
     """
-    messages.repartition("metadataType", "documentId").write.mode("append").partitionBy(
-        "metadataType"
-    ).parquet(path)
+    messages.write.mode("append").partitionBy("metadataType").parquet(path)
 
 
 def unwrap_envelope(queue: DataFrame, schema: str, expected_source: str) -> Outcome:

@@ -199,14 +199,17 @@ def test_parts_are_joined_in_order(spark, tmp_path):
     job.mkdir(parents=True)
     (job / "-access-check").write_text("{}")
     for n in range(1, 13):
-        body = [] if n == 1 else [{"BlockType": "PAGE", "Id": f"p{n}"}, {"BlockType": "LINE", "Id": f"l{n}", "Text": str(n)}]
+        # every page goes on in the next part
+        page = [{"BlockType": "PAGE", "Id": f"p{n}"}] if n % 2 == 0 else []
+        body = [] if n == 1 else page + [{"BlockType": "LINE", "Id": f"l{n}", "Text": str(n)}]
         (job / str(n)).write_text(json.dumps({"Blocks": body}))
     parts = ocr_files.read_ocr_parts(spark, str(tmp_path), "*")
     notices = spark.createDataFrame([("job-1", "doc", True)], "jobId STRING, documentId STRING, ok BOOLEAN")
     blocks = ocr_files.blocks_of_jobs(ocr_files.concat_parts(parts), notices)
     assert blocks.agg(F.min("pos")).first()[0] == 0
-    lines = ocr.page_lines(blocks).orderBy("pos").collect()
-    assert [(r.page, r.Text) for r in lines] == [(i, str(i + 1)) for i in range(1, 12)]
+    texts = ocr.page_text(ocr.page_lines(blocks)).orderBy("page").collect()
+    assert [(r.page, r.part, r.text) for r in texts] == [
+        (i, 0, f"{2 * i}\n{2 * i + 1}\n" if i < 6 else "12\n") for i in range(1, 7)]
 
 
 def test_geometry(spark):

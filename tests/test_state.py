@@ -154,6 +154,25 @@ def test_routes(spark):
     assert sorted(r.documentId for r in out.rejected.collect()) == ["4", "5", "6"]
 
 
+def test_ocr_jobs_are_one_per_document(spark):
+    schema = "bucket STRING, key STRING, tags MAP<STRING,STRING>"
+    catalog = spark.createDataFrame([("b", "x", {"documentId": "d"}), ("b", "y", {}), ("b", "z", {"documentId": "d"})], schema)
+    objects = spark.createDataFrame([("b", "z"), ("b", "x"), ("b", "x"), ("b", "y"), ("b", "gone")], "bucket STRING, key STRING")
+    out = routing.plan_ocr_jobs(objects, catalog, "results")
+    assert [(r.documentId, r.objectName, r.outputPrefix) for r in out.accepted.collect()] == [("d", "x", "x/textract-output")]
+    assert sorted(r.objectName for r in out.rejected.collect()) == ["gone", "y"]
+    sync = routing.sync_requests(objects, catalog)
+    assert sync.accepted.count() == 3 and sync.rejected.count() == 2
+
+
+def test_items_without_timeline_are_kept(spark):
+    ops = spark.createDataFrame([("a",), ("b",)], "documentId STRING")
+    lines = spark.createDataFrame([("a", 1, "t", "s", "x", None)],
+                                  "documentId STRING, seq BIGINT, timestamp STRING, stage STRING, status STRING, message STRING")
+    items = {r.documentId: r.timeline for r in tracking.operations_items(ops, lines).collect()}
+    assert len(items["a"]) == 1 and items["b"] is None
+
+
 def test_keyed_items(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "documentId STRING, v INT")
     put = spark.createDataFrame([("b", 9, 2), ("b", 8, 1), ("c", 3, 1)], "documentId STRING, v INT, at INT")
