@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ANALYSIS_FOLDER = "/ocr-analysis"
+from docflow.schemas import ANALYSIS_FOLDER, ANNOTATION_FILE
 
 
 def _c(col: Column | str) -> Column:
@@ -48,11 +48,11 @@ def is_full_response(key) -> Column:
 
 
 def path_document_id(key) -> Column:
-    return F.split_part(F.split_part(_c(key), F.lit("/ocr-analysis/"), F.lit(1)), F.lit("/"), F.lit(1))
+    return F.split_part(F.split_part(_c(key), F.lit(f"{ANALYSIS_FOLDER}/"), F.lit(1)), F.lit("/"), F.lit(1))
 
 
 def path_document_name(key) -> Column:
-    head = F.split_part(_c(key), F.lit("/ocr-analysis/"), F.lit(1))
+    head = F.split_part(_c(key), F.lit(f"{ANALYSIS_FOLDER}/"), F.lit(1))
     return F.regexp_replace(head, "^[^/]*/?", "")
 
 
@@ -68,7 +68,7 @@ def full_response_path(object_name) -> Column:
 
 
 def annotation_path(document_id_, name) -> Column:
-    return F.concat(_c(document_id_), F.lit("/"), _c(name), F.lit("/comprehend-output.json"))
+    return F.concat(_c(document_id_), F.lit("/"), _c(name), F.lit(ANNOTATION_FILE))
 
 
 def message_time(timestamp) -> Column:

@@ -76,14 +76,13 @@ def plan_ocr_jobs(objects: DataFrame, catalog: DataFrame, output_bucket: str) ->
     tagged = tagged_objects(objects, catalog)
     jobs = earliest_by_key(tagged.where(present("documentId")), ["documentId"], ["bucketName", "objectName"])
     note = F.format_string(
-        "Not able to start document analysis for document Id %s; bucket %s with name %s",
-        F.coalesce("documentId", F.lit("")), "bucketName", "objectName",
+        S.FAILED_START, F.coalesce("documentId", F.lit("")), "bucketName", "objectName",
     )
     return Outcome(
         jobs.select(
             "*", F.col("documentId").alias("clientRequestToken"), F.col("documentId").alias("jobTag"),
             _features().alias("featureTypes"), F.lit(output_bucket).alias("outputBucket"),
-            F.concat("objectName", F.lit("/textract-output")).alias("outputPrefix"),
+            F.concat("objectName", F.lit(S.JOB_FOLDER)).alias("outputPrefix"),
         ),
         tagged.where(~present("documentId")).withColumn("reason", note),
     )
@@ -96,6 +95,6 @@ def sync_requests(objects: DataFrame, catalog: DataFrame) -> Outcome:
     return Outcome(
         tagged.where(complete).withColumn("featureTypes", _features()),
         tagged.where(~complete).withColumn(
-            "reason", F.lit("Missing documentId, bucketName or objectName.")
+            "reason", F.lit(S.INCOMPLETE_OBJECT)
         ),
     )

@@ -193,7 +193,9 @@ def operations_items(ops: DataFrame, timeline: DataFrame, part_rows: int = TIMEL
     )
     # inner, so that the many parts of one document can be split over tasks
     told = parts.join(ops, "documentId")
-    silent = ops.join(parts.where("part = 0"), "documentId", "left_anti").withColumn("part", F.lit(0).cast("bigint"))
+    silent = ops.join(timeline.select("documentId").distinct(), "documentId", "left_anti").withColumn(
+        "part", F.lit(0).cast("bigint")
+    )
     return told.unionByName(silent, allowMissingColumns=True).select(*ops.columns, "part", "timeline")
 
 

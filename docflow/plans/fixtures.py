@@ -1,8 +1,8 @@
 """Inputs that Spark derives from the given tables (rules in FIXTURES.md).
 
 Every rule is a projection of one table, row by row: no shuffle, no limit.
-OCR blocks are written to the shared folder on first use, as they would be
-stored in practice; the operators then read them as a columnar table.
+Object events and OCR blocks are written to the shared folder on first use, as
+they would be stored in practice; later steps read them as columnar tables.
 """
 
 from __future__ import annotations
@@ -36,6 +36,22 @@ def pick(values: list[str], number: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (number % len(values) + 1).cast("int"))
 
 
+_STORED: dict[tuple, str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """The derived table ``name``, written once per session to the shared folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key in _STORED:
+        try:
+            return spark.read.parquet(_STORED[key])
+        except AnalysisException:
+            pass  # the folder was cleared: write it again
+    _STORED[key] = scratch_dir(spark, name)
+    build(spark, sf_dir).write.parquet(_STORED[key])
+    return spark.read.parquet(_STORED[key])
+
+
 # --- object events from documents ---------------------------------------------------
 
 def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,12 +82,17 @@ def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(records.alias("Records"))
 
 
-def object_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Routed object events with document ids."""
+def ingested_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routed object events with document ids, from the notifications."""
     flat = ev.flatten_notifications(notifications(spark, sf_dir))
     return ev.assign_document_id(ev.route_object_events(flat))
 
 
+def object_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a stored table, as later steps read them."""
+    return stored(spark, sf_dir, "object_events", ingested_events)
+
+
 def doc_number(key: str) -> Column:
     """The ``doc_id`` inside an object key of the fixture."""
     return F.regexp_extract(key, r"/([0-9]+)\.", 1).cast("bigint")
@@ -270,22 +291,6 @@ def table_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_STORED: dict[tuple, str] = {}
-
-
-def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """The derived table ``name``, written once per session to the shared folder."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key in _STORED:
-        try:
-            return spark.read.parquet(_STORED[key])
-        except AnalysisException:
-            pass  # the folder was cleared: write it again
-    _STORED[key] = scratch_dir(spark, name)
-    build(spark, sf_dir).write.parquet(_STORED[key])
-    return spark.read.parquet(_STORED[key])
-
-
 def _blocks(responses):
     """Blocks of derived responses.
 

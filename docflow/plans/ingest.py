@@ -196,13 +196,13 @@ def fan_out_by_type(spark, d):
 SELECT id AS "documentId", name AS "eventName", CASE WHEN name = 'ObjectRemoved:Delete' THEN 'delete'
   WHEN name LIKE 'ObjectCreated%' THEN 'create' ELSE 'ignore' END AS action FROM oe""")
 def route_object_events(spark, d):
-    return fx.object_events(spark, d).select("documentId", "eventName", "action")
+    return fx.ingested_events(spark, d).select("documentId", "eventName", "action")
 
 
 @query("assign_document_id", EVENTS + """
 SELECT bucket, key, event_time AS "eventTime", id AS "documentId" FROM oe""")
 def assign_document_id(spark, d):
-    return fx.object_events(spark, d).select("bucket", "key", "eventTime", "documentId")
+    return fx.ingested_events(spark, d).select("bucket", "key", "eventTime", "documentId")
 
 
 @query("document_link", EVENTS + """
@@ -513,8 +513,7 @@ SELECT id AS "documentId", 'ASYNC_START_TEXTRACT' AS stage, step, CASE WHEN step
 FROM eligible, (VALUES (0), (1)) v(step)""")
 def stage_status(spark, d):
     docs = _tracked(spark, d)
-    note = F.format_string("Not able to start document analysis for document Id %s; bucket %s with name %s",
-                           "documentId", "bucketName", "objectName")
+    note = F.format_string(S.FAILED_START, "documentId", "bucketName", "objectName")
     return tracking.stage_status(docs, S.STAGE_ASYNC_START, names.extension("objectName") == ".pdf", note).select(
         "documentId", "stage", "step", "status", "message")
 
@@ -654,3 +653,31 @@ def delete_documents(spark, d):
     reg = _registry(spark, d)
     ids = fx.registry_events(spark, d).where(fx.doc_number("documentName") % 3 == 0).select("documentId")
     return keyed.delete_documents(reg, ids).select("documentId")
+
+
+# --- from object events to document state -----------------------------------------------------------
+
+@query("document_status", EVENTS + """
+SELECT id AS "documentId", bucket AS "bucketName", key AS "objectName", 'DOCUMENT_PROCESSOR' AS "documentStage",
+  CASE WHEN ext IN ('.pdf', '.jpg', '.jpeg', '.png') THEN 'SUCCEEDED' ELSE 'IN_PROGRESS' END AS "documentStatus",
+  CASE WHEN ext IN ('.pdf', '.jpg', '.jpeg', '.png') THEN 4 ELSE 3 END::BIGINT AS entries FROM eligible""")
+def document_status(spark, d):
+    """Register, classify, start, route and copy every document, then fold its status events."""
+    classified = registry.classify_documents(_registry(spark, d)).accepted
+    started = registry.start_analysis_events(classified).withColumn("seq", F.col("step").cast("bigint"))
+    documents = classified.where("eligible").select(
+        "documentId", "bucketName", F.col("documentName").alias("objectName"))
+    routed = routing.plan_copies(documents, "sync-ocr", "async-ocr")
+    # an object without a route stays in progress
+    copied = tracking.stage_status(routed.accepted, S.STAGE_PROCESSOR, F.lit(True))
+    stuck = tracking.stage_status(routed.rejected, S.STAGE_PROCESSOR, F.lit(False)).where("step = 0")
+    stages = copied.unionByName(stuck, allowMissingColumns=True).withColumn("seq", 2 + F.col("step").cast("bigint"))
+    columns = ["documentId", "bucketName", "objectName", "status", "stage", "initDoc", "message", "versionId", "timestamp", "seq"]
+    none = F.lit(None).cast("string")
+    events = started.unionByName(stages, allowMissingColumns=True).select(
+        *[F.col(c) if c not in ("versionId", "timestamp") else (none if c == "versionId" else F.col("seq").cast("string")).alias(c)
+          for c in columns])
+    out = tracking.fold_status_events(events)
+    entries = out.timeline.groupBy("documentId").agg(F.count(F.lit(1)).alias("entries"))
+    return out.operations.join(entries, "documentId").select(
+        "documentId", "bucketName", "objectName", "documentStage", "documentStatus", "entries")

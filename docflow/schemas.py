@@ -41,6 +41,22 @@ ANALYSIS_API = "StartDocumentAnalysis"
 CHUNK_BYTES = 4096
 LIST_PAGE = 25
 
+# --- fixed values: paths and messages ----------------------------------------
+ANALYSIS_FOLDER = "/ocr-analysis"
+JOB_FOLDER = "/textract-output"
+ANNOTATION_FILE = "/comprehend-output.json"
+FAILED_ANALYSIS = (
+    "Textract job for document ID %s; bucketName %s fileName %s; failed during Textract analysis. "
+    "Please double check the document quality"
+)
+FAILED_RESULTS = (
+    "Textract job for document ID %s; bucketName %s fileName %s; failed during Textract processing. "
+    "Could not read Textract output files under job Name %s"
+)
+FAILED_START = "Not able to start document analysis for document Id %s; bucket %s with name %s"
+FAILED_ANNOTATION = "Could not send text to Comprehend."
+INCOMPLETE_OBJECT = "Missing documentId, bucketName or objectName."
+
 # --- schemas ----------------------------------------------------------------
 NOTIFICATION = """
   Records ARRAY<STRUCT<

@@ -223,9 +223,5 @@ def parse_ocr_notices(df: DataFrame, column: str = "value") -> DataFrame:
         F.coalesce(F.col("n.API") == S.ANALYSIS_API, F.lit(False)).alias("forms"),
         F.coalesce(F.col("n.API") == S.ANALYSIS_API, F.lit(False)).alias("tables"),
     )
-    note = F.format_string(
-        "Textract job for document ID %s; bucketName %s fileName %s; failed during Textract analysis. "
-        "Please double check the document quality",
-        "documentId", "bucketName", "objectName",
-    )
+    note = F.format_string(S.FAILED_ANALYSIS, "documentId", "bucketName", "objectName")
     return n.withColumn("message", F.when(~F.col("ok"), note))

@@ -207,6 +207,10 @@ def test_parts_are_joined_in_order(spark, tmp_path):
     notices = spark.createDataFrame([("job-1", "doc", True)], "jobId STRING, documentId STRING, ok BOOLEAN")
     blocks = ocr_files.blocks_of_jobs(ocr_files.concat_parts(parts), notices)
     assert blocks.agg(F.min("pos")).first()[0] == 0
+    noted = spark.createDataFrame([("job-1", "doc", "b", "o", True), ("job-2", "e", "b", "o", True), ("job-3", "f", "b", "o", False)],
+                                  "jobId STRING, documentId STRING, bucketName STRING, objectName STRING, ok BOOLEAN")
+    lost = ocr_files.jobs_without_results(noted, parts, "results").collect()
+    assert [(r.jobId, r.ok) for r in lost] == [("job-2", False)] and lost[0].message.endswith("under job Name job-2")
     texts = ocr.page_text(ocr.page_lines(blocks)).orderBy("page").collect()
     assert [(r.page, r.part, r.text) for r in texts] == [
         (i, 0, f"{2 * i}\n{2 * i + 1}\n" if i < 6 else "12\n") for i in range(1, 7)]
