@@ -79,7 +79,8 @@ def running(
     """Add running totals (first row to this row) per key in ``order``.
 
     ``totals`` maps a new column to (``sum``/``min``/``max``, value). ``order``
-    must be unique within a key. ``slice_on`` is a number that never falls along
+    must be unique within a key; keys and ``slice_on`` must not be null.
+    ``slice_on`` is a number that never falls along
     ``order`` (default: the first order column); with ``dense`` it counts from 0
     without wide gaps and the keys need not be counted first. ``contributors``
     (dense only) are the rows that add to the totals, where these come cheaper
