@@ -12,7 +12,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # broadcast by measured sizes only: estimates from compressed files are far too low
+    # broadcast by measured sizes only: estimates from compressed files can be far too low
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "16m",
     # hash joins only where every partition of the small side is measured to fit
