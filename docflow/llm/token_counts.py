@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 from docflow.llm.common import stored, text_bytes
 from docflow.session import scratch_dir
 
-WORDS_KEPT = 400_000
+WORDS_KEPT = 1_000_000
+TEXTS_AT_ONCE = 200
 _LOADED: dict = {}
 
 
@@ -26,14 +28,32 @@ class _Counter(dict):
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
 
-    def learn(self, words) -> None:
-        new = list(words - self.keys())
-        if len(self) + len(new) > WORDS_KEPT:
+    def learn(self, words: list[bytes]) -> None:
+        """Count new words in one call; the places of the tokens tell the words apart."""
+        if len(self) + len(words) > WORDS_KEPT:
             self.clear()
-            new = list(words)
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(
-                [x.decode() for x in new], add_special_tokens=False), strict=True):
-            self[word] = len(found.ids)
+        text = [w.decode() for w in words]
+        starts = np.cumsum([0, *(len(x) + 1 for x in text[:-1])])
+        found = self.tokenizer.encode(" ".join(text), add_special_tokens=False)
+        places = np.fromiter((a for a, _ in found.offsets), dtype=np.int64, count=len(found.ids))
+        counts = np.bincount(np.searchsorted(starts, places, side="right") - 1, minlength=len(words))
+        self.update(zip(words, counts.tolist(), strict=True))
+
+    def totals(self, texts: list[bytes]) -> list[int]:
+        out = []
+        for i in range(0, len(texts), TEXTS_AT_ONCE):
+            known, new = [], []
+            for text in texts[i : i + TEXTS_AT_ONCE]:
+                # the tokenizer has no case, but its special strings do
+                words = (text if b"<|" in text else text.lower()).split()  # ASCII white space only
+                counts = list(map(self.get, words))
+                missing = [w for w, c in zip(words, counts, strict=True) if c is None] if None in counts else []
+                new += missing
+                known.append((sum(filter(None, counts)), missing))
+            if new:
+                self.learn(list(dict.fromkeys(new)))
+            out += [n + sum(map(self.__getitem__, missing)) for n, missing in known]
+        return out
 
 
 def _counter(spec: str, version: str) -> _Counter:
@@ -66,11 +86,7 @@ def encode_counts(texts: DataFrame, spec: str) -> DataFrame:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         counts = _counter(shared.value, version)
         for batch in batches:
-            found = []
-            for text in text_bytes(batch.column(1)):
-                words = text.split()  # ASCII white space only
-                counts.learn(set(words))
-                found.append(sum(map(counts.__getitem__, words)))
+            found = counts.totals(text_bytes(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["digest", "n_tokens"])
 
     return texts.mapInArrow(run, "digest binary, n_tokens bigint")
@@ -83,7 +99,7 @@ def count_tokens(
     """``(doc_id, n_bytes, n_tokens, over_limit)``, one row per input row.
 
     ``tokenizer`` is the path of a ``tokenizers`` file whose normaliser drops
-    white space. ``cache`` is a folder that all executors share; it holds
+    case and white space. ``cache`` is a folder that all executors share; it holds
     ``(digest, version, n_tokens)`` and grows by what this call had to encode.
     Without it the call starts with an empty cache. Texts whose digest is stored
     are not encoded; copies are encoded once. Null and empty texts have 0 bytes
