@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from docflow.session import configure, scratch_dir
 
 CHUNK_BYTES = 2_000_000
+BROADCAST_ROWS = 1_000_000
 _SHIPPED: set[str] = set()
 
 
@@ -41,6 +42,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def when_small(keys: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A narrow table of keys, marked for broadcast where it is counted and found small; else it is joined by a shuffle."""
+    return F.broadcast(keys) if keys.count() <= rows else keys
+
+
 def stored(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, or None where nothing was written yet."""
     try:

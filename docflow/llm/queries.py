@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import packing, secret_scan, simhash, token_counts
+from docflow.llm import (
+    embedding_dedup, mixing, packing, quality, secret_scan, simhash, sql, token_counts, toxicity, warc,
+)
 from docflow.llm.common import prepare, table
 
 QUERIES: dict = {}
@@ -28,16 +30,46 @@ def tokenizer(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_mixing", sql.MIXING)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "mix_block", "mix_slot", "mix_offset")
+
+
 @query("op4_tier_packing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+@query("op5_warc", sql.WARC)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(table(spark, sf_dir, "pages"))
+    checked = F.when(F.col("error").isNotNull(), F.raise_error(F.col("error"))).otherwise(F.col("payload_bytes"))
+    return records.select(
+        warc.page_of(F.col("record_id")).alias("page_id"), checked.alias("payload_bytes"), "payload_digest", "record_type",
+        warc.page_of(F.col("refers_to")).alias("refers_to"))
+
+
+@query("op6_embedding_cells", sql.EMBEDDINGS)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("op7_token_counts")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+@query("op8_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *quality.NUMBERS, "base_failed", "kept", "quality_score")
+
+
 @query("op9_secret_ledger")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
