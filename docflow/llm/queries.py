@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.llm import (
-    embedding_dedup, mixing, packing, quality, secret_scan, simhash, sql, token_counts, toxicity, warc,
+    embedding_dedup, mixing, packing, quality, secret_scan, simhash, sql, suffix_dedup, token_counts, toxicity, warc,
 )
 from docflow.llm.common import prepare, table
 
@@ -30,6 +30,12 @@ def tokenizer(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+@query("op1_suffix_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query("op2_toxicity")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
