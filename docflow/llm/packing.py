@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -21,10 +22,18 @@ from pyspark.sql.pandas.types import to_arrow_type
 from docflow.llm.common import text_bytes
 
 PIECES_KEPT = 4096
-CHUNKS_KEPT = 300_000
+CHUNKS_KEPT = 600_000
+TEXTS_AT_ONCE = 200
 _LOADED: dict = {}
-# White space other than single blanks and line ends between other characters, or a mark of our own.
-_UNEVEN = re.compile(r"[^\S \n]|[ \n][ \n]|\A[ \n]|[ \n]\Z|\x00|<\|")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
+_UNEVEN = ("  ", " \n", "\n ", "\n\n", "\x00", "<|")
+
+
+def even(text: str) -> bool:
+    """White space is single blanks and line ends between other characters, and no special string occurs."""
+    return bool(text) and text[0] not in " \n" and text[-1] not in " \n" and not any(
+        x in text for x in _UNEVEN) and not _OTHER_SPACE.search(text)
+
 
 SCHEMA = (
     "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, "
@@ -48,23 +57,49 @@ class _Encoder(dict):
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        return [
-            pa.array(e.ids, pa.uint32()).buffers()[1].to_pybytes()[: 4 * len(e.ids)] if e.ids else b""
-            for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def ids(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if _UNEVEN.search(text):
-            return self.encode([text])[0]
-        chunks = text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")
-        new = list(set(chunks) - self.keys())
-        if len(self) + len(new) > CHUNKS_KEPT:
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def learn(self, chunks: list[str]) -> None:
+        """Encode new chunks in one call, a line each; the line ends are single ids and tell them apart."""
+        if len(self) + len(chunks) > CHUNKS_KEPT:
             self.clear()
-            new = list(set(chunks))
-        self.update(zip(new, self.encode(new), strict=True))
-        return b"".join(map(self.__getitem__, chunks))
+        line_end = self.encode("\n")
+        chunks = [x for x in chunks if x != "\n"]
+        self["\n"] = line_end.tobytes()
+        if not chunks:
+            return
+        found = self.encode("\n".join(chunks))
+        cuts = np.flatnonzero(found == line_end[0]) if len(line_end) == 1 else []
+        if len(cuts) != len(chunks) - 1:  # not a tokenizer whose words end at a line end
+            self.update((x, self.encode(x).tobytes()) for x in chunks)
+            return
+        raw = found.tobytes()
+        self.update((x, raw[4 * a + 4 : 4 * b]) for x, a, b in zip(chunks, [-1, *cuts], [*cuts, len(found)], strict=True))
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        out = []
+        for i in range(0, len(texts), TEXTS_AT_ONCE):
+            known, new = [], []
+            for text in texts[i : i + TEXTS_AT_ONCE]:
+                if not even(text):
+                    known.append(self.encode(text).tobytes())
+                    continue
+                chunks = text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")
+                found = list(map(self.get, chunks))
+                missing = [n for n, x in enumerate(found) if x is None] if None in found else []
+                new += [chunks[n] for n in missing]
+                known.append((found, [(n, chunks[n]) for n in missing]))
+            if new:
+                self.learn(list(dict.fromkeys(new)))
+            for item in known:
+                if not isinstance(item, bytes):
+                    found, missing = item
+                    for n, chunk in missing:
+                        found[n] = self[chunk]
+                    item = b"".join(found)
+                out.append(item)
+        return out
 
 
 def _encoder(spec: str) -> _Encoder:
@@ -186,9 +221,11 @@ def pack(
         encoder = _encoder(spec.value)
         packer = TierPacker(window, smallest, step_tokens, TaskContext.get().partitionId() << 40)
         for batch in batches:
-            for document, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), strict=True):
-                ids = encoder.ids(text.decode()) + end
-                packer.add(ids, (document, len(ids) // 4))
+            documents, texts = batch.column(0).to_pylist(), [x.decode() for x in text_bytes(batch.column(1))]
+            for i in range(0, len(texts), TEXTS_AT_ONCE):
+                part = slice(i, i + TEXTS_AT_ONCE)
+                for document, ids in zip(documents[part], encoder.ids(texts[part]), strict=True):
+                    packer.add(ids + end, (document, len(ids) // 4 + 1))
                 if len(packer.out) >= 20_000:
                     yield rows(packer)
         packer.finish()
