@@ -47,6 +47,19 @@ def when_small(keys: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= rows else keys
 
 
+def with_key(docs: DataFrame, id_col: str, *order: str, key: str = "key") -> DataFrame:
+    """Add a unique number that orders rows as their ids do.
+
+    That is the id itself, unless ids are no whole numbers, missing or repeated; then
+    the rows are sorted by id (null first) and ``order``, and numbered in a written table.
+    """
+    if docs.schema[id_col].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint"):
+        odd = docs.groupBy(F.col(id_col).alias("id")).count().where("count > 1 or id is null")
+        if odd.isEmpty():
+            return docs.withColumn(key, F.col(id_col).cast("bigint"))
+    return written(docs.orderBy(id_col, *order).withColumn(key, F.monotonically_increasing_id()), "numbered")
+
+
 def stored(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, or None where nothing was written yet."""
     try:

@@ -88,16 +88,16 @@ def update_ledger(docs: DataFrame, ledger: str | None = None, text_col: str = "t
         F.first("spans").alias("spans"))
 
 
-def find_secrets(docs: DataFrame, ledger: str | None = None, text_col: str = "text") -> DataFrame:
-    """All rows and columns of ``docs`` with ``spans``: the findings of the row's text.
+def find_secrets(docs: DataFrame, ledger: str | None = None, text_col: str = "text", spans_col: str = "spans") -> DataFrame:
+    """All rows and columns of ``docs`` with ``spans_col``: the findings of the row's text.
 
     Positions are code points, ends exclusive; ``kind`` is an index into
     ``KINDS``. Null and empty texts have no spans. Repeated rows are kept, each
-    with its findings; a column of ``docs`` named ``spans`` is replaced. An empty
-    table gives an empty result.
+    with its findings; a column of ``docs`` named ``spans_col`` is replaced. An
+    empty table gives an empty result.
     """
-    found = update_ledger(docs, ledger, text_col)
-    keyed = docs.drop("spans").withColumn("_blob", blob_of(F.coalesce(F.col(text_col), F.lit(""))))
+    found = update_ledger(docs, ledger, text_col).withColumnRenamed("spans", spans_col)
+    keyed = docs.drop(spans_col).withColumn("_blob", blob_of(F.coalesce(F.col(text_col), F.lit(""))))
     return keyed.join(found.withColumnRenamed("blob", "_blob"), "_blob").drop("_blob")
 
 
