@@ -25,9 +25,11 @@ def delete_documents(df: DataFrame, ids: DataFrame, key: str = "documentId") ->
 def upsert_items(df: DataFrame, rows: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
     """Put rows unconditionally.
 
-    Several rows of one key in ``rows`` need an ``order`` column; the latest
-    wins. The stored side is only filtered, never aggregated.
+    Of several rows of one key the latest by ``order`` wins; without it, the
+    greatest by its other columns as JSON text. The stored side is only
+    filtered, never aggregated.
     """
-    fresh = latest_by_key(rows, keys, order) if order else rows
+    rest = F.to_json(F.struct(*[c for c in rows.columns if c not in keys]), {"ignoreNullFields": "false"})
+    fresh = latest_by_key(rows, keys, F.col(order) if order else rest)
     kept = df.join(fresh.select(*keys), keys, "left_anti")
     return kept.unionByName(fresh.select(*df.columns))

@@ -2,9 +2,10 @@
 
 ``blocks`` has one row per block: ``documentId``, ``pos`` (position in the
 response, from 0) and the block fields. Parent and child blocks meet in joins
-on (documentId, block id), which spread one huge document over all tasks. What
-is gathered into arrays is bounded by the id list of one block, or by
-``PAGE_PART`` blocks of one page.
+on (documentId, block id), which spread one huge document over all tasks: one
+join for what lists blocks (form keys, tables), one for what lists words. What
+is gathered into arrays is bounded by the id list of one block, or by one page,
+which is one row of text as in the files that are written from it.
 """
 
 from __future__ import annotations
@@ -12,9 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docflow.operators.ordered import collect_in_order, latest_by_key, running
-
-PAGE_PART = 1_000_000
+from docflow.operators.ordered import SLICE_ROWS, collect_in_order, latest_by_key, running
 
 
 # --- blocks -------------------------------------------------------------------
@@ -36,34 +35,6 @@ def geometry_columns(blocks: DataFrame) -> DataFrame:
     )
 
 
-def block_map(blocks: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
-    """Blocks that their id stands for: of blocks with the same id the last one counts.
-
-    ``wanted`` are the rows (and columns) of ``blocks`` that may serve as a
-    child; all blocks still decide which one is last. Repeated ids are found by
-    a hash aggregate over ids and positions alone.
-    """
-    known = blocks.where(F.col("Id").isNotNull() & F.col("BlockType").isNotNull())
-    repeated = (
-        known.groupBy("documentId", F.col("Id"))
-        .agg(F.max("pos").alias("_last"), F.count(F.lit(1)).alias("_n"))
-        .where("_n > 1")
-        .select(F.col("documentId").alias("_doc"), F.col("Id").alias("_id"), "_last")
-    )
-    candidates = known if wanted is None else wanted.where(F.col("Id").isNotNull())
-    outdated = (F.col("documentId") == F.col("_doc")) & (F.col("Id") == F.col("_id")) & (F.col("pos") < F.col("_last"))
-    return candidates.join(repeated, outdated, "left_anti")
-
-
-def _leaves(blocks: DataFrame) -> DataFrame:
-    """Words and selections by id, each with the ``token`` it adds to a text."""
-    is_word = F.col("BlockType") == "WORD"
-    return block_map(blocks, blocks.where(F.col("BlockType").isin("WORD", "SELECTION_ELEMENT"))).select(
-        "documentId", "Id", is_word.alias("isWord"),
-        F.when(is_word, F.col("Text")).otherwise(F.col("SelectionStatus")).alias("token"),
-    )
-
-
 def _ids(rel_type: str, which: str = "all") -> Column:
     """Ids listed by a block's relationships of one type: all of them, or the last list.
 
@@ -78,10 +49,28 @@ def _ids(rel_type: str, which: str = "all") -> Column:
     return F.when(F.size(lists) > 0, F.flatten(lists))
 
 
-def _resolve(parents: DataFrame, ids: Column, children: DataFrame) -> DataFrame:
-    """One row per listed id that exists: parent columns, ``ord`` and the child's columns."""
-    listed = parents.select("*", F.posexplode(ids).alias("ord", "Id"))
-    return listed.join(children, ["documentId", "Id"])
+def _is_word() -> Column:
+    return F.col("BlockType") == "WORD"
+
+
+def _token() -> Column:
+    """What a block adds to a text: its own text or its selection status, null for other blocks."""
+    return F.when(_is_word(), F.col("Text")).when(F.col("BlockType") == "SELECTION_ELEMENT", F.col("SelectionStatus"))
+
+
+def _resolve(listed: DataFrame, blocks: DataFrame, how: str = "inner", **child: Column) -> DataFrame:
+    """Add to every listed ``Id`` what ``child`` takes from the block that it stands for.
+
+    Of blocks with the same id the last one counts, whatever its type; it is
+    chosen among the listed ones after the join, so blocks that nothing lists
+    are moved once and never counted. ``listed`` holds narrow, distinct rows.
+    """
+    nodes = blocks.where(F.col("Id").isNotNull() & F.col("BlockType").isNotNull()).select(
+        "documentId", "Id", F.struct("pos", *[c.alias(n) for n, c in child.items()]).alias("_child"))
+    found = listed.join(nodes, ["documentId", "Id"], how)
+    one = found.groupBy("documentId", "Id", *[c for c in listed.columns if c not in ("documentId", "Id")]).agg(
+        F.max_by("_child", "_child.pos").alias("_child"))
+    return one.select(*listed.columns, *[F.col("_child")[n].alias(n) for n in child])
 
 
 def block_children(blocks: DataFrame, rel_type: str) -> DataFrame:
@@ -89,12 +78,12 @@ def block_children(blocks: DataFrame, rel_type: str) -> DataFrame:
 
     Ids that no block carries are skipped.
     """
-    children = block_map(blocks).select(
-        "documentId", "Id", F.col("pos").alias("childPos"), F.col("BlockType").alias("childType"),
-        F.col("Text").alias("childText"), F.col("SelectionStatus").alias("childStatus"),
-    )
-    parents = blocks.select("documentId", "pos", F.col("BlockType").alias("parentType"), "Relationships")
-    return _resolve(parents, _ids(rel_type), children).drop("Relationships").withColumnRenamed("Id", "childId")
+    listed = blocks.select(
+        "documentId", "pos", F.col("BlockType").alias("parentType"), F.posexplode(_ids(rel_type)).alias("ord", "Id"))
+    return _resolve(
+        listed, blocks, childPos=F.col("pos"), childType=F.col("BlockType"), childText=F.col("Text"),
+        childStatus=F.col("SelectionStatus"),
+    ).withColumnRenamed("Id", "childId")
 
 
 def extract_words(blocks: DataFrame) -> DataFrame:
@@ -125,17 +114,16 @@ def _number_pages(rows: DataFrame, order: list[str], opens: Column, **kw) -> Dat
         )
         .withColumn("page", F.col("page").cast("int"))
         .withColumn("offset", F.col("pos") - F.col("_start"))
-        .withColumn("part", F.floor(F.col("offset") / PAGE_PART).cast("int"))
         .drop("_start")
     )
 
 
 def segment_pages(blocks: DataFrame, **kw) -> DataFrame:
-    """Add ``page``, from 1, ``offset`` (position in the page) and ``part``.
+    """Add ``page``, from 1, and ``offset`` (position in the page).
 
     A PAGE block opens a page; blocks before the first PAGE form their own page.
     Rows may be left out beforehand, except PAGE blocks and the first block of
-    a document. ``part`` is 0 unless a page spans more than ``PAGE_PART`` blocks.
+    a document.
     """
     return _number_pages(blocks, ["pos"], _opens(), **kw)
 
@@ -145,17 +133,19 @@ def page_starts(blocks: DataFrame) -> DataFrame:
     return segment_pages(blocks.where(_opens()).select("documentId", "pos", "BlockType"))
 
 
-def _paged(rows: DataFrame, blocks: DataFrame, keep_marks: bool = False) -> DataFrame:
+def paged(rows: DataFrame, blocks: DataFrame, keep_marks: bool = False, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Add page numbers to any rows that have ``documentId`` and ``pos``.
 
     The rows meet the page openings of ``blocks`` in one window; ``keep_marks``
-    keeps the openings as rows without other values.
+    keeps the openings as rows without other values. The first block of every
+    slice takes part in the totals, so a slice without openings has its carry.
     """
     marks = blocks.where(_opens()).select("documentId", "pos", F.lit(True).alias("_mark"))
+    slices = blocks.where(F.col("pos") % slice_rows == 0).select("documentId", "pos", F.lit(False).alias("_mark"))
     mixed = rows.withColumn("_mark", F.lit(False)).unionByName(marks, allowMissingColumns=True)
     numbered = _number_pages(
         mixed.withColumn("_rank", (~F.col("_mark")).cast("int")), ["pos", "_rank"], F.col("_mark"),
-        contributors=marks,
+        contributors=marks.unionByName(slices), slice_rows=slice_rows,
     ).drop("_rank", "offset")
     return (numbered if keep_marks else numbered.where(~F.col("_mark"))).drop("_mark")
 
@@ -163,7 +153,7 @@ def _paged(rows: DataFrame, blocks: DataFrame, keep_marks: bool = False) -> Data
 def page_lines(blocks: DataFrame) -> DataFrame:
     """LINE blocks with their page."""
     lines = blocks.where(F.col("BlockType") == "LINE").select("documentId", "pos", "Text")
-    return _paged(lines, blocks)
+    return paged(lines, blocks)
 
 
 def extract_lines(blocks: DataFrame) -> DataFrame:
@@ -171,10 +161,9 @@ def extract_lines(blocks: DataFrame) -> DataFrame:
     lines = blocks.where(F.col("BlockType") == "LINE").select(
         "documentId", "pos", "Id", "Text", "Confidence", "Geometry", _ids("CHILD").alias("ids")
     )
-    words = block_map(blocks, blocks.where(F.col("BlockType") == "WORD")).select(
-        "documentId", "Id", F.struct("Id", "Text", "Confidence").alias("word")
-    )
-    found = _resolve(lines.select("documentId", "pos", "ids"), F.col("ids"), words)
+    listed = lines.select("documentId", "pos", F.posexplode("ids").alias("ord", "Id"))
+    found = _resolve(
+        listed, blocks, word=F.when(_is_word(), F.struct("Id", "Text", "Confidence"))).where(F.col("word").isNotNull())
     content = found.groupBy("documentId", "pos").agg(collect_in_order("ord", "word").alias("words"))
     none = F.array().cast(dict(content.dtypes)["words"])
     return lines.drop("ids").join(content, ["documentId", "pos"], "left").withColumn(
@@ -184,7 +173,7 @@ def extract_lines(blocks: DataFrame) -> DataFrame:
 
 def page_text(lines: DataFrame) -> DataFrame:
     """Text of each page: every line in block order, each followed by a line feed."""
-    return lines.groupBy("documentId", "page", "part").agg(
+    return lines.groupBy("documentId", "page").agg(
         F.concat(F.array_join(collect_in_order("pos", "Text"), "\n"), F.lit("\n")).alias("text")
     )
 
@@ -198,50 +187,45 @@ def _key_blocks(blocks: DataFrame) -> DataFrame:
     ).withColumn("keyIds", _ids("CHILD", "last")).where(F.col("keyIds").isNotNull())
 
 
-def _texts(parents: DataFrame, keys: list[str], blocks: DataFrame) -> DataFrame:
-    """Words and selections that each parent (``keys``, ``ids``) lists, joined by a space.
+def _texts(parents: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Words and selections that each parent (``pos``, ``ids``) lists, joined by a space.
 
     ``words`` leaves out selections; a parent that lists nothing known has
     empty texts. A group holds the id list of one parent.
     """
-    listed = parents.select("documentId", *keys, F.posexplode_outer("ids").alias("ord", "Id"))
-    found = listed.join(_leaves(blocks), ["documentId", "Id"], "left")
+    listed = parents.select("documentId", "pos", F.posexplode_outer("ids").alias("ord", "Id"))
+    found = _resolve(listed, blocks, "left", word=_is_word(), token=_token())
 
     def joined(kept):
         tokens = F.sort_array(F.collect_list(F.when(kept, F.struct("ord", "token"))))
         return F.array_join(F.transform(tokens, lambda t: t["token"]), " ")
 
-    return found.groupBy("documentId", *keys).agg(
-        joined(F.col("isWord")).alias("words"), joined(F.col("token").isNotNull()).alias("tokens")
+    return found.groupBy("documentId", "pos").agg(
+        joined(F.col("word")).alias("words"), joined(F.col("token").isNotNull()).alias("tokens")
     )
 
 
 def field_key_text(blocks: DataFrame) -> DataFrame:
     """Key text of each form field: its words joined by a space, possibly empty."""
     keys = _key_blocks(blocks).select("documentId", "pos", "Id", "Confidence", F.col("keyIds").alias("ids"))
-    texts = _texts(keys.select("documentId", "pos", "ids"), ["pos"], blocks)
+    texts = _texts(keys.select("documentId", "pos", "ids"), blocks)
     return keys.drop("ids").join(texts, ["documentId", "pos"]).select(
         "documentId", "pos", "Id", "Confidence", F.col("words").alias("key")
     )
 
 
-def _listed_values(blocks: DataFrame) -> DataFrame:
-    """VALUE blocks with a CHILD list that each KEY block lists, in order."""
-    keys = _key_blocks(blocks).select("documentId", F.col("pos").alias("keyPos"), "Relationships")
-    values = (
-        block_map(blocks, blocks.where(F.array_contains("EntityTypes", "VALUE")))
-        .withColumn("valueIds", _ids("CHILD", "last"))
-        .where(F.col("valueIds").isNotNull())
-        .select("documentId", "Id", F.col("pos").alias("valuePos"), "valueIds")
-    )
-    return _resolve(keys, _ids("VALUE"), values).drop("Relationships")
+def _value_ids() -> Column:
+    """The CHILD list of a VALUE block; null for other blocks."""
+    return F.when(F.array_contains("EntityTypes", "VALUE"), _ids("CHILD", "last"))
 
 
 def key_value_pairs(blocks: DataFrame) -> DataFrame:
     """The VALUE block that counts for each KEY block: the last with a CHILD list."""
+    listed = _key_blocks(blocks).select(
+        "documentId", F.col("pos").alias("keyPos"), F.posexplode(_ids("VALUE")).alias("ord", "Id"))
+    found = _resolve(listed, blocks, valuePos=F.col("pos"), valueIds=_value_ids()).where(F.col("valueIds").isNotNull())
     return (
-        _listed_values(blocks)
-        .groupBy("documentId", "keyPos")
+        found.groupBy("documentId", "keyPos")
         .agg(F.max_by(F.struct("Id", "valuePos", "valueIds"), F.col("ord")).alias("v"))
         .select("documentId", "keyPos", F.col("v.Id").alias("valueId"), "v.valuePos", "v.valueIds")
     )
@@ -252,48 +236,77 @@ def field_value_text(blocks: DataFrame) -> DataFrame:
     pairs = key_value_pairs(blocks).select(
         "documentId", F.col("keyPos").alias("pos"), "valueId", F.col("valueIds").alias("ids")
     )
-    texts = _texts(pairs.select("documentId", "pos", "ids"), ["pos"], blocks)
+    texts = _texts(pairs.select("documentId", "pos", "ids"), blocks)
     return pairs.drop("ids").join(texts, ["documentId", "pos"]).select(
         "documentId", "pos", "valueId", F.col("tokens").alias("value")
     )
 
 
-def _fields(blocks: DataFrame) -> DataFrame:
-    """Keys with their values; both sides look up their words together."""
-    keys = _key_blocks(blocks).select(
-        "documentId", "pos", F.lit("key").alias("side"), F.lit(0).alias("nth"), F.col("keyIds").alias("ids")
-    )
-    values = _listed_values(blocks).select(
-        "documentId", F.col("keyPos").alias("pos"), F.lit("value").alias("side"), F.col("ord").alias("nth"),
-        F.col("valueIds").alias("ids"),
-    )
-    listed = keys.unionByName(values).select(
-        "documentId", "pos", "side", "nth", F.posexplode_outer("ids").alias("ord", "Id")
-    )
-    found = listed.join(_leaves(blocks), ["documentId", "Id"], "left")
-    is_value = F.col("side") == "value"
-
-    def tokens(kept):
-        return F.sort_array(F.collect_list(F.when(kept, F.struct("nth", "ord", "token"))))
-
-    def text(items, nth):
-        return F.array_join(F.transform(F.filter(items, lambda t: t["nth"] == nth), lambda t: t["token"]), " ")
+def _structures(blocks: DataFrame, forms: bool = True, tables: bool = True) -> DataFrame:
+    """Form fields and tables at their ``pos``: ``kind``, ``key``, ``value``, ``rows``.
 
-    # only the last value block counts, with words or without
-    sides = found.groupBy("documentId", "pos").agg(
-        tokens(~is_value & F.col("isWord")).alias("k"),
-        tokens(is_value & F.col("token").isNotNull()).alias("v"),
-        F.max(F.when(is_value, F.col("nth"))).alias("last"),
-    )
-    return sides.select(
-        "documentId", "pos", text(F.col("k"), F.lit(0)).alias("key"),
-        F.when(F.col("last").isNotNull(), text(F.col("v"), F.col("last"))).alias("value"),
+    One resolution finds the value blocks of keys and the cells of tables, a
+    second one all words that keys, values and cells list. What belongs to one
+    key or table then stays in one partition: texts, rows and tables need no
+    further shuffle. Groups are bounded by the id lists of one block and of the
+    blocks it lists.
+    """
+    key = (F.col("BlockType") == "KEY_VALUE_SET") & F.array_contains("EntityTypes", "KEY") & _ids("CHILD", "last").isNotNull()
+    table = F.col("BlockType") == "TABLE"
+    parent = key if not tables else (table if not forms else key | table)
+    parents = blocks.where(parent).select("documentId", "pos", table.alias("isTable"), "Relationships")
+    none = F.array().cast("array<string>")
+    listed = parents.select(
+        "documentId", F.col("pos").alias("parent"), "isTable",
+        F.posexplode(F.coalesce(F.when(F.col("isTable"), _ids("CHILD")).otherwise(_ids("VALUE")), none)).alias("nth", "Id"))
+    ids = F.when(F.col("isTable"), F.coalesce("cellIds", none)).otherwise(F.col("valueIds"))
+    below = _resolve(
+        listed, blocks, valueIds=_value_ids(), cellIds=_ids("CHILD"), RowIndex=F.col("RowIndex"),
+    ).withColumn("ids", ids).where(F.col("ids").isNotNull()).select(
+        "documentId", "parent", F.when(F.col("isTable"), "cell").otherwise("value").alias("side"), "nth",
+        F.col("RowIndex").alias("row"), "ids")
+    # a key's own text, and a mark of every table: with a list of cells or without
+    own = parents.select(
+        "documentId", F.col("pos").alias("parent"),
+        F.when(~F.col("isTable"), "key").when(_ids("CHILD").isNotNull(), "listed").otherwise("table").alias("side"),
+        F.lit(-1).alias("nth"), F.lit(None).cast("bigint").alias("row"),
+        F.when(~F.col("isTable"), _ids("CHILD", "last")).alias("ids"))
+    words = below.unionByName(own).select(
+        "documentId", "parent", "side", "nth", "row", F.posexplode_outer("ids").alias("ord", "Id"))
+    found = _resolve(words, blocks, "left", word=_is_word(), token=_token())
+
+    def tokens(kept, value):
+        items = F.sort_array(F.collect_list(F.when(kept & F.col("token").isNotNull(), F.struct("ord", value.alias("token")))))
+        return F.transform(items, lambda t: t["token"])
+
+    cell = F.col("side") == "cell"
+    texts = found.repartition("documentId", "parent").groupBy("documentId", "parent", "side", "nth", "row").agg(
+        F.array_join(tokens(~cell & ((F.col("side") == "value") | F.col("word")), F.col("token")), " ").alias("text"),
+        F.array_join(tokens(cell, F.concat("token", F.when(F.col("word"), " ").otherwise(", "))), "").alias("cell"),
+    )
+    rows = _table_rows(texts, ["documentId", "parent"], "nth", "row").groupBy("documentId", "parent", "side", "rowOrd").agg(
+        F.max_by("text", "nth").alias("text"), collect_in_order("nth", "cell").alias("cells"))
+    no_rows, empty_row = F.array().cast("array<array<string>>"), F.array(none)
+    whole = rows.groupBy("documentId", "parent").agg(
+        F.max(F.when(F.col("side") == "key", F.col("text"))).alias("key"),
+        F.max(F.when(F.col("side") == "value", F.col("text"))).alias("value"),
+        F.max(F.col("side").isin("listed", "table")).alias("_table"), F.max(F.col("side") == "listed").alias("_listed"),
+        F.min(F.when(F.col("side") == "cell", F.col("rowOrd"))).alias("_first"),
+        F.transform(F.sort_array(F.collect_list(F.when(F.col("side") == "cell", F.struct("rowOrd", "cells")))),
+                    lambda r: r["cells"]).alias("_rows"),
+    )
+    return whole.select(
+        "documentId", F.col("parent").alias("pos"), F.when(F.col("_table"), "table").otherwise("field").alias("kind"),
+        "key", "value",
+        F.when(~F.col("_table"), None).when(F.col("_first").isNull(), F.when(F.col("_listed"), empty_row).otherwise(no_rows))
+        .when(F.col("_first") > 1, F.concat(empty_row, F.col("_rows"))).otherwise(F.col("_rows")).alias("rows"),
     )
 
 
 def extract_form_fields(blocks: DataFrame) -> DataFrame:
     """Form fields with their page; ``value`` is null for a key without a value."""
-    return _paged(_fields(blocks), blocks)
+    fields = _structures(blocks, tables=False).select("documentId", "pos", "key", "value")
+    return paged(fields, blocks)
 
 
 def form_map(fields: DataFrame) -> DataFrame:
@@ -314,7 +327,7 @@ def search_fields(fields: DataFrame, text: str) -> DataFrame:
 def forms_rows(fields: DataFrame) -> DataFrame:
     """``[key, value]`` rows of each page in block order; a missing value is empty."""
     rows = fields.withColumn("row", F.array("key", F.coalesce("value", F.lit(""))))
-    return rows.groupBy("documentId", "page", "part").agg(collect_in_order("pos", "row").alias("forms"))
+    return rows.groupBy("documentId", "page").agg(collect_in_order("pos", "row").alias("forms"))
 
 
 # --- tables -------------------------------------------------------------------
@@ -322,16 +335,11 @@ def forms_rows(fields: DataFrame) -> DataFrame:
 def _cell_texts(cells: DataFrame, keys: list[str], blocks: DataFrame) -> DataFrame:
     """Text of each cell (``keys``, ``ids``): each word and a space, each selection and a comma and space."""
     listed = cells.select("documentId", *keys, F.posexplode_outer("ids").alias("ord", "Id"))
-    found = listed.join(_leaves(blocks), ["documentId", "Id"], "left").withColumn(
-        "token", F.concat("token", F.when(F.col("isWord"), " ").otherwise(", "))
-    )
-    tokens = F.sort_array(F.collect_list(F.when(F.col("token").isNotNull(), F.struct("ord", "token"))))
-    return (
-        # by the leading keys alone, so that rows and tables need no further shuffle
-        found.repartition("documentId", keys[0])
-        .groupBy("documentId", *keys)
-        .agg(F.array_join(F.transform(tokens, lambda t: t["token"]), "").alias("text"))
-    )
+    found = _resolve(listed, blocks, "left", word=_is_word(), token=_token())
+    text = F.concat("token", F.when(F.col("word"), " ").otherwise(", "))
+    tokens = F.sort_array(F.collect_list(F.when(F.col("token").isNotNull(), F.struct("ord", text.alias("token")))))
+    return found.groupBy("documentId", *keys).agg(
+        F.array_join(F.transform(tokens, lambda t: t["token"]), "").alias("text"))
 
 
 def cell_text(blocks: DataFrame) -> DataFrame:
@@ -350,23 +358,16 @@ def extract_cells(blocks: DataFrame) -> DataFrame:
 
 def table_cells(blocks: DataFrame) -> DataFrame:
     """Cells of every TABLE in listed order, with ``cellOrd`` and text."""
-    tables = blocks.where(F.col("BlockType") == "TABLE").select(
-        "documentId", F.col("pos").alias("tablePos"), _ids("CHILD").alias("cellIds")
-    )
-    children = block_map(blocks).select("documentId", "Id", "RowIndex", _ids("CHILD").alias("ids"))
-    listed = _resolve(tables, F.col("cellIds"), children).withColumnRenamed("ord", "cellOrd")
-    return _cell_texts(listed, ["tablePos", "cellOrd", "RowIndex"], blocks)
+    listed = blocks.where(F.col("BlockType") == "TABLE").select(
+        "documentId", F.col("pos").alias("tablePos"), F.posexplode(_ids("CHILD")).alias("cellOrd", "Id"))
+    cells = _resolve(listed, blocks, RowIndex=F.col("RowIndex"), ids=_ids("CHILD"))
+    return _cell_texts(cells, ["tablePos", "cellOrd", "RowIndex"], blocks)
 
 
-def segment_table_rows(cells: DataFrame) -> DataFrame:
-    """Add ``rowOrd``, from 1: a cell with a RowIndex above the running row opens a row.
-
-    The running row starts at 1, so a first cell beyond it leaves an empty first
-    row. The window is bounded by the id list of one TABLE block.
-    """
-    w = Window.partitionBy("documentId", "tablePos").orderBy("cellOrd")
+def _table_rows(cells: DataFrame, table: list[str], order: str, row: str) -> DataFrame:
+    w = Window.partitionBy(*table).orderBy(order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    top = F.max(F.greatest(F.coalesce("RowIndex", F.lit(1)), F.lit(1))).over(upto)
+    top = F.max(F.greatest(F.coalesce(row, F.lit(1)), F.lit(1))).over(upto)
     return (
         cells.withColumn("_top", top)
         .withColumn("_opens", (F.col("_top") > F.lag("_top", 1, 1).over(w)).cast("int"))
@@ -375,73 +376,62 @@ def segment_table_rows(cells: DataFrame) -> DataFrame:
     )
 
 
-def _tables(blocks: DataFrame) -> DataFrame:
-    """``rows`` of cell texts for every TABLE at ``pos``."""
-    cells = segment_table_rows(table_cells(blocks))
-    no_rows = F.array().cast("array<array<string>>")
-    empty_row = F.array(F.array().cast("array<string>"))
-    rows = cells.groupBy("documentId", "tablePos", "rowOrd").agg(
-        collect_in_order("cellOrd", "text").alias("cells")
-    )
-    tables = rows.groupBy("documentId", F.col("tablePos").alias("pos")).agg(
-        F.min("rowOrd").alias("_first"), collect_in_order("rowOrd", "cells").alias("rows")
-    )
-    every = blocks.where(F.col("BlockType") == "TABLE").select(
-        "documentId", "pos", _ids("CHILD").isNotNull().alias("_listed")
-    )
-    return every.join(tables, ["documentId", "pos"], "left").select(
-        "documentId", "pos",
-        F.when(F.col("rows").isNull(), F.when(F.col("_listed"), empty_row).otherwise(no_rows))
-        .when(F.col("_first") > 1, F.concat(empty_row, F.col("rows")))
-        .otherwise(F.col("rows")).alias("rows"),
-    )
+def segment_table_rows(cells: DataFrame) -> DataFrame:
+    """Add ``rowOrd``, from 1: a cell with a RowIndex above the running row opens a row.
+
+    The running row starts at 1, so a first cell beyond it leaves an empty first
+    row. The window is bounded by the id list of one TABLE block.
+    """
+    return _table_rows(cells, ["documentId", "tablePos"], "cellOrd", "RowIndex")
 
 
 def extract_tables(blocks: DataFrame) -> DataFrame:
     """``rows`` of cell texts for every TABLE, with its page."""
-    return _paged(_tables(blocks), blocks).withColumnRenamed("pos", "tablePos")
+    tables = _structures(blocks, forms=False).select("documentId", "pos", "rows")
+    return paged(tables, blocks).withColumnRenamed("pos", "tablePos")
 
 
 def table_csv_rows(tables: DataFrame) -> DataFrame:
     """CSV rows of each table: a title row, its rows, two empty rows."""
-    empty = F.array().cast("array<string>")
-    return tables.withColumn(
-        "csv", F.concat(F.array(F.array(F.lit("Table"))), F.col("rows"), F.array(empty, empty))
-    )
+    return tables.withColumn("csv", _csv(F.col("rows")))
 
 
 def tables_rows(tables: DataFrame) -> DataFrame:
     """CSV rows of all tables of each page, in block order."""
-    return table_csv_rows(tables).groupBy("documentId", "page", "part").agg(
+    return table_csv_rows(tables).groupBy("documentId", "page").agg(
         F.flatten(collect_in_order("tablePos", "csv")).alias("table")
     )
 
 
 # --- whole pages ----------------------------------------------------------------
 
-def _content(blocks: DataFrame) -> DataFrame:
+def _csv(rows: Column) -> Column:
+    empty = F.array().cast("array<string>")
+    return F.concat(F.array(F.array(F.lit("Table"))), rows, F.array(empty, empty))
+
+
+def content(blocks: DataFrame) -> DataFrame:
+    """Lines, fields and tables of all documents at their ``pos``, without pages."""
+    none = F.lit(None)
     lines = blocks.where(F.col("BlockType") == "LINE").select(
         "documentId", "pos", F.lit("line").alias("kind"), F.col("Text").alias("text"),
-        F.lit(None).cast("array<array<string>>").alias("rows"),
-    )
-    fields = _fields(blocks).select(
-        "documentId", "pos", F.lit("field").alias("kind"), F.col("key").alias("text"),
-        F.array(F.array("key", F.coalesce("value", F.lit("")))).alias("rows"),
+        none.cast("string").alias("value"), none.cast("array<array<string>>").alias("rows"),
     )
-    tables = table_csv_rows(_tables(blocks)).select(
-        "documentId", "pos", F.lit("table").alias("kind"), F.lit(None).cast("string").alias("text"),
-        F.col("csv").alias("rows"),
+    others = _structures(blocks).select(
+        "documentId", "pos", "kind", F.col("key").alias("text"), "value",
+        F.when(F.col("kind") == "table", _csv(F.col("rows")))
+        .otherwise(F.array(F.array("key", F.coalesce("value", F.lit(""))))).alias("rows"),
     )
-    return lines.unionByName(fields).unionByName(tables)
+    return lines.unionByName(others)
 
 
 def page_content(blocks: DataFrame) -> DataFrame:
     """Lines, tables and fields of each page mixed in block order (``pos``).
 
-    ``text`` is the line, the field's key, or null; ``rows`` holds table rows or
-    the field's key and value.
+    ``text`` is the line, the field's key, or null; ``value`` the field's value;
+    ``rows`` holds table rows or the field's key and value.
     """
-    return _paged(_content(blocks), blocks)
+    return paged(content(blocks), blocks)
 
 
 def pages(blocks: DataFrame) -> DataFrame:
@@ -454,7 +444,7 @@ def pages(blocks: DataFrame) -> DataFrame:
             F.when(F.col("kind") == kind, F.struct("pos", F.col(value).alias("v")))
         )), lambda x: x["v"])
 
-    return _paged(_content(blocks), blocks, keep_marks=True).groupBy("documentId", "page", "part").agg(
+    return paged(content(blocks), blocks, keep_marks=True).groupBy("documentId", "page").agg(
         F.array_join(F.transform(gather("line", "text"), lambda t: F.concat(t, F.lit("\n"))), "").alias("text"),
         F.flatten(gather("table", "rows")).alias("table"),
         F.flatten(gather("field", "rows")).alias("forms"),

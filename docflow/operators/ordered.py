@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE_ROWS = 1_000_000
-HOT_KEYS = 10_000
 
 TOTALS = {"sum": F.sum, "min": F.min, "max": F.max}
 _COMBINE = {
@@ -45,24 +44,25 @@ def earliest_by_key(df: DataFrame, keys: list[str], order) -> DataFrame:
 
 
 def _sliced(df, keys, slice_on: Column, slice_rows: int, dense: bool) -> DataFrame:
-    """Add ``_slice``: consecutive rows of a hot key, null for the rows of an ordinary key."""
+    """Add ``_slice``: consecutive rows of a hot key, null for the rows of an ordinary key.
+
+    Rows without ``slice_on`` sort first and form the slice before all others.
+    """
     if dense:
-        return df.withColumn("_slice", F.floor(slice_on / F.lit(slice_rows)))
-    # Only the hottest keys are cut. The list is limited, hence safe to broadcast;
-    # a key below it holds less than 1/HOT_KEYS of the rows and stays in one slice.
+        return df.withColumn("_slice", F.coalesce(F.floor(slice_on / F.lit(slice_rows)), F.lit(-1)))
+    # every key above the slice size is cut, however many there are
     hot = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"), F.min(slice_on).alias("_lo"), F.max(slice_on).alias("_hi"))
         .where(F.col("_n") > slice_rows)
-        .orderBy(F.desc("_n"))
-        .limit(HOT_KEYS)
         .withColumn("_width", (F.col("_hi") - F.col("_lo") + 1) / F.ceil(4 * F.col("_n") / slice_rows))
-        .select(*keys, "_lo", "_width")
+        .select(*keys, F.lit(True).alias("_hot"), "_lo", "_width")
     )
+    number = F.coalesce(F.floor((slice_on - F.col("_lo")) / F.col("_width")), F.lit(-1))
     return (
-        df.join(F.broadcast(hot), keys, "left")
-        .withColumn("_slice", F.floor((slice_on - F.col("_lo")) / F.col("_width")))
-        .drop("_lo", "_width")
+        df.join(hot, keys, "left")
+        .withColumn("_slice", F.when(F.col("_hot"), number))
+        .drop("_hot", "_lo", "_width")
     )
 
 
@@ -79,9 +79,9 @@ def running(
     """Add running totals (first row to this row) per key in ``order``.
 
     ``totals`` maps a new column to (``sum``/``min``/``max``, value). ``order``
-    must be unique within a key; keys and ``slice_on`` must not be null.
-    ``slice_on`` is a number that never falls along
-    ``order`` (default: the first order column); with ``dense`` it counts from 0
+    must be unique within a key; keys must not be null. ``slice_on`` is a number
+    that never falls along ``order``, null only where ``order`` starts with null
+    (default: the first order column); with ``dense`` it counts from 0
     without wide gaps and the keys need not be counted first. ``contributors``
     (dense only) are the rows that add to the totals, where these come cheaper
     than ``df`` as a whole.
@@ -104,7 +104,7 @@ def running(
     carry = per_slice.select(
         *keys, "_slice",
         *[TOTALS[k](F.col(n)).over(earlier).alias(f"_carry_{n}") for n, (k, _) in totals.items()],
-    ).where(F.col("_slice") > 0)
+    )
     # the window already placed the rows by (keys, _slice): this join moves only the carry
     joined = rows.join(carry, [*keys, "_slice"], "left")
     return joined.select(

@@ -14,14 +14,25 @@ from docflow.operators.ordered import earliest_by_key
 def register_documents(registry: DataFrame | None, events: DataFrame) -> Outcome:
     """Insert a document if its id is absent; the first event of an id wins.
 
-    ``events`` needs ``seq``, the arrival order, unique within a document.
+    ``events`` needs ``seq``, the arrival order. Of events that share the first
+    ``seq`` of a document the least by content is registered and the others are
+    refused, equal ones as often as they came.
     """
-    accepted = earliest_by_key(events, ["documentId"], "seq")
+    content = F.to_json(F.struct(*events.columns), {"ignoreNullFields": "false"})
+    place = F.struct("seq", content.alias("content"))
+    rows = events.withColumn("_place", place)
+    first = rows.groupBy("documentId").agg(F.min("_place").alias("_first"))
     if registry is not None:
-        accepted = accepted.join(registry.select("documentId"), "documentId", "left_anti")
-    rejected = events.join(
-        accepted.select("documentId", "seq"), ["documentId", "seq"], "left_anti"
-    ).withColumn("reason", F.lit("document is already registered"))
+        stored = registry.select("documentId").distinct().withColumn("_stored", F.lit(True))
+        first = first.join(stored, "documentId", "left").withColumn(
+            "_first", F.when(F.col("_stored").isNull(), F.col("_first"))).drop("_stored")
+    judged = rows.join(first, "documentId").withColumn("_wins", F.col("_place").eqNullSafe(F.col("_first")))
+    accepted = earliest_by_key(judged.where("_wins").drop("_place", "_first", "_wins"), ["documentId"], "seq")
+    twins = judged.where("_wins").groupBy(*["documentId", "_place"]).agg(
+        F.first(F.struct(*events.columns)).alias("_row"), (F.count(F.lit(1)) - 1).cast("int").alias("_n")).where("_n > 0")
+    again = twins.select(F.explode(F.array_repeat("_row", F.col("_n"))).alias("_row")).select("_row.*")
+    rejected = judged.where("not _wins").select(*events.columns).unionByName(again).withColumn(
+        "reason", F.lit("document is already registered"))
     return Outcome(accepted, rejected)
 
 

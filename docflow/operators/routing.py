@@ -71,20 +71,29 @@ def plan_ocr_jobs(objects: DataFrame, catalog: DataFrame, output_bucket: str) ->
     """One OCR job per document of the async path; an object without an id is refused.
 
     The document id is the request token, so requests with the same id are the
-    same job.
+    same job: the first object by bucket and name gets it, every other request
+    of the document is refused as a repeat.
     """
     tagged = tagged_objects(objects, catalog)
-    jobs = earliest_by_key(tagged.where(present("documentId")), ["documentId"], ["bucketName", "objectName"])
+    known = tagged.where(present("documentId"))
+    jobs = earliest_by_key(known, ["documentId"], ["bucketName", "objectName"])
     note = F.format_string(
         S.FAILED_START, F.coalesce("documentId", F.lit("")), "bucketName", "objectName",
     )
+    # equal requests of one object are counted, so that the job is one of them
+    counted = known.groupBy("documentId", "bucketName", "objectName").agg(F.count(F.lit(1)).alias("_n"))
+    first = jobs.select("documentId", F.struct("bucketName", "objectName").alias("_job"))
+    again = counted.join(first, "documentId").withColumn(
+        "_n", F.col("_n") - (F.struct("bucketName", "objectName") == F.col("_job")).cast("bigint"))
+    repeats = again.where("_n > 0").select(
+        "documentId", "bucketName", "objectName", F.explode(F.array_repeat(F.lit("document already has a job"), F.col("_n").cast("int"))).alias("reason"))
     return Outcome(
         jobs.select(
             "*", F.col("documentId").alias("clientRequestToken"), F.col("documentId").alias("jobTag"),
             _features().alias("featureTypes"), F.lit(output_bucket).alias("outputBucket"),
             F.concat("objectName", F.lit(S.JOB_FOLDER)).alias("outputPrefix"),
         ),
-        tagged.where(~present("documentId")).withColumn("reason", note),
+        tagged.where(~present("documentId")).withColumn("reason", note).unionByName(repeats),
     )
 
 

@@ -3,7 +3,7 @@
 The state is one narrow row per document, folded by aggregates that combine
 before the shuffle. The timeline stays a table of rows, so a document with very
 many events is never gathered into one row; ``operations_items`` adds the
-timeline as arrays of bounded length.
+timeline as one list, or as lists of a length that the caller chooses.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ OPERATIONS = [
     "documentId", "bucketName", "objectName", "documentStatus", "documentStage",
     "lastUpdate", "documentVersion",
 ]
-TIMELINE_PART = 10_000
 
 
 class Tracked(NamedTuple):
@@ -169,27 +168,46 @@ def fold_status_events(events: DataFrame) -> Tracked:
     )
 
 
-def mark_complete(ops: DataFrame, ids: DataFrame, stage: str, timestamp: Column) -> Tracked:
-    """Set documents to succeeded, with an empty message in the timeline entry."""
-    events = ids.select(
+def mark_complete(
+    ops: DataFrame, ids: DataFrame, stage: str, timestamp: Column, timeline: DataFrame | None = None,
+    seq: Column | int = 0,
+) -> Tracked:
+    """Set documents to succeeded, with an empty message in the timeline entry.
+
+    The entry comes last: its ``seq`` is one above the document's greatest in
+    ``timeline``, and at least ``seq``. Give one of them where the document has
+    entries already.
+    """
+    rows = ids.select("documentId").distinct()
+    least = F.lit(seq) if isinstance(seq, int) else seq
+    number = least.cast("bigint")
+    if timeline is not None:
+        last = timeline.groupBy("documentId").agg((F.max("seq") + 1).alias("_next"))
+        rows, number = rows.join(last, "documentId", "left"), F.greatest(number, F.col("_next"))
+    events = rows.select(
         "documentId", F.lit(S.SUCCEEDED).alias("status"), F.lit(stage).alias("stage"),
         timestamp.alias("timestamp"), F.lit("").alias("message"),
-        F.lit(None).cast("string").alias("initDoc"), F.lit(0).cast("bigint").alias("seq"),
-    ).dropDuplicates(["documentId"])
+        F.lit(None).cast("string").alias("initDoc"), number.alias("seq"),
+    )
     return update_tracking(ops, events)
 
 
-def operations_items(ops: DataFrame, timeline: DataFrame, part_rows: int = TIMELINE_PART, **kw) -> DataFrame:
-    """Items with their ``timeline`` array.
+def operations_items(ops: DataFrame, timeline: DataFrame, part_rows: int | None = None, **kw) -> DataFrame:
+    """Items with their ``timeline`` array, the whole history of a document in one list.
 
-    A timeline of more than ``part_rows`` entries continues in further rows of
-    the document, numbered by ``part``.
+    A document whose list would not fit a row is the reason to choose
+    ``part_rows``: its timeline then continues after so many entries in further
+    rows, numbered by ``part``. The rows of the timeline themselves have no limit.
     """
+    entry = collect_in_order("seq", "timestamp", "stage", "status", "message").alias("timeline")
+    if part_rows is None:
+        lists = timeline.groupBy("documentId").agg(entry)
+        return ops.join(lists, "documentId", "left").select(*ops.columns, "timeline")
     parts = (
         ordinal(timeline, ["documentId"], ["seq"], **kw)
         .withColumn("part", F.floor(F.col("ord") / part_rows))
         .groupBy("documentId", "part")
-        .agg(collect_in_order("ord", "timestamp", "stage", "status", "message").alias("timeline"))
+        .agg(entry)
     )
     # inner, so that the many parts of one document can be split over tasks
     told = parts.join(ops, "documentId")

@@ -449,7 +449,9 @@ SELECT id AS "documentId", target AS "bucketName", target_key AS "objectName", i
 FROM copies WHERE ext = '.pdf' AND doc_id % 5 <> 0
 UNION ALL SELECT NULL, target, target_key, NULL, NULL, NULL, NULL,
   'Not able to start document analysis for document Id ; bucket ' || target || ' with name ' || target_key
-FROM copies, (VALUES (1), (2)) twice WHERE ext = '.pdf' AND doc_id % 5 = 0""")
+FROM copies, (VALUES (1), (2)) twice WHERE ext = '.pdf' AND doc_id % 5 = 0
+UNION ALL SELECT id, target, target_key, NULL, NULL, NULL, NULL, 'document already has a job'
+FROM copies WHERE ext = '.pdf' AND doc_id % 5 <> 0""")
 def plan_ocr_jobs(spark, d):
     objects = _copied_objects(spark, d, "async")
     requests = objects.drop("documentId")

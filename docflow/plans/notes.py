@@ -165,7 +165,7 @@ def _pages_index(spark, d):
         (F.col("turn") + 1).cast("int").alias("page"), "text")
     docs = _texts(spark, d).select("documentId", F.lit(1).alias("page"), "text")
     return docs.unionByName(talk).select(
-        "documentId", "page", F.lit(0).alias("part"), F.array().cast("array<string>").alias("KeyPhrases"),
+        "documentId", "page", F.array().cast("array<string>").alias("KeyPhrases"),
         F.create_map().cast("map<string,string>").alias("Entities"), "text")
 
 

@@ -151,14 +151,14 @@ def block_children(spark, d):
 # --- pages --------------------------------------------------------------------------------
 
 @query("segment_pages", LINES + """
-SELECT doc AS "documentId", 'l' || i AS id, page, 0 AS part FROM lines
-UNION ALL SELECT doc, 'p' || i, page, 0 FROM lines WHERE i % 20 = 0 AND (i > 0 OR doc_id % 5 <> 0)
-UNION ALL SELECT doc, 'w0-0', 1, 0 FROM split WHERE doc_id % 4 = 0
-UNION ALL SELECT w.doc, 'w' || w.i || '-' || j, page, 0 FROM words w JOIN lines USING (doc, i)""")
+SELECT doc AS "documentId", 'l' || i AS id, page FROM lines
+UNION ALL SELECT doc, 'p' || i, page FROM lines WHERE i % 20 = 0 AND (i > 0 OR doc_id % 5 <> 0)
+UNION ALL SELECT doc, 'w0-0', 1 FROM split WHERE doc_id % 4 = 0
+UNION ALL SELECT w.doc, 'w' || w.i || '-' || j, page FROM words w JOIN lines USING (doc, i)""")
 def segment_pages(spark, d):
     blocks = fx.text_blocks(spark, d).select("documentId", "pos", "BlockType", "Id")
     # slices of 1000 blocks, so that the carried totals take part
-    return ocr.segment_pages(blocks, slice_rows=1000).select("documentId", F.col("Id").alias("id"), "page", "part")
+    return ocr.segment_pages(blocks, slice_rows=1000).select("documentId", F.col("Id").alias("id"), "page")
 
 
 @query("extract_lines", LINES + """
@@ -172,7 +172,7 @@ def extract_lines(spark, d):
 @query("page_text", LINES + """
 SELECT doc AS "documentId", page, string_agg(text || chr(10), '' ORDER BY i) AS text FROM lines GROUP BY doc, page""")
 def page_text(spark, d):
-    return ocr.page_text(ocr.page_lines(fx.text_blocks(spark, d))).drop("part")
+    return ocr.page_text(ocr.page_lines(fx.text_blocks(spark, d)))
 
 
 # --- forms ----------------------------------------------------------------------------------

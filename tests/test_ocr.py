@@ -41,11 +41,16 @@ def test_pages(spark):
     assert whole == texts | {("lead", 2): ""}
 
 
-def test_huge_page_continues_in_parts(spark, monkeypatch):
-    monkeypatch.setattr(ocr, "PAGE_PART", 3)
-    blocks = blocks_of(spark, d=[b("PAGE", "p")] + [b("LINE", str(i), Text=str(i)) for i in range(7)])
-    parts = {r.part: r.text for r in ocr.page_text(ocr.page_lines(blocks)).collect()}
-    assert parts == {0: "0\n1\n", 1: "2\n3\n4\n", 2: "5\n6\n"}
+def test_page_of_many_slices_is_one_row(spark):
+    """Short slices, some without a page opening, give the same pages as one slice."""
+    def lines(n):
+        return [b("LINE", f"l{i}", Text=str(i)) for i in range(n)]
+
+    blocks = blocks_of(spark, d=[b("PAGE", "p")] + lines(7), e=lines(9) + [b("PAGE", "p")] + lines(2))
+    rows = blocks.where("BlockType = 'LINE'").select("documentId", "pos", "Text")
+    for slice_rows in (1, 2, 3, 100):
+        got = {(r.documentId, r.page): r.text for r in ocr.page_text(ocr.paged(rows, blocks, slice_rows=slice_rows)).collect()}
+        assert got == {("d", 1): "".join(f"{i}\n" for i in range(7)), ("e", 1): "".join(f"{i}\n" for i in range(9)), ("e", 2): "0\n1\n"}
 
 
 def test_lines_skip_unknown_ids_and_take_the_last_of_a_repeated_id(spark):
@@ -177,8 +182,8 @@ def test_annotator_failure_marks_only_its_text(spark):
                 raise ValueError("no")
             yield [t.upper()], {"KIND": t}
 
-    pages = spark.createDataFrame([("d", 1, 0, "one"), ("d", 2, 0, "bad"), ("e", 1, 0, "two")],
-                                  "documentId STRING, page INT, part INT, text STRING").coalesce(1)
+    pages = spark.createDataFrame([("d", 1, "one"), ("d", 2, "bad"), ("e", 1, "two")],
+                                  "documentId STRING, page INT, text STRING").coalesce(1)
     notes = annotate.annotate_text(annotate.chunk_text(pages), shout)
     merged = {(r.documentId, r.page): (r.KeyPhrases, r.Entities, r.error) for r in annotate.merge_annotations(notes).collect()}
     assert merged == {("d", 1): (["ONE"], {"KIND": "one"}, None), ("d", 2): ([], {}, "no"), ("e", 1): (["TWO"], {"KIND": "two"}, None)}
@@ -212,8 +217,8 @@ def test_parts_are_joined_in_order(spark, tmp_path):
     lost = ocr_files.jobs_without_results(noted, parts, "results").collect()
     assert [(r.jobId, r.ok) for r in lost] == [("job-2", False)] and lost[0].message.endswith("under job Name job-2")
     texts = ocr.page_text(ocr.page_lines(blocks)).orderBy("page").collect()
-    assert [(r.page, r.part, r.text) for r in texts] == [
-        (i, 0, f"{2 * i}\n{2 * i + 1}\n" if i < 6 else "12\n") for i in range(1, 7)]
+    assert [(r.page, r.text) for r in texts] == [
+        (i, f"{2 * i}\n{2 * i + 1}\n" if i < 6 else "12\n") for i in range(1, 7)]
 
 
 def test_geometry(spark):

@@ -52,6 +52,8 @@ def test_fold_equals_one_event_at_a_time(spark):
     assert len(hot) > 2 and all(len(r.timeline) == 10 for r in hot[:-1])
     joined = [e.timestamp for r in hot for e in r.timeline]
     assert joined == sorted(joined)
+    whole = {r.documentId: [e.timestamp for e in r.timeline] for r in tracking.operations_items(out.operations, out.timeline).collect()}
+    assert whole["hot"] == joined and sum(map(len, whole.values())) == len(lines)
 
 
 def test_start_then_update_equals_the_fold(spark):
@@ -65,6 +67,9 @@ def test_start_then_update_equals_the_fold(spark):
     done = tracking.mark_complete(ops, ops, S.STAGE_ANNOTATE, F.lit("t9"))
     assert done.timeline.first().message == "" and done.operations.first().documentStatus == "SUCCEEDED"
     assert tracking.finished_documents(done.operations).count() == 1
+    later = tracking.mark_complete(out.operations, out.operations, S.STAGE_ANNOTATE, F.lit("t9"), out.timeline)
+    assert [r.seq for r in later.timeline.collect()] == [4]
+    assert [r.seq for r in tracking.mark_complete(ops, ops, "X", F.lit("t"), out.timeline, seq=9).timeline.collect()] == [9]
 
 
 def test_paging(spark):
@@ -95,6 +100,10 @@ def test_registration_first_wins(spark):
     out = registry.register_documents(stored, events)
     assert [(r.documentId, r.name) for r in out.accepted.collect()] == [("a", "first")]
     assert sorted(r.seq for r in out.rejected.collect()) == [2, 5]
+    twins = spark.createDataFrame([("a", "y", 1), ("a", "x", 1), ("a", "x", 1), ("b", "z", 1)], schema)
+    out = registry.register_documents(None, twins)
+    assert sorted(r.name for r in out.accepted.collect()) == ["x", "z"]
+    assert sorted(r.name for r in out.rejected.collect()) == ["x", "y"]
 
 
 def test_classification(spark):
@@ -160,7 +169,8 @@ def test_ocr_jobs_are_one_per_document(spark):
     objects = spark.createDataFrame([("b", "z"), ("b", "x"), ("b", "x"), ("b", "y"), ("b", "gone")], "bucket STRING, key STRING")
     out = routing.plan_ocr_jobs(objects, catalog, "results")
     assert [(r.documentId, r.objectName, r.outputPrefix) for r in out.accepted.collect()] == [("d", "x", "x/textract-output")]
-    assert sorted(r.objectName for r in out.rejected.collect()) == ["gone", "y"]
+    assert sorted((r.objectName, r.reason == "document already has a job") for r in out.rejected.collect()) == [
+        ("gone", False), ("x", True), ("y", False), ("z", True)]
     sync = routing.sync_requests(objects, catalog)
     assert sync.accepted.count() == 3 and sync.rejected.count() == 2
 
@@ -177,6 +187,7 @@ def test_keyed_items(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "documentId STRING, v INT")
     put = spark.createDataFrame([("b", 9, 2), ("b", 8, 1), ("c", 3, 1)], "documentId STRING, v INT, at INT")
     assert {tuple(r) for r in keyed.upsert_items(df, put, ["documentId"], "at").collect()} == {("a", 1), ("b", 9), ("c", 3)}
+    assert {tuple(r) for r in keyed.upsert_items(df, put.drop("at"), ["documentId"]).collect()} == {("a", 1), ("b", 9), ("c", 3)}
     assert [r.documentId for r in keyed.delete_documents(df, put).collect()] == ["a"]
     assert keyed.get_document(df, "zzz").count() == 0
     assert keyed.items_by_key(df, "documentId", "b", ["v"]).first().v == 2
