@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from docflow import schemas as S
 from docflow.functions.names import document_signature
 from docflow.operators import Outcome
-from docflow.operators.ordered import latest_by_key, running
+from docflow.operators.ordered import SLICE_ROWS, latest_by_key, running
 
 
 def with_signature(events: DataFrame) -> DataFrame:
@@ -17,52 +18,43 @@ def with_signature(events: DataFrame) -> DataFrame:
     )
 
 
-def resolve_deleted_ids(
-    lineage: DataFrame | None, events: DataFrame, slice_on: Column | None = None, **kw
-) -> Outcome:
+def first_documents(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The least (timestamp, document) of each key, combined before the shuffle."""
+    return rows.groupBy(*keys).agg(F.min(F.struct("timestamp", "documentId")).alias("_doc"))
+
+
+def resolve_deleted_ids(lineage: DataFrame | None, events: DataFrame, slice_rows: int = SLICE_ROWS) -> Outcome:
     """Give each ``ObjectRemoved`` event the id of the document it deleted.
 
     That is the earliest document, by timestamp, among the rows with the same
     signature that are stored or arrived before the delete. A delete without
-    one is refused. Other events pass unchanged.
+    one is refused, and so is every event whose time cannot be read. Other
+    events pass unchanged. ``seq`` is a number or, as from
+    ``flatten_notifications``, a struct that starts with one.
     """
     events = with_signature(events)
+    kind = events.schema["seq"].dataType
+    number = F.col("seq")[kind.fieldNames()[0]] if isinstance(kind, StructType) else F.col("seq")
+    timed, untimed = events.where(number.isNotNull()), events.where(number.isNull())
     removed = F.col("s3Event").startswith("ObjectRemoved")
-    deletes, others = events.where(removed), events.where(~removed)
-    deleted_objects = deletes.select("documentSignature").distinct()
-
-    def candidates(rows, stored):
-        return rows.select(
-            "documentSignature", F.lit(stored).alias("_stored"),
-            (F.lit(None).cast(events.schema["seq"].dataType) if stored else F.col("seq")).alias("seq"),
-            F.struct("timestamp", "documentId").alias("_doc"),
-        ).join(deleted_objects, "documentSignature", "left_semi")
-
-    # stored rows precede every event: their earliest row joins as a plain value
-    history = others.transform(lambda d: candidates(d, False)).drop("_stored").unionByName(
-        deletes, allowMissingColumns=True
-    )
+    rows = timed.withColumn("_removed", F.coalesce(removed, F.lit(False)))
+    document = F.when(~F.col("_removed"), F.struct("timestamp", "documentId"))
     found = running(
-        history, ["documentSignature"], ["seq"], {"_first": ("min", F.col("_doc"))},
-        slice_on=slice_on, **kw,
-    ).where(F.col("s3Event").isNotNull())
+        rows, ["documentSignature"], ["seq", "_removed", "documentId"], {"_first": ("min", document)},
+        slice_on=number, slice_rows=slice_rows)
     if lineage is not None:
-        stored = (
-            lineage.join(deleted_objects, "documentSignature", "left_semi")
-            .groupBy("documentSignature")
-            .agg(F.min(F.struct("timestamp", "documentId")).alias("_stored"))
-        )
-        found = found.join(stored, "documentSignature", "left").withColumn(
-            "_first", F.least("_first", "_stored")
-        )
-    resolved = found.withColumn("documentId", F.col("_first")["documentId"])
-    accepted = others.unionByName(
-        resolved.where(F.col("documentId").isNotNull()).select(*events.columns)
-    )
-    rejected = resolved.where(F.col("documentId").isNull()).select(*events.columns).withColumn(
-        "reason", F.lit("no earlier document with this signature")
+        deleted = timed.where(removed).select("documentSignature").distinct()
+        stored = first_documents(
+            lineage.join(deleted, "documentSignature", "left_semi"), ["documentSignature"]).withColumnRenamed("_doc", "_stored")
+        found = found.join(stored, "documentSignature", "left").withColumn("_first", F.least("_first", "_stored"))
+    columns = events.columns
+    resolved = found.withColumn("documentId", F.when(F.col("_removed"), F.col("_first")["documentId"]).otherwise(F.col("documentId")))
+    missing = F.col("_removed") & F.col("documentId").isNull()
+    return Outcome(
+        resolved.where(~missing).select(*columns),
+        resolved.where(missing).select(*columns, F.lit("no earlier document with this signature").alias("reason")).unionByName(
+            untimed.withColumn("reason", F.lit("event time cannot be read"))),
     )
-    return Outcome(accepted, rejected)
 
 
 def append_lineage(

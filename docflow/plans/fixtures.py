@@ -23,13 +23,9 @@ LINES_PER_PAGE = 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A given table; ``spread`` deals the rows of a table of few files to all cores.
-
-    A table of many files is read by as many tasks already and is not moved.
-    """
+    """A given table; ``spread`` deals its rows to all cores, where each makes many rows."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if spread and len(df.inputFiles()) < cores else df
+    return df.repartition(spark.sparkContext.defaultParallelism) if spread else df
 
 
 def pick(values: list[str], number: Column) -> Column:
@@ -82,6 +78,13 @@ def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(records.alias("Records"))
 
 
+def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are no notifications, one per document: cut off, without records, with none."""
+    doc = F.col("doc_id")
+    text = pick(['{"Records":[{"eventName":"Obj', '{"Event":"s3:TestEvent"}', '{"Records":[]}'], doc)
+    return table(spark, sf_dir, "documents").select(text.alias("value"))
+
+
 def ingested_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Routed object events with document ids, from the notifications."""
     flat = ev.flatten_notifications(notifications(spark, sf_dir))

@@ -72,12 +72,16 @@ def _messages(spark, d):
 # --- sources -----------------------------------------------------------------------
 
 @query("read_object_events", EVENTS + """
-SELECT name AS "eventName", event_time AS "eventTime", bucket, key, version AS "versionId", principal AS "principalId" FROM oe""")
+SELECT name AS "eventName", event_time AS "eventTime", bucket, key, version AS "versionId", principal AS "principalId", NULL::VARCHAR AS reason FROM oe
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, CASE doc_id % 3 WHEN 0 THEN 'failed to parse notification' ELSE 'no records in notification' END FROM raw""")
 def read_object_events(spark, d):
     path = scratch_dir(spark, "notifications")
-    fx.notifications(spark, d).write.json(path)
-    return ev.read_object_events(spark, path).select(
-        "eventName", "eventTime", "bucket", "key", "versionId", "principalId")
+    fx.notifications(spark, d).select(F.to_json(F.struct("Records")).alias("value")).unionByName(
+        fx.broken_lines(spark, d)).write.text(path)
+    out = ev.read_object_events(spark, path)
+    return out.accepted.select(
+        "eventName", "eventTime", "bucket", "key", "versionId", "principalId", F.lit(None).cast("string").alias("reason")
+    ).unionByName(out.rejected.select("reason"), allowMissingColumns=True)
 
 
 def _queue(spark, d):
@@ -115,7 +119,7 @@ def unwrap_envelope(spark, d):
         "messageId", none.alias("documentId"), none.alias("class"), none.alias("documentVersion"), "reason"))
 
 
-def _changes(spark, d):
+def change_records(spark, d):
     """Registry inserts as change records with typed attributes; re-uploads count as MODIFY."""
     def s(c):
         return F.struct(F.col(c).alias("S"))
@@ -143,24 +147,26 @@ CHANGES = EVENTS + """
 
 
 @query("read_changes", CHANGES + """
-SELECT kind AS "eventName", event_time AS "SequenceNumber",
+SELECT NULL::VARCHAR AS reason, kind AS "eventName", event_time AS "SequenceNumber",
   CASE WHEN kind <> 'REMOVE' THEN id END AS "documentId",
   CASE WHEN kind <> 'REMOVE' THEN doc_id::VARCHAR END AS size,
   CASE WHEN kind <> 'REMOVE' THEN 'true' END AS pinned,
-  CASE WHEN kind <> 'REMOVE' THEN class END AS class FROM changes""")
-def read_changes(spark, d):
-    c = ev.read_changes(_changes(spark, d))
-    return c.select(
-        "eventName", "SequenceNumber", F.col("new_image")["documentId"].alias("documentId"),
+  CASE WHEN kind <> 'REMOVE' THEN class END AS class FROM changes
+UNION ALL SELECT CASE WHEN doc_id % 2 = 0 THEN 'failed to parse change record' ELSE 'no event name in change record' END, NULL, NULL, NULL, NULL, NULL, NULL FROM raw""")
+def readchange_records(spark, d):
+    broken = fx.table(spark, d, "documents").select(fx.pick(["{broken", '{"dynamodb":{}}'], F.col("doc_id")).alias("value"))
+    out = ev.read_changes(change_records(spark, d).unionByName(broken))
+    return out.accepted.select(
+        F.lit(None).cast("string").alias("reason"), "eventName", "SequenceNumber", F.col("new_image")["documentId"].alias("documentId"),
         F.col("new_image")["size"].alias("size"), F.col("new_image")["pinned"].alias("pinned"),
         ev.attribute_map(F.col("new_image")["documentMetadata"])["class"].alias("class"),
-    )
+    ).unionByName(out.rejected.select("reason"), allowMissingColumns=True)
 
 
 @query("filter_changes", CHANGES + """
 SELECT kind AS "eventName", id AS "documentId", kind = 'INSERT' AS routed FROM changes WHERE kind <> 'REMOVE'""")
-def filter_changes(spark, d):
-    c = ev.read_changes(_changes(spark, d))
+def filterchange_records(spark, d):
+    c = ev.read_changes(change_records(spark, d)).accepted
     classified = ev.filter_changes(c, ["INSERT", "MODIFY"])
     return classified.select(
         "eventName", F.col("new_image")["documentId"].alias("documentId"), (F.col("eventName") == "INSERT").alias("routed"))
@@ -337,8 +343,10 @@ def check_tag_matches_path(spark, d):
 @query("parse_ocr_notices", EVENTS + """
 SELECT id AS "documentId", 'job-' || doc_id AS "jobId", doc_id % 6 <> 1 AS ok, doc_id % 2 = 0 AS forms, doc_id % 2 = 0 AS tables,
   CASE WHEN doc_id % 6 = 1 THEN 'Textract job for document ID ' || id || '; bucketName ' || bucket || ' fileName ' || key
-    || '; failed during Textract analysis. Please double check the document quality' END AS message
-FROM created""")
+    || '; failed during Textract analysis. Please double check the document quality' END AS message, NULL::VARCHAR AS reason
+FROM created
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, CASE WHEN doc_id % 2 = 0 THEN 'failed to parse notice' ELSE 'no job or document in notice' END
+FROM created WHERE doc_id % 5 = 0""")
 def parse_ocr_notices(spark, d):
     n = fx.doc_number("documentName")
     notice = F.to_json(F.struct(
@@ -346,8 +354,12 @@ def parse_ocr_notices(spark, d):
         F.when(n % 6 == 1, "FAILED").otherwise("SUCCEEDED").alias("Status"),
         F.when(n % 2 == 0, S.ANALYSIS_API).otherwise("StartDocumentTextDetection").alias("API"),
         F.struct(F.col("bucketName").alias("S3Bucket"), F.col("documentName").alias("S3ObjectName")).alias("DocumentLocation")))
-    return ev.parse_ocr_notices(fx.registry_events(spark, d).select(notice.alias("value"))).select(
-        "documentId", "jobId", "ok", "forms", "tables", "message")
+    broken = F.when(n % 2 == 0, F.expr("substr(value, 1, 20)")).otherwise('{"Status":"SUCCEEDED"}')
+    values = fx.registry_events(spark, d).select("documentName", notice.alias("value"))
+    out = ev.parse_ocr_notices(values.unionByName(values.where(n % 5 == 0).withColumn("value", broken)))
+    return out.accepted.select(
+        "documentId", "jobId", "ok", "forms", "tables", "message", F.lit(None).cast("string").alias("reason")
+    ).unionByName(out.rejected.select("reason"), allowMissingColumns=True)
 
 
 # --- registry and classification ------------------------------------------------------
@@ -360,7 +372,7 @@ def register_documents(spark, d):
     events = fx.registry_events(spark, d)
     n = fx.doc_number("documentName")
     # every 4th message is sent twice; every 12th document is already stored
-    again = events.where(n % 4 == 0).withColumn("seq", F.col("seq").withField("eventTime", F.concat("seq.eventTime", F.lit("+"))))
+    again = events.where(n % 4 == 0).withColumn("seq", F.col("seq").withField("micros", F.col("seq.micros") + 1))
     stored = registry.register_documents(None, events.where(n % 12 == 0)).accepted
     out = registry.register_documents(stored, events.unionByName(again))
     both = out.accepted.select("documentId", F.lit(1).alias("a")).unionByName(
@@ -564,14 +576,14 @@ def get_tags(spark, d):
 @query("resolve_deleted_ids", RESOLVED + """
 SELECT signature, ts AS "timestamp", found AS "documentId", CASE WHEN found IS NULL THEN 'no earlier document with this signature' END AS reason FROM resolved""")
 def resolve_deleted_ids(spark, d):
-    out = lineage.resolve_deleted_ids(None, fx.lineage_events(spark, d), slice_on=ev.arrival_number())
+    out = lineage.resolve_deleted_ids(None, fx.lineage_events(spark, d))
     deleted = out.accepted.where(F.col("s3Event") == S.EVENT_DELETE)
     return deleted.withColumn("reason", F.lit(None).cast("string")).unionByName(out.rejected).select(
         F.col("documentSignature").alias("signature"), "timestamp", "documentId", "reason")
 
 
 def _lineage(spark, d):
-    resolved = lineage.resolve_deleted_ids(None, fx.lineage_events(spark, d), slice_on=ev.arrival_number()).accepted
+    resolved = lineage.resolve_deleted_ids(None, fx.lineage_events(spark, d)).accepted
     return lineage.append_lineage(None, resolved)
 
 

@@ -84,36 +84,48 @@ def explode_blocks(spark, d):
 
 
 @query("read_ocr_responses", LINES + """
-SELECT doc AS "documentId", i AS line, text FROM lines""")
+SELECT doc AS "documentId", i AS line, text, NULL::VARCHAR AS reason FROM lines
+UNION ALL SELECT doc, NULL, NULL, 'failed to parse OCR response' FROM split""")
 def read_ocr_responses(spark, d):
     responses = fx.text_responses(spark, d)
     path = scratch_dir(spark, "responses")
     written = outputs.page_outputs(ocr.explode_blocks(responses), fx.objects_of(responses)).accepted
-    outputs.write_lines(written.where(names.is_full_response("path")), path, per_file=True)
-    read = ocr.explode_blocks(ocr_files.read_ocr_responses(spark, path))
+    whole = written.where(names.is_full_response("path"))
+    # next to each response its first half, under another name of the same document
+    half = whole.where(F.col("ord.a") < 3).withColumn("path", F.concat("documentId", F.lit("/cut/ocr-analysis/fullresponse.json")))
+    outputs.write_lines(whole.unionByName(half.where("line <> ']}'")), path, per_file=True)
+    out = ocr_files.read_ocr_responses(spark, path)
+    read = ocr.explode_blocks(out.accepted)
     return read.where(F.col("BlockType") == "LINE").select(
-        "documentId", F.expr("substr(Id, 2)").cast("bigint").alias("line"), F.col("Text").alias("text"))
+        "documentId", F.expr("substr(Id, 2)").cast("bigint").alias("line"), F.col("Text").alias("text"),
+        F.lit(None).cast("string").alias("reason")).unionByName(out.rejected.select("documentId", "reason"), allowMissingColumns=True)
 
 
 @query("read_ocr_parts", LINES + """
-SELECT doc AS "documentId", i AS line, page, text FROM lines""")
+SELECT doc AS "documentId", i AS line, page, text, NULL::VARCHAR AS message FROM lines WHERE doc_id % 9 <> 0
+UNION ALL SELECT doc, NULL, NULL, NULL, 'unreadable' FROM split WHERE doc_id % 9 = 0""")
 def read_ocr_parts(spark, d):
-    # responses cut into parts of 50 blocks below a job folder, next to the access check file
-    responses = fx.text_responses(spark, d)
-    job = F.concat(F.lit("/results/"), "documentId", F.lit("/textract-output/job-"), "documentId")
-    parts = responses.select(job.alias("job"), "Blocks", F.explode(F.sequence(
-        F.lit(0), F.floor((F.size("Blocks") - 1) / 50))).alias("n")).select(
-        F.concat("job", F.lit("/"), (F.col("n") + 1).cast("string")).alias("file"),
-        F.slice("Blocks", (F.col("n") * 50 + 1).cast("int"), F.lit(50)).alias("Blocks"))
-    check = responses.select(F.concat(job, F.lit("/.s3_access_check")).alias("file"),
-                             F.slice("Blocks", 1, 0).alias("Blocks"))
-    found = ocr_files.concat_parts(ocr_files.job_parts(parts.unionByName(check)))
-    notices = responses.select(F.concat(F.lit("job-"), "documentId").alias("jobId"), "documentId", F.lit(True).alias("ok"))
-    blocks = ocr_files.blocks_of_jobs(found, notices)
-    paged = ocr.segment_pages(blocks.where(
+    # responses cut into parts of 50 blocks, one file each, next to the access check file; every 9th has a broken part
+    number = F.regexp_extract("documentId", "([0-9]+)$", 1).cast("bigint")
+    job = F.concat("documentId", F.lit("/textract-output/job-"), "documentId")
+    parts = fx.text_responses(spark, d).select("documentId", job.alias("job"), "Blocks", F.explode(F.sequence(
+        F.lit(0), F.floor((F.size("Blocks") - 1) / 50) + F.when(number % 9 == 0, 1).otherwise(0))).alias("n")).select(
+        F.concat("job", F.lit("/"), (F.col("n") + 1).cast("string")).alias("path"),
+        F.when(F.size("Blocks") > F.col("n") * 50, F.to_json(F.struct(
+            F.slice("Blocks", (F.col("n") * 50 + 1).cast("int"), F.lit(50)).alias("Blocks")))).otherwise('{"Blocks":[{').alias("line"))
+    check = fx.text_responses(spark, d).select(F.concat(job, F.lit("/.s3_access_check")).alias("path"), F.lit("{}").alias("line"))
+    files = parts.unionByName(check)
+    found = ocr_files.job_parts(ocr_files.judged_files(files.select(F.col("path").alias("file"), F.col("line").alias("value"))))
+    notices = fx.text_responses(spark, d).select(
+        F.concat(F.lit("job-"), "documentId").alias("jobId"), "documentId", F.col("documentId").alias("objectName"), F.lit(True).alias("ok"))
+    blocks = ocr_files.blocks_of_jobs(ocr_files.concat_parts(found.accepted), notices)
+    numbered = ocr.segment_pages(blocks.where(
         F.col("BlockType").isin("PAGE", "LINE") | (F.col("pos") == 0)).select("documentId", "pos", "BlockType", "Id", "Text"))
-    return paged.where("BlockType = 'LINE'").select(
-        "documentId", F.expr("substr(Id, 2)").cast("bigint").alias("line"), "page", F.col("Text").alias("text"))
+    lost = ocr_files.jobs_without_results(notices, found, "results")
+    return numbered.where("BlockType = 'LINE'").select(
+        "documentId", F.expr("substr(Id, 2)").cast("bigint").alias("line"), "page", F.col("Text").alias("text"),
+        F.lit(None).cast("string").alias("message")).unionByName(
+        lost.select("documentId", F.lit("unreadable").alias("message")), allowMissingColumns=True)
 
 
 @query("geometry_columns", LINES + """

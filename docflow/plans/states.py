@@ -117,17 +117,32 @@ def timeline_of(spark, d):
     return ordered.ordinal(tracking.timeline_of(rows, "doc-8"), ["documentId"], ["seq"]).drop("seq")
 
 
+@query("operations_whole_items", JUDGED + """
+SELECT k.doc AS "documentId", o.status AS "documentStatus", (n + 0)::INTEGER AS place, stamp AS "timestamp"
+FROM kept k JOIN ops o USING (doc)""")
+def operations_whole_items(spark, d):
+    out = tracking.fold_status_events(fx.status_events(spark, d))
+    return tracking.operations_items(out.operations, out.timeline).select(
+        "documentId", "documentStatus", F.posexplode("timeline").alias("place", "e")).select(
+        "documentId", "documentStatus", "place", "e.timestamp")
+
+
 @query("mark_complete", JUDGED + """
 SELECT doc AS "documentId", CASE WHEN status = 'FAILED' THEN 'SUCCEEDED' ELSE status END AS "documentStatus",
   CASE WHEN status = 'FAILED' THEN 'SYNC_PROCESS_COMPREHEND' ELSE stage END AS "documentStage",
   CASE WHEN status = 'FAILED' THEN '2025-01-01 00:00:00 +0000 UTC' ELSE last_update END AS "lastUpdate",
-  CASE WHEN status = 'FAILED' THEN '' END AS message FROM ops""")
+  CASE WHEN status = 'FAILED' THEN '' END AS message,
+  CASE WHEN status = 'FAILED' THEN (SELECT count(*) FROM kept k WHERE k.doc = ops.doc) END AS place FROM ops""")
 def mark_complete(spark, d):
-    ops = tracking.fold_status_events(fx.status_events(spark, d)).operations
+    fold = tracking.fold_status_events(fx.status_events(spark, d))
+    ops = fold.operations
     failed = ops.where(F.col("documentStatus") == S.FAILED)
-    out = tracking.mark_complete(ops, failed, S.STAGE_ANNOTATE, F.lit("2025-01-01 00:00:00 +0000 UTC"))
-    return out.operations.join(out.timeline.select("documentId", "message"), "documentId", "left").select(
-        "documentId", "documentStatus", "documentStage", "lastUpdate", "message")
+    out = tracking.mark_complete(ops, failed, S.STAGE_ANNOTATE, F.lit("2025-01-01 00:00:00 +0000 UTC"), fold.timeline)
+    # the entry's place in the whole timeline
+    whole = ordered.ordinal(fold.timeline.unionByName(out.timeline), ["documentId"], ["seq"], name="place")
+    added = whole.join(out.timeline.select("documentId", "seq"), ["documentId", "seq"]).select("documentId", "message", "place")
+    return out.operations.join(added, "documentId", "left").select(
+        "documentId", "documentStatus", "documentStage", "lastUpdate", "message", "place")
 
 
 @query("get_document", JUDGED + f"SELECT {ITEM} FROM ops WHERE doc = 'doc-8'")
@@ -176,12 +191,28 @@ def _run(writer):
     done.awaitTermination()
 
 
-@query("stream_tracking", JUDGED + f"SELECT {ITEM} FROM ops")
-def stream_tracking(spark, d):
+def _tracked_stream(spark, d):
     root = scratch_dir(spark, "tracking")
     events = fx.status_events_of(_stream(spark, d, "events"))
     _run(streaming.stream_tracking(events, f"{root}/table", f"{root}/checkpoint"))
-    return streaming.tracked_operations(spark, f"{root}/table")
+    return streaming.tracked(spark, f"{root}/table")
+
+
+@query("stream_tracking", JUDGED + f"SELECT {ITEM} FROM ops")
+def stream_tracking(spark, d):
+    return _tracked_stream(spark, d).operations
+
+
+@query("stream_timeline", JUDGED + f"SELECT {ENTRY} FROM kept")
+def stream_timeline(spark, d):
+    rows = _tracked_stream(spark, d).timeline
+    return ordered.ordinal(rows, ["documentId"], ["seq"]).drop("seq")
+
+
+@query("stream_rejected", JUDGED + """
+SELECT doc AS "documentId", stamp AS "timestamp", reason FROM fates WHERE reason IS NOT NULL""")
+def stream_rejected(spark, d):
+    return _tracked_stream(spark, d).rejected.select("documentId", "timestamp", "reason")
 
 
 @query("dedupe_messages", JUDGED + """
@@ -197,42 +228,74 @@ def dedupe_messages(spark, d):
     return streaming.read_batches(spark, f"{root}/table").select("documentId", "timestamp", "status", "stage")
 
 
-def _notification_files(spark, d):
+def _record_stream(spark, d):
+    """Records and refused lines of notification files as streams; every document adds a broken line."""
     path = scratch_dir(spark, "notifications")
-    fx.notifications(spark, d).write.json(path)
-    files = spark.readStream.schema(S.NOTIFICATION).json(path)
-    return files.withColumn("file", F.lit(""))
+    fx.notifications(spark, d).select(F.to_json(F.struct("Records")).alias("value")).unionByName(
+        fx.broken_lines(spark, d)).write.text(path)
+    return ev.read_object_events(spark, path, streaming=True)
 
 
 @query("stream_object_events", ingest.EVENTS + """
 SELECT 'document-registry' AS "metadataType", id AS "documentId", key AS name FROM created
 UNION ALL SELECT 'document-lineage', CASE WHEN name LIKE 'ObjectCreated%' THEN id ELSE 'UNKNOWN_YET' END, key
-FROM oe WHERE name <> 'ObjectRestore:Post'""")
+FROM oe WHERE name <> 'ObjectRestore:Post'
+UNION ALL SELECT 'rejected', NULL, CASE doc_id % 3 WHEN 0 THEN 'failed to parse notification' ELSE 'no records in notification' END FROM raw""")
 def stream_object_events(spark, d):
     root = scratch_dir(spark, "ingest")
-    reg, lin = streaming.stream_object_events(_notification_files(spark, d))
+    records = _record_stream(spark, d)
+    reg, lin = streaming.stream_object_events(records.accepted)
     _run(streaming.append_stream(reg, f"{root}/registry", f"{root}/c1"))
     _run(streaming.append_stream(lin, f"{root}/lineage", f"{root}/c2"))
+    _run(streaming.append_stream(records.rejected, f"{root}/rejected", f"{root}/c3"))
     return streaming.read_batches(spark, f"{root}/registry").select(
         F.lit(S.REGISTRY).alias("metadataType"), "documentId", F.col("documentName").alias("name")
     ).unionByName(streaming.read_batches(spark, f"{root}/lineage").select(
-        F.lit(S.LINEAGE).alias("metadataType"), "documentId", F.col("targetFileName").alias("name")))
+        F.lit(S.LINEAGE).alias("metadataType"), "documentId", F.col("targetFileName").alias("name"))
+    ).unionByName(streaming.read_batches(spark, f"{root}/rejected").select(
+        F.lit("rejected").alias("metadataType"), F.lit(None).cast("string").alias("documentId"), F.col("reason").alias("name")))
 
 
 @query("stream_registry", ingest.EVENTS + """
-SELECT id AS "documentId", key AS "documentName", ts AS "timestamp" FROM created""")
+SELECT id AS "documentId", key AS "documentName", ts AS "timestamp", NULL::VARCHAR AS reason FROM created
+UNION ALL SELECT id, key, ts, 'document is already registered' FROM created WHERE doc_id % 4 = 0""")
 def stream_registry(spark, d):
     root = scratch_dir(spark, "registry")
-    reg, _ = streaming.stream_object_events(_notification_files(spark, d))
-    _run(streaming.stream_registry(reg, f"{root}/table", f"{root}/checkpoint"))
-    return streaming.registered_documents(spark, f"{root}/table").select("documentId", "documentName", "timestamp")
+    reg, _ = streaming.stream_object_events(_record_stream(spark, d).accepted)
+    # every 4th message arrives twice
+    twice = F.when(fx.doc_number("documentName") % 4 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    _run(streaming.stream_registry(reg.withColumn("copy", F.explode(twice)).drop("copy"), f"{root}/table", f"{root}/checkpoint"))
+    out = streaming.registered(spark, f"{root}/table")
+    columns = ["documentId", "documentName", "timestamp"]
+    return out.accepted.select(*columns, F.lit(None).cast("string").alias("reason")).unionByName(
+        out.rejected.select(*columns, "reason"))
 
 
 @query("stream_lineage", ingest.RESOLVED + """
-SELECT doc AS "documentId", ts AS "timestamp", signature, name AS "s3Event" FROM stored""")
+SELECT doc AS "documentId", ts AS "timestamp", signature, name AS "s3Event", NULL::VARCHAR AS reason FROM stored
+UNION ALL SELECT 'UNKNOWN_YET', ts, signature, name, 'no earlier document with this signature' FROM resolved WHERE found IS NULL""")
 def stream_lineage(spark, d):
     root = scratch_dir(spark, "lineage")
-    _, lin = streaming.stream_object_events(_notification_files(spark, d))
-    _run(streaming.stream_lineage(lin, f"{root}/table", f"{root}/checkpoint", slice_on=ev.arrival_number()))
+    _, lin = streaming.stream_object_events(_record_stream(spark, d).accepted)
+    _run(streaming.stream_lineage(lin, f"{root}/table", f"{root}/checkpoint"))
+    columns = ["timestamp", F.col("documentSignature").alias("signature"), "s3Event"]
     return streaming.stored_lineage(spark, f"{root}/table").select(
-        "documentId", "timestamp", F.col("documentSignature").alias("signature"), "s3Event")
+        "documentId", *columns, F.lit(None).cast("string").alias("reason")).unionByName(
+        streaming.rejected_lineage(spark, f"{root}/table").select(F.lit("UNKNOWN_YET").alias("documentId"), *columns, "reason"))
+
+
+@query("stream_changes", ingest.CHANGES + """
+SELECT id AS "documentId", class, class IN ('internal_research_report', 'external_public_report') AS eligible, NULL::VARCHAR AS reason
+FROM changes WHERE kind <> 'REMOVE'
+UNION ALL SELECT NULL, NULL, NULL, 'failed to parse change record' FROM raw""")
+def stream_changes(spark, d):
+    root = scratch_dir(spark, "changes")
+    ingest.change_records(spark, d).unionByName(fx.table(spark, d, "documents").select(
+        F.concat(F.lit("{broken "), F.col("doc_id").cast("string")).alias("value"))).write.text(f"{root}/in")
+    records = spark.readStream.text(f"{root}/in")
+    _run(streaming.stream_changes(records, f"{root}/table", f"{root}/checkpoint", streaming.classify_changes))
+    none = F.lit(None).cast("string")
+    return streaming.read_batches(spark, f"{root}/table/accepted").select(
+        "documentId", "class", "eligible", none.alias("reason")).unionByName(
+        streaming.read_batches(spark, f"{root}/table/rejected").select(
+            "documentId", none.alias("class"), F.lit(None).cast("boolean").alias("eligible"), "reason"))

@@ -12,11 +12,25 @@ from docflow.operators import Outcome
 
 # --- object events --------------------------------------------------------------
 
-def read_object_events(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """Records of notification files (JSON lines), with an arrival order ``seq``."""
+def read_object_events(spark: SparkSession, path: str, streaming: bool = False) -> Outcome:
+    """Records of notification files (JSON lines), with an arrival order ``seq``.
+
+    Lines that are not JSON or hold no records are refused, with their ``file``
+    and ``value``; blank lines are none. As streams, both sides are run as
+    queries of their own.
+    """
     reader = spark.readStream if streaming else spark.read
-    files = reader.schema(S.NOTIFICATION).json(path)
-    return flatten_notifications(files.withColumn("file", F.col("_metadata.file_path")))
+    lines = reader.text(path).select(F.col("_metadata.file_path").alias("file"), "value").where(F.trim("value") != "")
+    parsed = lines.withColumn("n", F.from_json("value", f"{S.NOTIFICATION}, _bad STRING", {"columnNameOfCorruptRecord": "_bad"}))
+    reason = (
+        F.when(F.col("n").isNull() | F.col("n._bad").isNotNull(), "failed to parse notification")
+        .when(F.coalesce(F.size("n.Records"), F.lit(0)) < 1, "no records in notification")
+    )
+    judged = parsed.withColumn("reason", reason)
+    return Outcome(
+        flatten_notifications(judged.where(F.col("reason").isNull()).select("file", "n.Records")),
+        judged.where(F.col("reason").isNotNull()).select("file", "value", "reason"),
+    )
 
 
 def flatten_notifications(notifications: DataFrame, decode_keys: bool = False) -> DataFrame:
@@ -32,12 +46,17 @@ def flatten_notifications(notifications: DataFrame, decode_keys: bool = False) -
         (F.url_decode(key) if decode_keys else key).alias("key"),
         F.col("r.s3.object.versionId").alias("versionId"),
         F.struct(
-            F.col("r.eventTime").alias("eventTime"), F.col("file"), F.col("r.s3.bucket.name").alias("bucket"),
-            F.col("r.s3.object.key").alias("key"), F.col("n"),
+            event_micros(F.col("r.eventTime")).alias("micros"), F.col("r.eventTime").alias("eventTime"), F.col("file"),
+            F.col("r.s3.bucket.name").alias("bucket"), F.col("r.s3.object.key").alias("key"), F.col("n"),
         ).alias("seq"),
     )
 
 
+def event_micros(event_time: Column) -> Column:
+    """Microseconds of an event time text; null where it is no time. Texts of different length do not sort by time."""
+    return F.unix_micros(F.try_to_timestamp(event_time))
+
+
 def route_object_events(events: DataFrame) -> DataFrame:
     """Add ``action``: create, delete or ignore."""
     return events.withColumn(
@@ -53,11 +72,6 @@ def assign_document_id(events: DataFrame) -> DataFrame:
     return events.withColumn("documentId", document_id("bucket", "key", "versionId", "eventTime"))
 
 
-def arrival_number(seq: str = "seq") -> Column:
-    """Microseconds of an arrival order, a number that grows along with it."""
-    return F.unix_micros(F.try_to_timestamp(F.col(seq)["eventTime"]))
-
-
 def event_timestamp(event_time: Column | str) -> Column:
     """Event time (ISO 8601, UTC) as message time text."""
     return F.concat(
@@ -182,19 +196,24 @@ CHANGE = f"""
 """
 
 
-def read_changes(df: DataFrame, column: str = "value") -> DataFrame:
+def read_changes(df: DataFrame, column: str = "value") -> Outcome:
     """Change records (JSON text): event name, sequence number and the new image.
 
     ``new_image`` maps attribute names to values as text. Nested attributes
     stay JSON text, with their types; ``attribute_map`` reads a nested map.
+    Text that is no JSON, or has no event name, is refused.
     """
-    record = df.select(F.from_json(column, CHANGE).alias("c"))
+    record = df.withColumn("c", F.from_json(column, CHANGE)).withColumn("reason", F.when(
+        F.try_parse_json(column).isNull(), "failed to parse change record").when(
+        F.col("c.eventName").isNull(), "no event name in change record"))
     plain = F.transform_values("c.dynamodb.NewImage", lambda _, v: F.coalesce(
         v["S"], v["N"], v["BOOL"].cast("string"), v["M"], v["L"]
     ))
-    return record.select(
-        F.col("c.eventName").alias("eventName"),
-        F.col("c.dynamodb.SequenceNumber").alias("SequenceNumber"), plain.alias("new_image"),
+    return Outcome(
+        record.where(F.col("reason").isNull()).select(
+            F.col("c.eventName").alias("eventName"),
+            F.col("c.dynamodb.SequenceNumber").alias("SequenceNumber"), plain.alias("new_image")),
+        record.where(F.col("reason").isNotNull()).drop("c"),
     )
 
 
@@ -213,9 +232,16 @@ def filter_changes(changes: DataFrame, kinds: list[str]) -> DataFrame:
 
 # --- OCR notices ------------------------------------------------------------------------
 
-def parse_ocr_notices(df: DataFrame, column: str = "value") -> DataFrame:
-    """Completion notices with ``ok``, ``message`` for a failed job, and which outputs it has."""
-    n = df.select(F.from_json(column, S.OCR_NOTICE).alias("n")).select(
+def parse_ocr_notices(df: DataFrame, column: str = "value") -> Outcome:
+    """Completion notices with ``ok``, ``message`` for a failed job, and which outputs it has.
+
+    Text that is no JSON, or names no job or no document, is refused: it says
+    nothing about any job.
+    """
+    parsed = df.withColumn("n", F.from_json(column, S.OCR_NOTICE)).withColumn("reason", F.when(
+        F.try_parse_json(column).isNull(), "failed to parse notice").when(
+        ~(present("n.JobId") & present("n.JobTag")), "no job or document in notice"))
+    n = parsed.where(F.col("reason").isNull()).select(
         F.col("n.JobTag").alias("documentId"), F.col("n.JobId").alias("jobId"),
         F.col("n.DocumentLocation.S3Bucket").alias("bucketName"),
         F.col("n.DocumentLocation.S3ObjectName").alias("objectName"),
@@ -224,4 +250,4 @@ def parse_ocr_notices(df: DataFrame, column: str = "value") -> DataFrame:
         F.coalesce(F.col("n.API") == S.ANALYSIS_API, F.lit(False)).alias("tables"),
     )
     note = F.format_string(S.FAILED_ANALYSIS, "documentId", "bucketName", "objectName")
-    return n.withColumn("message", F.when(~F.col("ok"), note))
+    return Outcome(n.withColumn("message", F.when(~F.col("ok"), note)), parsed.where(F.col("reason").isNotNull()).drop("n"))

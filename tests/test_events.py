@@ -20,7 +20,7 @@ def test_ingest_from_files(spark, tmp_path):
                      ("ObjectRemoved:Delete", "2024-01-02T00:00:00.000Z", "a.pdf", "v2")),
         notification(("ObjectRemoved:DeleteMarkerCreated", "2024-01-03T00:00:00.000Z", "a%20b.pdf", "")),
     ]))
-    events = ev.assign_document_id(ev.route_object_events(ev.read_object_events(spark, str(tmp_path))))
+    events = ev.assign_document_id(ev.route_object_events(ev.read_object_events(spark, str(tmp_path)).accepted))
     assert [r.action for r in events.orderBy("eventTime").collect()] == ["create", "delete", "ignore"]
     reg = ev.build_registry_events(events).collect()
     assert len(reg) == 1 and reg[0].documentVersion is None and reg[0].documentLink == "s3://b/a.pdf"
@@ -66,7 +66,9 @@ def test_changes(spark):
         "documentId": {"S": "d"}, "n": {"N": "3"}, "flag": {"BOOL": False}, "meta": {"M": {"class": {"S": "c"}}}}}}
     bare = {"eventName": "MODIFY", "dynamodb": {"SequenceNumber": "8"}}
     df = spark.createDataFrame([(json.dumps(r),) for r in (record, bare)], "value STRING")
-    changes = ev.read_changes(df)
+    out = ev.read_changes(df.union(spark.createDataFrame([('{',), ('{}',), (None,)], "value STRING")))
+    assert out.rejected.count() == 3
+    changes = out.accepted
     row = ev.filter_changes(changes, ["INSERT", "MODIFY"]).collect()
     assert len(row) == 1 and row[0].new_image["documentId"] == "d" and row[0].new_image["flag"] == "false"
     meta = changes.where("eventName = 'INSERT'").select(ev.attribute_map(F.col("new_image")["meta"]).alias("m")).first().m
@@ -79,7 +81,10 @@ def test_notices(spark):
                             "DocumentLocation": {"S3Bucket": "b", "S3ObjectName": "o"}}),)
 
     df = spark.createDataFrame([notice("FAILED", S.ANALYSIS_API), notice("SUCCEEDED", "Other")], "value STRING")
-    failed, fine = ev.parse_ocr_notices(df).orderBy("ok").collect()
+    bad = spark.createDataFrame([("{broken",), ("{}",), (None,), ('{"JobId":"j","Status":"SUCCEEDED"}',)], "value STRING")
+    out = ev.parse_ocr_notices(df.union(bad))
+    assert out.rejected.count() == 4
+    failed, fine = out.accepted.orderBy("ok").collect()
     assert not failed.ok and failed.message.startswith("Textract job for document ID d; bucketName b fileName o;")
     assert fine.ok and not fine.forms and fine.message is None
 

@@ -148,7 +148,7 @@ def test_outputs_round_trip(spark, tmp_path):
 
     folder = str(tmp_path / "files")
     outputs.write_lines(out.accepted.where(F.col("path").endswith("fullresponse.json")), folder, per_file=True)
-    again = ocr.explode_blocks(ocr_files.read_ocr_responses(spark, folder))
+    again = ocr.explode_blocks(ocr_files.read_ocr_responses(spark, folder).accepted)
     assert again.count() == 9
     order = ["documentId", "pos"]
     assert again.select(*blocks.columns).orderBy(order).collect() == blocks.orderBy(order).collect()
@@ -208,14 +208,23 @@ def test_parts_are_joined_in_order(spark, tmp_path):
         page = [{"BlockType": "PAGE", "Id": f"p{n}"}] if n % 2 == 0 else []
         body = [] if n == 1 else page + [{"BlockType": "LINE", "Id": f"l{n}", "Text": str(n)}]
         (job / str(n)).write_text(json.dumps({"Blocks": body}))
-    parts = ocr_files.read_ocr_parts(spark, str(tmp_path), "*")
+    bad = tmp_path / "q.pdf" / "textract-output" / "job-4"
+    bad.mkdir(parents=True)
+    for n, text in ((1, '{"Blocks":[{"BlockType":"PAGE","Id":"p"}]}'), (2, '{"Blocks":[{'), (3, '{"Blocks":[]}')):
+        (bad / str(n)).write_text(text)
+    out = ocr_files.read_ocr_parts(spark, str(tmp_path), "*")
+    assert [(r.part, r.reason) for r in out.rejected.collect()] == [(2, "failed to parse OCR response")]
+    parts = out.accepted
     notices = spark.createDataFrame([("job-1", "doc", True)], "jobId STRING, documentId STRING, ok BOOLEAN")
     blocks = ocr_files.blocks_of_jobs(ocr_files.concat_parts(parts), notices)
     assert blocks.agg(F.min("pos")).first()[0] == 0
-    noted = spark.createDataFrame([("job-1", "doc", "b", "o", True), ("job-2", "e", "b", "o", True), ("job-3", "f", "b", "o", False)],
+    noted = spark.createDataFrame([("job-1", "doc", "b", "o", True), ("job-2", "e", "b", "o", True), ("job-3", "f", "b", "o", False), ("job-4", "g", "b", "o", True)],
                                   "jobId STRING, documentId STRING, bucketName STRING, objectName STRING, ok BOOLEAN")
     lost = ocr_files.jobs_without_results(noted, parts, "results").collect()
-    assert [(r.jobId, r.ok) for r in lost] == [("job-2", False)] and lost[0].message.endswith("under job Name job-2")
+    assert sorted((r.jobId, r.ok) for r in lost) == [("job-2", False), ("job-4", False)]
+    assert all(r.message.endswith(f"under job Name {r.jobId}") for r in lost)
+    twice = notices.unionByName(spark.createDataFrame([("job-0", "doc", True)], notices.schema))
+    assert ocr_files.blocks_of_jobs(ocr_files.concat_parts(parts), twice).count() == blocks.count()
     texts = ocr.page_text(ocr.page_lines(blocks)).orderBy("page").collect()
     assert [(r.page, r.text) for r in texts] == [
         (i, f"{2 * i}\n{2 * i + 1}\n" if i < 6 else "12\n") for i in range(1, 7)]

@@ -57,7 +57,7 @@ def test_registry_and_lineage_equal_the_batch_result(spark, tmp_path):
     stored = streaming.registered_documents(spark, table)
     assert sorted(stored.collect()) == sorted(registry.register_documents(None, creates).accepted.collect())
     compacted = str(tmp_path / "compacted")
-    streaming.compact(stored, compacted)
+    streaming.compact(stored, f"{compacted}/documents")
     assert streaming.registered_documents(spark, compacted).count() == 3
 
 
