@@ -133,11 +133,13 @@ def page_starts(blocks: DataFrame) -> DataFrame:
     return segment_pages(blocks.where(_opens()).select("documentId", "pos", "BlockType"))
 
 
-def paged(rows: DataFrame, blocks: DataFrame, keep_marks: bool = False, slice_rows: int = SLICE_ROWS) -> DataFrame:
+def paged(
+    rows: DataFrame, blocks: DataFrame, keep_marks: bool = False, slice_rows: int = SLICE_ROWS, offset: bool = False
+) -> DataFrame:
     """Add page numbers to any rows that have ``documentId`` and ``pos``.
 
     The rows meet the page openings of ``blocks`` in one window; ``keep_marks``
-    keeps the openings as rows without other values. The first block of every
+    keeps the openings as rows without other values, ``offset`` the position in the page. The first block of every
     slice takes part in the totals, so a slice without openings has its carry.
     """
     marks = blocks.where(_opens()).select("documentId", "pos", F.lit(True).alias("_mark"))
@@ -146,7 +148,7 @@ def paged(rows: DataFrame, blocks: DataFrame, keep_marks: bool = False, slice_ro
     numbered = _number_pages(
         mixed.withColumn("_rank", (~F.col("_mark")).cast("int")), ["pos", "_rank"], F.col("_mark"),
         contributors=marks.unionByName(slices), slice_rows=slice_rows,
-    ).drop("_rank", "offset")
+    ).drop("_rank", *([] if offset else ["offset"]))
     return (numbered if keep_marks else numbered.where(~F.col("_mark"))).drop("_mark")
 
 
@@ -410,14 +412,16 @@ def _csv(rows: Column) -> Column:
     return F.concat(F.array(F.array(F.lit("Table"))), rows, F.array(empty, empty))
 
 
-def content(blocks: DataFrame) -> DataFrame:
+def content(blocks: DataFrame, forms: bool = True, tables: bool = True) -> DataFrame:
     """Lines, fields and tables of all documents at their ``pos``, without pages."""
     none = F.lit(None)
     lines = blocks.where(F.col("BlockType") == "LINE").select(
         "documentId", "pos", F.lit("line").alias("kind"), F.col("Text").alias("text"),
         none.cast("string").alias("value"), none.cast("array<array<string>>").alias("rows"),
     )
-    others = _structures(blocks).select(
+    if not (forms or tables):
+        return lines
+    others = _structures(blocks, forms, tables).select(
         "documentId", "pos", "kind", F.col("key").alias("text"), "value",
         F.when(F.col("kind") == "table", _csv(F.col("rows")))
         .otherwise(F.array(F.array("key", F.coalesce("value", F.lit(""))))).alias("rows"),

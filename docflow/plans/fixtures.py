@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from docflow import schemas as S
 from docflow.session import scratch_dir
+from docflow.sources import catalog as cat
 from docflow.sources import events as ev
 
 EXTENSIONS = [".pdf", ".jpg", ".jpeg", ".png", ".PDF", ".txt"]
@@ -116,8 +117,8 @@ def lineage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The created objects, tagged with the id of their first upload; every 13th has no tags."""
     events = object_events(spark, sf_dir).where(F.col("eventName") == "ObjectCreated:Put")
-    tags = F.when(doc_number("key") % 13 != 0, F.create_map(F.lit("documentId"), F.col("documentId")))
-    return events.select("bucket", "key", tags.alias("tags"))
+    kept = F.when(doc_number("key") % 13 != 0, F.col("tags"))
+    return cat.ingested_tags(events).select("bucket", "key", kept.alias("tags"))
 
 
 # --- status events from events ------------------------------------------------------
@@ -294,6 +295,29 @@ def table_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One response of three pages per supplier; each has a line, a field and a table, in another order."""
+    name, nation = F.col("s_name"), F.col("s_nationkey").cast("string")
+
+    def page(p: int) -> list[Column]:
+        line = F.array(block("LINE", F.lit(f"l{p}"), F.concat(name, F.lit(f" page {p}"))))
+        key, value, cell = F.lit(f"kw{p}-"), F.lit(f"vw{p}-"), F.lit(f"cw{p}-")
+        text = F.concat(F.lit("page "), F.lit(str(p)), F.lit(" "), name)
+        field = F.concat(
+            F.array(block("KEY_VALUE_SET", F.lit(f"k{p}"), children=_word_ids(key, F.lit("Supplier")), values=_ids(f"v{p}"), entity="KEY")),
+            _words(key, F.lit("Supplier")),
+            F.array(block("KEY_VALUE_SET", F.lit(f"v{p}"), children=_word_ids(value, text), entity="VALUE")), _words(value, text))
+        table_ = F.concat(
+            F.array(block("TABLE", F.lit(f"t{p}"), children=_ids(f"c{p}")),
+                    block("CELL", F.lit(f"c{p}"), children=_word_ids(cell, nation), row=1, column=1)), _words(cell, nation))
+        parts = {1: (line, field, table_), 2: (table_, line, field), 3: (field, table_, line)}[p]
+        return [F.array(block("PAGE", F.lit(f"p{p}"))), *parts]
+
+    blocks = F.concat(*[x for p in (1, 2, 3) for x in page(p)])
+    return table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("sup-"), F.col("s_suppkey").cast("string")).alias("documentId"), blocks.alias("Blocks"))
+
+
 def _blocks(responses):
     """Blocks of derived responses.
 
@@ -320,6 +344,10 @@ def table_blocks(spark, sf_dir):
     return stored(spark, sf_dir, "table_blocks", _blocks(table_responses))
 
 
+def mixed_blocks(spark, sf_dir):
+    return stored(spark, sf_dir, "mixed_blocks", _blocks(mixed_responses))
+
+
 def all_blocks(spark, sf_dir):
     return (
         text_blocks(spark, sf_dir)

@@ -333,9 +333,8 @@ def check_tag_matches_path(spark, d):
     full = annotate.dissect_object_name(annotate.filter_full_responses(_results(spark, d)))
     n = fx.doc_number("key")
     # every sixth object has a foreign tag, every 14th none
-    tags = F.when(n % 14 != 0, F.create_map(
-        F.lit("documentId"), F.when(n % 6 == 1, "someone-else").otherwise(F.col("documentId"))))
-    out = annotate.check_tag_matches_path(full, full.select("bucket", "key", tags.alias("tags")))
+    owner = F.when(n % 14 != 0, F.when(n % 6 == 1, "someone-else").otherwise(F.col("documentId")))
+    out = annotate.check_tag_matches_path(full, cat.document_tags(full.withColumn("documentId", owner)))
     return out.accepted.select("documentId", F.lit(None).cast("string").alias("reason")).unionByName(
         out.rejected.select("documentId", "reason"))
 
@@ -451,8 +450,8 @@ def _copied_objects(spark, d, route):
 
 def _copied_catalog(objects):
     """Tags of copied objects; every 5th object has lost its tags."""
-    tags = F.when(fx.doc_number("key") % 5 != 0, F.create_map(F.lit("documentId"), F.col("documentId")))
-    return cat.object_catalog(objects.select("bucket", "key", tags.alias("tags")))
+    tagged = objects.withColumn("documentId", F.when(fx.doc_number("key") % 5 != 0, F.col("documentId")))
+    return cat.object_catalog(cat.document_tags(tagged))
 
 
 @query("plan_ocr_jobs", COPIES + """
@@ -547,6 +546,12 @@ def list_objects(spark, d):
     return cat.list_objects(cat.object_catalog(fx.catalog(spark, d)), "src1", "en/").select("bucket", "key")
 
 
+@query("ingested_tags", EVENTS + """
+SELECT bucket, key, '{"documentId":"' || id || '"}' AS tags FROM created""")
+def ingested_tags(spark, d):
+    return cat.ingested_tags(fx.object_events(spark, d)).select("bucket", "key", F.to_json("tags").alias("tags"))
+
+
 @query("put_tags", EVENTS + """
 SELECT bucket, key, CASE WHEN doc_id % 7 = 0 THEN '{"documentId":"' || (SELECT id FROM created c2 WHERE c2.doc_id = created.doc_id AND c2.name = 'ObjectCreated:Copy') || '"}'
   WHEN doc_id % 13 = 0 THEN '{}' ELSE '{"documentId":"' || id || '"}' END AS tags

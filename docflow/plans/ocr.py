@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from docflow import schemas as S
 from docflow.functions import names
 from docflow.functions.text import csv_text
 from docflow.operators import ocr
 from docflow.plans import fixtures as fx
 from docflow.plans.registry import query
 from docflow.session import scratch_dir
+from docflow.sources import catalog as cat
 from docflow.sources import ocr_files, outputs
 
 # Lines of every document, straight from its text. Documents that start with an
@@ -87,7 +89,7 @@ def explode_blocks(spark, d):
 SELECT doc AS "documentId", i AS line, text, NULL::VARCHAR AS reason FROM lines
 UNION ALL SELECT doc, NULL, NULL, 'failed to parse OCR response' FROM split""")
 def read_ocr_responses(spark, d):
-    responses = fx.text_responses(spark, d)
+    responses = fx.stored(spark, d, "text_responses", fx.text_responses)
     path = scratch_dir(spark, "responses")
     written = outputs.page_outputs(ocr.explode_blocks(responses), fx.objects_of(responses)).accepted
     whole = written.where(names.is_full_response("path"))
@@ -334,7 +336,9 @@ def page_content(spark, d):
 ), tables AS (
   SELECT doc || '/scan/' || doc || '.pdf/ocr-analysis/page-1/tables.csv' AS path, t * 10000 + row AS place, array_to_string(texts, ',') AS line
   FROM (SELECT doc, t, row, list_transform(texts, lambda x: CASE WHEN contains(x, ',') THEN '"' || x || '"' ELSE x END) AS texts FROM csv)
-), every AS (SELECT * FROM texts UNION ALL SELECT * FROM forms UNION ALL SELECT * FROM tables)
+), marks AS (
+  SELECT doc || '/scan/' || doc || '.pdf/ocr-analysis/page-' || page || '/text.txt' AS path, -1 AS place, NULL AS line FROM pages
+), every AS (SELECT * FROM texts UNION ALL SELECT * FROM marks UNION ALL SELECT * FROM forms UNION ALL SELECT * FROM tables)
 SELECT path, (row_number() OVER (PARTITION BY path ORDER BY place) - 1)::BIGINT AS place, line FROM every""")
 def write_page_outputs(spark, d):
     from docflow.operators.ordered import ordinal
@@ -346,3 +350,80 @@ def write_page_outputs(spark, d):
     outputs.write_page_outputs(blocks, objects, path, forms=True, tables=True)
     lines = spark.read.parquet(path).where(~F.col("path").endswith(".json"))
     return ordinal(lines, ["path"], ["ord"], name="place", slice_on=F.col("ord.a")).select("path", "place", "line")
+
+
+@query("write_page_json", LINES + """
+, counts AS (SELECT doc_id, doc, i, count(*) AS n, any_value(word) AS w FROM words GROUP BY ALL),
+per AS (
+  SELECT l.doc_id, l.doc, l.page, l.i, l.text,
+    1 + (SELECT count(*) FROM words w WHERE w.doc = l.doc AND w.i = l.i) + CASE WHEN l.i % 20 = 0 AND (l.i > 0 OR l.doc_id % 5 <> 0) THEN 1 ELSE 0 END
+      + CASE WHEN l.i = 0 AND l.doc_id % 20 = 0 THEN 1 ELSE 0 END AS blocks FROM lines l
+), files AS (
+  SELECT doc, 'page-' || page || '/response.json' AS file, sum(blocks)::BIGINT AS blocks, md5(string_agg(text, chr(10) ORDER BY i)) AS texts FROM per GROUP BY doc, page
+  UNION ALL SELECT doc, 'page-1/response.json', 1, md5('') FROM split WHERE doc_id % 4 = 0 AND doc_id % 5 <> 0
+  UNION ALL SELECT doc, 'fullresponse.json', (sum(blocks) + CASE WHEN any_value(doc_id) % 4 = 0 AND any_value(doc_id) % 5 <> 0 THEN 1 ELSE 0 END)::BIGINT,
+    md5(string_agg(text, chr(10) ORDER BY i)) FROM per GROUP BY doc
+)
+SELECT doc || '/scan/' || doc || '.pdf/ocr-analysis/' || file AS path, blocks, texts FROM files""")
+def write_page_json(spark, d):
+    path = scratch_dir(spark, "outputs")
+    responses = fx.text_responses(spark, d)
+    blocks = fx.text_blocks(spark, d)
+    out = outputs.page_outputs(blocks, fx.objects_of(responses)).accepted
+    outputs.write_lines(out.where(F.col("path").endswith(".json")), path, per_file=True)
+    files = spark.read.text(path, wholetext=True)
+    # a page's file is a list of blocks, the whole response an object that holds one
+    whole = F.when(F.col("path").endswith("fullresponse.json"), F.col("value")).otherwise(
+        F.concat(F.lit('{"Blocks":'), "value", F.lit("}")))
+    read = files.select("path", F.from_json(whole, S.OCR_RESPONSE)["Blocks"].alias("b"))
+    texts = F.transform(F.filter("b", lambda x: x["BlockType"] == "LINE"), lambda x: x["Text"])
+    return read.select("path", F.size("b").cast("bigint").alias("blocks"), F.md5(F.array_join(texts, "\n")).alias("texts"))
+
+
+# Suppliers: three pages with a line, a field and a table, each page in its own order.
+MIXED = """
+WITH pages AS (
+  SELECT 'sup-' || s_suppkey AS doc, p AS page, s_name AS name, s_nationkey::VARCHAR AS nation,
+    'page ' || p || ' ' || s_name AS value FROM supplier, (VALUES (1), (2), (3)) v(p)
+), parts AS (
+  SELECT doc, page, CASE page WHEN 1 THEN 0 WHEN 2 THEN 1 ELSE 2 END AS n, 'line' AS kind, name || ' page ' || page AS text FROM pages
+  UNION ALL SELECT doc, page, CASE page WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 0 END, 'field', 'Supplier=' || value FROM pages
+  UNION ALL SELECT doc, page, CASE page WHEN 1 THEN 2 WHEN 2 THEN 0 ELSE 1 END, 'table', 'Table/' || nation || ' //' FROM pages
+)
+"""
+
+
+@query("mixed_page_content", MIXED + """
+SELECT doc AS "documentId", page, n::BIGINT AS place, kind, text FROM parts""")
+def mixed_page_content(spark, d):
+    from docflow.operators.ordered import ordinal
+
+    rows = ordinal(ocr.page_content(fx.mixed_blocks(spark, d)), ["documentId", "page"], ["pos"], name="place")
+    joined = F.array_join(F.transform("rows", lambda r: F.array_join(r, "|")), "/")
+    return rows.select("documentId", "page", "place", "kind", F.when(F.col("kind") == "line", F.col("text")).when(
+        F.col("kind") == "field", F.array_join(F.col("rows")[0], "=")).otherwise(joined).alias("text"))
+
+
+@query("mixed_pages", MIXED + """
+SELECT doc AS "documentId", page, name || ' page ' || page || chr(10) AS text, 'Table/' || nation || ' //' AS "table",
+  'Supplier=' || value AS forms, 'Supplier=' || value AS fields, 'Table/' || nation || ' //' AS tables FROM pages""")
+def mixed_pages(spark, d):
+    blocks = fx.mixed_blocks(spark, d)
+
+    def rows(c, sep):
+        return F.array_join(F.transform(c, lambda r: F.array_join(r, sep)), "/")
+
+    forms = ocr.forms_rows(ocr.extract_form_fields(blocks)).select("documentId", "page", rows("forms", "=").alias("fields"))
+    tables = ocr.tables_rows(ocr.extract_tables(blocks)).select("documentId", "page", rows("table", "|").alias("tables"))
+    whole = ocr.pages(blocks).select("documentId", "page", "text", rows("table", "|").alias("table"), rows("forms", "=").alias("forms"))
+    return whole.join(forms, ["documentId", "page"]).join(tables, ["documentId", "page"])
+
+
+@query("output_tags", MIXED + """
+SELECT 'results' AS bucket, doc || '/scan/' || doc || '.pdf/ocr-analysis/' || f AS key, '{"documentId":"' || doc || '"}' AS tags FROM (
+  SELECT doc, 'page-' || page || '/' || f AS f FROM pages, (VALUES ('response.json'), ('text.txt'), ('forms.csv'), ('tables.csv')) v(f)
+  UNION ALL SELECT DISTINCT doc, 'fullresponse.json' FROM pages)""")
+def output_tags(spark, d):
+    blocks = fx.mixed_blocks(spark, d)
+    lines = outputs.page_outputs(blocks, fx.objects_of(blocks.select("documentId").distinct()), forms=True, tables=True).accepted
+    return cat.output_tags(lines, "results").select("bucket", "key", F.to_json("tags").alias("tags"))

@@ -139,13 +139,17 @@ def test_outputs_round_trip(spark, tmp_path):
     files = {}
     for r in spark.read.parquet(path).orderBy("path", "ord").collect():
         files.setdefault(r.path.removeprefix("d/in/x.pdf/ocr-analysis/"), []).append(r.line)
-    assert files["page-1/text.txt"] == ["Mail a@b.org, now"] and files["page-2/text.txt"] == [""]
+    assert files["page-1/text.txt"] == [None, "Mail a@b.org, now"] and files["page-2/text.txt"] == [None, ""]
     assert files["page-1/forms.csv"] == ["Key,Value", '"Wo,rd","Wo,rd"'] and files["page-2/forms.csv"] == ["Key,Value"]
     assert files["page-2/tables.csv"] == ["Table", '"Wo,rd "', "", ""] and "page-1/tables.csv" not in files
     assert [x["Id"] for x in json.loads("".join(files["page-1/response.json"]))] == ["p1", "l1", "k", "v", "w"]
     assert [x["Id"] for x in json.loads("".join(files["page-2/response.json"]))] == ["p2", "t", "c", "l2"]
     assert len(json.loads("".join(files["fullresponse.json"]))["Blocks"]) == 9
 
+    bare = outputs.page_outputs(blocks_of(spark, e=[b("PAGE", "p")]), spark.createDataFrame([("e", "e/z.pdf")], objects.schema))
+    outputs.write_lines(bare.accepted, str(tmp_path / "bare"), per_file=True)
+    sizes = {f.parent.name.split("%2F")[-1]: f.stat().st_size for f in (tmp_path / "bare").rglob("part-*")}
+    assert sizes["text.txt"] == 1 and sizes["response.json"] > 2
     folder = str(tmp_path / "files")
     outputs.write_lines(out.accepted.where(F.col("path").endswith("fullresponse.json")), folder, per_file=True)
     again = ocr.explode_blocks(ocr_files.read_ocr_responses(spark, folder).accepted)
