@@ -7,9 +7,11 @@ import re
 import pandas as pd
 from pyspark.sql import functions as F
 
+from docflow import schemas as S
 from docflow.functions.text import ENTITY_PATTERNS, STOP_WORDS, sorted_map_json
-from docflow.operators import annotate, search
+from docflow.operators import annotate, registry, routing, search, tracking
 from docflow.plans import fixtures as fx
+from docflow.plans import ingest
 from docflow.plans import ocr as ocr_queries
 from docflow.plans.registry import query
 from docflow.session import scratch_dir
@@ -214,3 +216,58 @@ def search_tokens(spark, d):
     search.write_token_table(_pages_index(spark, d), path)
     hits = search.search_tokens(spark.read.parquet(path), ["THE", "that", "inth"], mode="any")
     return hits.select("documentId", "page", "matched", (F.col("matched") == 3).alias("all"))
+
+
+# --- the whole chain: from object events to finished, searchable documents ---------------------
+
+CHAIN = ingest.EVENTS.rstrip() + ", " + ocr_queries.LINES.strip()[5:] + """
+, routed AS (SELECT *, CASE WHEN ext = '.pdf' THEN 'async' WHEN ext IN ('.jpg', '.jpeg', '.png') THEN 'sync' END AS route, doc_id % 9 = 0 AS bad FROM eligible),
+paged AS (
+  SELECT doc_id, count(DISTINCT page) + CASE WHEN doc_id % 4 = 0 AND doc_id % 5 <> 0 THEN 1 ELSE 0 END AS pages FROM lines GROUP BY doc_id)
+SELECT id AS "documentId", CASE WHEN route IS NULL THEN 'DOCUMENT_PROCESSOR' WHEN bad AND route = 'sync' THEN 'SYNC_PROCESS_TEXTRACT'
+    WHEN bad THEN 'ASYNC_PROCESS_TEXTRACT' ELSE 'SYNC_PROCESS_COMPREHEND' END AS "documentStage",
+  CASE WHEN route IS NULL THEN 'IN_PROGRESS' WHEN bad THEN 'FAILED' ELSE 'SUCCEEDED' END AS "documentStatus",
+  (3 + CASE WHEN route IS NULL THEN 0 ELSE 1 + CASE route WHEN 'sync' THEN 2 ELSE 4 END + CASE WHEN bad THEN 0 ELSE 2 END END)::BIGINT AS entries,
+  route IS NOT NULL AND NOT bad AS finished, CASE WHEN route IS NOT NULL AND NOT bad THEN pages END AS pages
+FROM routed LEFT JOIN paged USING (doc_id)"""
+
+
+@query("document_chain", CHAIN)
+def document_chain(spark, d):
+    """Register, classify, route, read the OCR results, annotate, index, and fold all status events."""
+    registered = registry.register_documents(None, fx.registry_events(spark, d)).accepted
+    classified = registry.classify_documents(registered).accepted
+    documents = classified.where("eligible").select("documentId", "bucketName", F.col("documentName").alias("objectName"))
+    routed = routing.plan_copies(documents, "sync-ocr", "async-ocr")
+    copies = routed.accepted.withColumn("n", fx.doc_number("objectName")).withColumn("ok", F.col("n") % 9 != 0)
+    # every 9th result cannot be read; the others are the responses of the documents' texts
+    note = F.format_string(S.FAILED_RESULTS, "documentId", F.lit("results"), "objectName", "documentId")
+    sync, job = (copies.where(F.col("route") == r) for r in ("sync", "async"))
+    read = copies.where("ok").select(F.concat(F.lit("doc-"), F.col("n").cast("string")).alias("source"), F.col("documentId").alias("owner"))
+    blocks = fx.text_blocks(spark, d).withColumnRenamed("documentId", "source").join(read, "source").withColumnRenamed(
+        "owner", "documentId").drop("source")
+    records = annotate.page_search_record(blocks)
+    index = search.upsert_search_index(None, records)
+    steps = [
+        registry.start_analysis_events(classified),
+        tracking.stage_status(routed.rejected, S.STAGE_PROCESSOR, F.lit(False)).where("step = 0"),
+        tracking.stage_status(copies, S.STAGE_PROCESSOR, F.lit(True)),
+        tracking.stage_status(sync, S.STAGE_SYNC_OCR, "ok", note),
+        tracking.stage_status(job, S.STAGE_ASYNC_START, F.lit(True)),
+        tracking.stage_status(job, S.STAGE_ASYNC_OCR, "ok", note),
+        tracking.stage_status(
+            annotate.annotation_status(records).withColumnRenamed("message", "note"), S.STAGE_ANNOTATE, "ok", F.col("note")),
+    ]
+    order = [0, 1, 1, 3, 2, 3, 4]  # places of the stages in time
+    texts = ["documentId", "bucketName", "objectName", "status", "stage", "initDoc", "message", "versionId"]
+    events = None
+    for place, step in zip(order, steps, strict=True):
+        columns = [F.col(c) if c in step.columns else F.lit(None).cast("string").alias(c) for c in texts]
+        rows = step.select(*columns, (place * 2 + F.col("step")).cast("bigint").alias("seq"))
+        events = rows if events is None else events.unionByName(rows)
+    out = tracking.fold_status_events(events.withColumn("timestamp", F.col("seq").cast("string")))
+    entries = out.timeline.groupBy("documentId").agg(F.count(F.lit(1)).alias("entries"))
+    pages = index.groupBy("documentId").agg(F.count(F.lit(1)).alias("pages"))
+    done = tracking.finished_documents(out.operations).select("documentId", F.lit(True).alias("finished"))
+    return out.operations.join(entries, "documentId").join(done, "documentId", "left").join(pages, "documentId", "left").select(
+        "documentId", "documentStage", "documentStatus", "entries", F.coalesce("finished", F.lit(False)).alias("finished"), "pages")
