@@ -21,6 +21,8 @@ _SHIPPED: set[str] = set()
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings, and this package sent to the executors once per application."""
     configure(spark)
+    # texts are long: batches of few rows bound what a task holds twice
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

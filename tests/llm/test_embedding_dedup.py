@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from conftest import SF_DIR, rows_of
+from cases import SF_DIR, rows_of
 
 from docflow.llm import embedding_dedup as dedup
 from docflow.llm import queries

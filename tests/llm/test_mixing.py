@@ -4,7 +4,7 @@ from collections import defaultdict
 from fractions import Fraction
 
 import pytest
-from conftest import SF_DIR
+from cases import SF_DIR
 
 from docflow.llm import mixing
 

@@ -4,7 +4,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
-from conftest import texts
+from cases import texts
 from tokenizers import Tokenizer
 
 from docflow.llm import packing, queries

@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import SF_DIR, texts
+from cases import SF_DIR, texts
 from test_packing import check
 from test_quality import plain, score_of
 from test_secret_scan import spans

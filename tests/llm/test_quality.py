@@ -6,7 +6,7 @@ import re
 from collections import Counter
 
 import pytest
-from conftest import rows_of, texts
+from cases import rows_of, texts
 
 from docflow.llm import quality, queries
 

@@ -3,7 +3,7 @@
 import hashlib
 import re
 
-from conftest import rows_of, texts
+from cases import rows_of, texts
 from pyspark.sql import functions as F
 
 from docflow.llm import queries, secret_scan

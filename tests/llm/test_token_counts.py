@@ -1,6 +1,6 @@
 """Token counts against the tokenizer on whole texts."""
 
-from conftest import rows_of, texts
+from cases import rows_of, texts
 from tokenizers import Tokenizer
 
 from docflow.llm import queries, token_counts

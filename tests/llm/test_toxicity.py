@@ -6,7 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import texts
+from cases import texts
 from pyspark.sql import functions as F
 
 from docflow.llm import queries, toxicity

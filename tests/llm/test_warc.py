@@ -5,7 +5,7 @@ import hashlib
 import struct
 
 import pytest
-from conftest import SF_DIR, rows_of
+from cases import SF_DIR, rows_of
 from docflow.llm import queries, warc
 
 PAGES = [
