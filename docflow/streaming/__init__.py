@@ -19,7 +19,7 @@ from docflow.operators import lineage as lin
 from docflow.operators.ordered import latest_by_key
 from docflow.sources import events as ev
 
-SIGNATURE_BUCKETS = 256
+SIGNATURE_BUCKETS = 64
 
 
 def _batch_path(path: str, batch_id: int) -> str:
@@ -163,7 +163,7 @@ def stream_lineage(messages: DataFrame, path: str, checkpoint: str) -> DataStrea
         _write_batch(out.rejected, f"{path}/rejected", n)
         first = lin.first_documents(out.accepted.where(~F.col("s3Event").startswith("ObjectRemoved")), ["documentSignature"])
         narrow = first.select("documentSignature", "_doc.*", _bucket(F.col("documentSignature")).alias("bucket"))
-        narrow.write.mode("overwrite").partitionBy("bucket").parquet(_batch_path(f"{path}/signatures", n))
+        narrow.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(_batch_path(f"{path}/signatures", n))
         rows.unpersist()
 
     return messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(put)
