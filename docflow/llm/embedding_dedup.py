@@ -1,11 +1,12 @@
 """Near-duplicate embeddings: spherical k-means cells, blocked cosine products inside them.
 
 A vector lives in the cell of its nearest centre and is a guest in every cell
-whose border it is close to: a vector linked with it differs by less than
+whose border it is close to: a vector linked with it differs by at most
 ``sqrt(2 - 2 * threshold)``, and where the step towards another centre ``c`` from
 the own centre ``h`` is more than ``margin`` of that, the other cell need not be
-asked. At ``margin`` 1 no link can be lost; the default keeps links whose
-difference points at a border with up to ``margin`` of its length.
+asked. At ``margin`` 1, the default, no link can be lost, whatever the cells; a
+smaller one loses links whose difference points at a border with more than
+``margin`` of its length.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ SAMPLE = 20_000
 MAX_CELLS = 1024
 CELL_VECTORS = 8192
 BLOCK_VECTORS = 1024
-MARGIN = 0.4
+MARGIN = 1.0
 
 
 def unit(column, kind=np.float64) -> list[np.ndarray | None]:
@@ -82,12 +83,12 @@ def fit_cells(classes: DataFrame, sample: int, cell_vectors: int, max_cells: int
 
 def assign(classes: DataFrame, centres: dict[int, np.ndarray], threshold: float, margin: float) -> DataFrame:
     """``(label, dims, cell, guest, cid, n, unit)``: a row for the home cell and for each cell visited."""
-    reach = margin * np.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-9
+    reach = margin * np.sqrt(max(0.0, 2 - 2 * threshold) + 1e-12)  # more than products are rounded by
     sent = classes.sparkSession.sparkContext.broadcast(centres)
     label = classes.schema["label"].dataType.simpleString()
 
     def run(batches):
-        apart = {d: np.sqrt(np.maximum(0, 2 - 2 * c @ c.T)) for d, c in sent.value.items()}
+        apart = {d: np.stack([np.linalg.norm(c - x, axis=1) for x in c]) for d, c in sent.value.items()}
         for batch in batches:
             dims = batch.column(1).to_numpy()
             rows, cells, guests = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, bool)]
@@ -100,7 +101,7 @@ def assign(classes: DataFrame, centres: dict[int, np.ndarray], threshold: float,
                 near = data @ sent.value[d].T
                 home = near.argmax(axis=1)
                 own = near[np.arange(len(at)), home][:, None]
-                row, cell = np.nonzero(own - near <= reach * apart[d][home])
+                row, cell = np.nonzero(own - near <= reach * apart[d][home] + 1e-12)
                 rows.append(at[row]), cells.append(cell), guests.append(cell != home[row])
             row = np.concatenate(rows)
             take = pa.array(row)

@@ -81,6 +81,19 @@ def test_recall_of_the_default_margin(ready):
     assert sum(found.values()) >= 0.99 * sum(want.values()) > 300
 
 
+@pytest.mark.parametrize("dims, noise", [(2, 0.2), (3, 0.2), (64, 0.2)])
+def test_many_cells_lose_no_link(ready, dims, noise):
+    """With the default margin many cells give what all pairs give, also where few dimensions or lines lead to borders."""
+    rng = np.random.default_rng(dims)
+    base = rng.normal(size=(100, dims))
+    near = [b + rng.normal(size=dims) * noise * k for b in base for k in range(3)]
+    ends = rng.normal(size=(2, dims))
+    line = [(1 - t) * ends[0] + t * ends[1] for t in np.linspace(0, 1, 60)]
+    rows = [(i, [float(x) for x in v], 0) for i, v in enumerate(near + line)]
+    frame = ready.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    assert rows_of(dedup.near_duplicates(frame, cell_vectors=30), *NAMES) == brute(rows)
+
+
 def test_empty(frame):
     assert dedup.near_duplicates(frame.limit(0)).count() == 0
 
