@@ -121,6 +121,7 @@ class TierPacker:
         self.by_length = [[] for _ in range(window + 1)]
         self.lengths = 0  # bit n is set where pieces of length n wait
         self.waiting = self.tokens = 0
+        self.carried: list[tuple] = []  # less than a window, from before the last turn
         self.out: list[tuple] = []
 
     def add(self, ids: bytes, document) -> None:
@@ -170,6 +171,13 @@ class TierPacker:
 
     def _pack(self, keep: int) -> None:
         """Pack every tier until about ``keep`` pieces wait."""
+        pieces, self.carried = self.carried, []
+        used = sum(len(x[0]) // 4 for x in pieces)
+        if pieces and self.tokens + used >= self.window:
+            self._fill(self.window, pieces, used)
+        else:
+            for piece in pieces:
+                self._put(piece)
         size = self.window
         while size >= self.smallest:
             least = size // 2 + 1 if size > self.smallest else 1
@@ -177,6 +185,12 @@ class TierPacker:
                 self._fill(size, [piece], len(piece[0]) // 4)
             size //= 2
 
+    def turn(self) -> None:
+        """All that waits goes before what comes; the rest, less than a window, starts the next one."""
+        self._pack(0)
+        while self.lengths:
+            self.carried.append(self._pop((self.lengths & -self.lengths).bit_length() - 1))
+
     def finish(self) -> None:
         """The rest goes into windows of its binary digits, which need no padding."""
         self._pack(0)
@@ -195,7 +209,7 @@ class TierPacker:
 
 def pack(
     docs: DataFrame, tokenizer: str, window: int = 1024, smallest: int = 128, step_tokens: int = 16384,
-    end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
+    end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", run_col: str | None = None,
 ) -> DataFrame:
     """One row per piece: ``doc_id``, ``start`` and ``length`` in the document's ids,
     ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset``, ``tier`` (the
@@ -209,6 +223,10 @@ def pack(
     id. Repeated rows are packed one by one, null ids are kept, other columns are
     ignored, an empty table gives an empty result. ``sequence_id`` names the task,
     so a task that is run again writes the same rows.
+
+    With ``run_col``, consecutive rows of one value form a run. Runs are packed one
+    after the other, so ``sequence_id`` follows their order (across tasks, that of
+    the partitions) to less than a window; without it, order is by length only.
     """
     with open(tokenizer, encoding="utf-8") as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
@@ -220,11 +238,16 @@ def pack(
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = _encoder(spec.value)
         packer = TierPacker(window, smallest, step_tokens, TaskContext.get().partitionId() << 40)
+        at = None
         for batch in batches:
             documents, texts = batch.column(0).to_pylist(), [x.decode() for x in text_bytes(batch.column(1))]
+            turns = batch.column(2).to_pylist()
             for i in range(0, len(texts), TEXTS_AT_ONCE):
                 part = slice(i, i + TEXTS_AT_ONCE)
-                for document, ids in zip(documents[part], encoder.ids(texts[part]), strict=True):
+                for document, ids, turn in zip(documents[part], encoder.ids(texts[part]), turns[part], strict=True):
+                    if turn != at:
+                        packer.turn()
+                        at = turn
                     packer.add(ids + end, (document, len(ids) // 4 + 1))
                 if len(packer.out) >= 20_000:
                     yield rows(packer)
@@ -241,5 +264,6 @@ def pack(
         packer.out = []
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
+    turn = F.lit(0) if run_col is None else F.col(run_col)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), turn.alias("run")).mapInArrow(
         run, f"doc_id {kind.simpleString()}, {SCHEMA}")

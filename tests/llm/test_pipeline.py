@@ -1,6 +1,8 @@
 """Every stage of the pipeline against a plain version, on its own input."""
 
+import random
 import re
+from collections import Counter
 
 import pytest
 from cases import SF_DIR, texts
@@ -10,7 +12,7 @@ from test_secret_scan import spans
 from test_simhash import brute as groups
 
 import corpus_pipeline as pipeline
-from docflow.llm import quality
+from docflow.llm import mixing, quality
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -74,6 +76,35 @@ def test_packing(ready, some):
     assert check(pipeline.packed(ready, some, SF_DIR).collect(), [(r.doc_id, r.text) for r in some.collect()]) == 0
 
 
+def test_packing_keeps_the_mixture(ready, tmp_path):
+    """Read from several files, sequences in the order of their numbers have each source's share, run by run."""
+    rng = random.Random(3)
+    sizes = {"a": 900, "b": 60, "c": 300}  # words; packing by length alone would tell the sources apart
+    docs, rest = [], {s: 1_200_000 for s in sizes}
+    while any(x > 0 for x in rest.values()):
+        for s in [s for s in sizes if rest[s] > 0]:
+            text = " ".join(f"w{rng.randrange(900)}" for _ in range(rng.randrange(sizes[s] // 2, sizes[s])))
+            docs.append((len(docs), text, "en", s, len(text)))
+            rest[s] -= len(text)
+    mixed = pipeline.mixing_sources(ready, ready.createDataFrame(docs, DOCS), SF_DIR)
+    mixed.repartition(7).write.parquet(str(tmp_path / "mixed"))
+    pieces = pipeline.packed(ready, ready.read.parquet(str(tmp_path / "mixed")), SF_DIR).collect()
+    assert check(pieces, [(r[0], r[1]) for r in docs]) == 0
+    source, total = {r[0]: r[3] for r in docs}, sum(p.length for p in pieces)
+    slots = {r.doc_id: r.mix_slot for r in mixing.mix(mixed).collect()}
+    seen, parts, at, run = Counter(), [Counter() for _ in range(3)], 0, 0
+    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+        run = max(run, slots[p.doc_id] // pipeline.RUN_SLOTS)
+        assert slots[p.doc_id] // pipeline.RUN_SLOTS >= run - 1  # only what is carried into the next run's window
+        parts[min(2, 3 * at // total)][source[p.doc_id]] += p.length
+        seen[source[p.doc_id]] += p.length
+        at += p.length
+    for part in parts:
+        for s in sizes:
+            # a third has 18 slots, and may end inside a run on both sides
+            assert abs(part[s] / sum(part.values()) - seen[s] / total) < 0.15, parts
+
+
 def test_empty(ready, some):
     for _, stage in pipeline.STAGES:
         assert stage(ready, some.limit(0), SF_DIR).count() == 0
