@@ -6,10 +6,16 @@ inside the shards named by a pair of blocks. A shard's tree goes to the task
 that has the shard's queries; it is not broadcast to all tasks, because all
 trees together grow with the documents. A shard above ``tree_limit`` is split
 into several trees and its queries are sent to each of them.
+
+``similar_documents`` is for documents that have most of their shingles in common.
+Those differ in more bits than blocks can serve, so its shards are named by bands
+of minimum hashes instead, its trees are searched further, and what they find is
+confirmed on the shingles themselves.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -18,23 +24,36 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docflow.llm.common import components, text_bytes, written
+from docflow.llm.common import components, text_bytes, when_small, written
+from docflow.llm.words import mixed
 
+BANDS, BAND_ROWS = 24, 5  # documents of similarity 0.8 share no band in one of 10,000 cases
+FAR = 28  # bits; those of similarity 0.8 differ in 10 on average
+LEADER_ROWS = 512
 WIDTHS = (11, 11, 11, 11, 10, 10)
 SEED = 42
 
 
-def fingerprint(text: bytes, width: int = 4) -> int:
-    """SimHash of the word shingles; 0 without words. ASCII letters count as lower case."""
+def shingles(text: bytes, width: int) -> np.ndarray:
+    """Hashes of the word shingles in their order. ASCII letters count as lower case; fewer words make one shingle."""
     words = text.lower().split()  # bytes.split cuts at \x20 and \x09-\x0d
     if not words:
-        return 0
+        return np.empty(0, dtype="<u8")
     line, n = b" ".join(words), max(1, len(words) - width + 1)
     ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     digest = xxhash.xxh64_intdigest
     spans = zip(starts[:n].tolist(), ends[-n:].tolist(), strict=True)
-    hashes = np.fromiter((digest(line[a:b], SEED) for a, b in spans), dtype="<u8", count=n)
+    return np.fromiter((digest(line[a:b], SEED) for a, b in spans), dtype="<u8", count=n)
+
+
+def fingerprint(text: bytes, width: int = 4) -> int:
+    """SimHash of the word shingles; 0 without words."""
+    return simhash(shingles(text, width))
+
+
+def simhash(hashes: np.ndarray) -> int:
+    n = len(hashes)
     ones = np.zeros(64, dtype=np.int64)
     for i in range(0, n, 65536):
         bits = np.unpackbits(hashes[i : i + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -187,3 +206,141 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
     return found.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+_rng = np.random.default_rng(SEED)
+_TIMES = _rng.integers(0, 2**63, (BANDS * BAND_ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_PLUS = _rng.integers(0, 2**63, (BANDS * BAND_ROWS, 1), dtype=np.uint64)
+
+
+def bands(hashes: np.ndarray) -> np.ndarray:
+    """A key per band: the band's minimum hashes over the shingles, hashed together."""
+    least = np.full(len(_TIMES), 2**64 - 1, dtype=np.uint64)
+    for i in range(0, len(hashes), 1024):
+        least = np.minimum(least, (hashes[i : i + 1024][None, :] * _TIMES + _PLUS).min(axis=1))
+    keys = np.arange(BANDS, dtype=np.uint64)
+    for row in least.reshape(BANDS, BAND_ROWS).T:
+        keys = mixed(keys * _TIMES[0] + row)
+    return keys
+
+
+def _described(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """``(key, digest, fp, bands)`` of every text; equal digests have equal sets of shingles."""
+
+    def run(batches):
+        for batch in batches:
+            sets = [np.unique(shingles(x, width)) for x in text_bytes(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), pa.array([xxhash.xxh128_hexdigest(x.tobytes()) for x in sets], pa.string()),
+                pa.array(np.array([simhash(x) if len(x) else 0 for x in sets], dtype=np.uint64).view(np.int64)),
+                pa.array([bands(x).view(np.int64) if len(x) else [] for x in sets], pa.list_(pa.int64()))],
+                ["key", "digest", "fp", "bands"])
+
+    return docs.select(F.col(id_col).cast("bigint").alias("key"), F.col(text_col).alias("text")).mapInArrow(
+        run, "key bigint, digest string, fp bigint, bands array<bigint>")
+
+
+def _leaders(members: list) -> list[tuple[int, int]]:
+    """Each member with the first one near it that has none itself."""
+    tree, of, out = BKTree(), {}, []
+    for cid, fp, _ in members:
+        if near := tree.within(fp, FAR):
+            out.append((of[min(near, key=lambda x: ((x ^ fp).bit_count(), of[x]))], cid))
+        else:
+            tree.add(fp)
+            of[fp] = cid
+    return out
+
+
+def _between(members: list) -> list[tuple[int, int]]:
+    """All near pairs of different roots; members of the most common root are found, but do not search."""
+    sizes = Counter(root for *_, root in members)
+    most = max(sizes, key=lambda r: (sizes[r], -r))
+    tree, of, out = BKTree(), {}, []
+    for cid, fp, root in sorted(members, key=lambda x: (x[2] != most, x[2], x[0])):
+        if root != most:
+            out += [(min(cid, c), max(cid, c)) for near in tree.within(fp, FAR) for c, r in of[near] if r != root]
+        tree.add(fp)
+        of.setdefault(fp, []).append((cid, root))
+    return out
+
+
+def _pairs(rows: DataFrame, find) -> DataFrame:
+    """``(a, b)``: what ``find`` gives for the members of each ``(band, salt)`` of ``rows``, once."""
+
+    def run(batches):
+        at, members = None, []
+        for batch in batches:
+            out = []
+            for band, salt, cid, fp, root in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (band, salt) != at:
+                    out += find(members) if len(members) > 1 else []
+                    at, members = (band, salt), []
+                members.append((cid, fp & ((1 << 64) - 1), root))
+            yield made(out)
+        yield made(find(members) if len(members) > 1 else [])
+
+    def made(out):
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    placed = rows.select("band", "salt", "cid", "fp", "root").repartition("band", "salt").sortWithinPartitions("band", "salt", "cid")
+    return written(placed.mapInArrow(run, "a bigint, b bigint").distinct(), "similar-pairs")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, similarity: float) -> DataFrame:
+    """The pairs whose sets of shingles have ``similarity``; only texts in pairs are read."""
+
+    def sets(batches):
+        for batch in batches:
+            found = [np.unique(shingles(x, width)).tobytes() for x in text_bytes(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["cid", "held"])
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                x, y = np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8")
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    texts = docs.select(F.col(id_col).cast("bigint").alias("cid"), F.col(text_col).alias("text"))
+    held = written(texts.join(when_small(nodes), "cid", "left_semi").mapInArrow(sets, "cid bigint, held binary"), "shingles")
+    found = pairs.join(held.select(F.col("cid").alias("b"), F.col("held").alias("y")), "b").join(
+        held.select(F.col("cid").alias("a"), F.col("held").alias("x")), "a")
+    return written(found.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint"), "confirmed")
+
+
+def similar_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8,
+) -> DataFrame:
+    """``(doc_id, component_id)``, one row per row of ``docs``, whose ids are unique whole numbers.
+
+    Documents are linked where their sets of shingles of ``width`` words have at
+    least ``similarity`` (shared of all, counted on 64-bit hashes); ``component_id`` is
+    the least id reachable. No pair below it is linked. A pair is looked at where it
+    shares a band, which of pairs with similarity 0.8 one in 10,000 does not; below
+    0.8 more are missed. Texts without words are equal to each other.
+
+    Equal sets are compared once. First each member of a shard is compared with one
+    near it, so a large group costs no square; then all near pairs that are still apart.
+    """
+    found = written(_described(docs, id_col, text_col, width), "similar")
+    classes = written(found.groupBy("digest").agg(
+        F.min("key").alias("cid"), F.first("fp").alias("fp"), F.first("bands").alias("bands")), "similar-classes")
+    rows = classes.select("cid", "fp", F.explode("bands").alias("band"))
+    counts = rows.groupBy("band").count().where("count > 1")
+    rows = written(rows.join(counts, "band"), "similar-shards")
+    salt = F.pmod(F.xxhash64("cid", "band"), F.ceil(F.col("count") / F.lit(LEADER_ROWS))).cast("int")
+    check = (docs, id_col, text_col, width, similarity)
+    links = _confirmed(_pairs(rows.withColumn("salt", salt).withColumn("root", F.col("cid")), _leaders), *check)
+    roots = components(links, "similar")
+    rooted = rows.join(roots, F.col("cid") == F.col("node"), "left").select(
+        "band", F.lit(0).alias("salt"), "cid", "fp", F.coalesce("component", "cid").alias("root"))
+    apart = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band")
+    more = _confirmed(_pairs(rooted.join(apart, "band"), _between), *check)
+    roots = components(links.unionByName(more), "similar")
+    named = classes.join(roots, F.col("cid") == F.col("node"), "left").select(
+        "digest", F.coalesce("component", "cid").alias("component_id"))
+    return found.join(named, "digest").select(F.col("key").alias("doc_id"), "component_id")
