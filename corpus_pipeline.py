@@ -26,10 +26,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with 0.8 of their five-word shingles in common, the least id stays; of repeated rows, and of rows without id, one stays."""
+    """Of documents whose fingerprints link (four words, four bits), the least id stays; of repeated rows, and of rows without id, one stays."""
     prepare(spark)
     rows = with_key(docs, "doc_id", "text", key="_key")
-    groups = simhash.similar_documents(rows, id_col="_key")
+    groups = simhash.near_duplicates(rows, id_col="_key")
     gone = written(groups.where("doc_id != component_id").select(F.col("doc_id").alias("_key")), "duplicates")
     return rows.join(when_small(gone), "_key", "left_anti").select(*docs.columns)
 
