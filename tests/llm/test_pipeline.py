@@ -10,7 +10,6 @@ from test_packing import check
 from test_quality import plain, score_of
 from test_secret_scan import spans
 from test_simhash import brute as groups
-from test_simhash import plain_groups
 
 import corpus_pipeline as pipeline
 from docflow.llm import mixing, quality
@@ -52,13 +51,6 @@ def test_near_duplicates(ready, some):
     assert rows(out) == sorted((r for i, r in enumerate(numbered) if of[i] == i), key=str)
 
 
-def test_near_duplicates_by_similarity(ready, some):
-    """One document stays of those linked by 0.8 of their five-word shingles, by all pairs."""
-    numbered = sorted((tuple(r) for r in some.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
-    of = dict(plain_groups([(i, r[1]) for i, r in enumerate(numbered)]))
-    assert rows(pipeline.near_duplicates(ready, some, SF_DIR)) == sorted((r for i, r in enumerate(numbered) if of[i] == i), key=str)
-
-
 def test_secrets(ready, some):
     out = pipeline.secret_scans(ready, some, SF_DIR)
     assert out.columns == some.columns and out.count() == some.count()

@@ -89,50 +89,3 @@ def test_links_with_split_shards(ready):
             want.append(sorted(group))
     assert groups(4096) == sorted(want)
     assert groups(3) == sorted(want)
-
-
-def plain_groups(rows, similarity=0.8):
-    """The least id of each group by all pairs of sets of five-word shingles."""
-    sets = []
-    for _, text in rows:
-        words = (text or "").encode().lower().split()  # ASCII letters only
-        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
-    root = list(range(len(rows)))
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for i, a in enumerate(sets):
-        for j, b in enumerate(sets[:i]):
-            if len(a & b) >= similarity * len(a | b):
-                root[find(i)] = find(j)
-    least = {}
-    for i, (key, _) in enumerate(rows):
-        least[find(i)] = min(key, least.get(find(i), key))
-    return sorted((key, least[find(i)]) for i, (key, _) in enumerate(rows))
-
-
-def near_copies():
-    """Copies with some words changed, similarities on both sides of 0.8; a clump, short and empty texts."""
-    rng = random.Random(8)
-    out = []
-    for _ in range(60):
-        words = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([40, 200, 400]))]
-        out.append(" ".join(words))
-        for part in (0.005, 0.01, 0.02, 0.03, 0.05):
-            out.append(" ".join(f"x{rng.randrange(5000)}" if rng.random() < part else w for w in words))
-    clump = [f"c{rng.randrange(900)}" for _ in range(150)]
-    out += [" ".join(f"y{rng.randrange(9000)}" if rng.random() < 0.01 else w for w in clump) for _ in range(60)]
-    return list(enumerate(out + [None, "", "  ", "a b", "A  b", "a b c", "one two three four five", "one two three four five six"]))
-
-
-def test_similar_documents(ready, monkeypatch):
-    rows = near_copies()
-    df = ready.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
-    want = plain_groups(rows)
-    assert rows_of(simhash.similar_documents(df), "doc_id", "component_id") == sorted(want, key=str)
-    assert len({c for _, c in want}) < len(rows) - 100
-    monkeypatch.setattr(simhash, "LEADER_ROWS", 4)
-    assert rows_of(simhash.similar_documents(df), "doc_id", "component_id") == sorted(want, key=str)
