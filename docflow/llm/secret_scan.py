@@ -18,6 +18,7 @@ from docflow.session import scratch_dir
 RULE_VERSION = "1"
 # kinds in the order in which spans with one start are listed; the first three are the base
 KINDS = ("assign", "access", "hex", "private_key", "web_token")
+BROADCAST_SPANS = 500_000  # of 20 bytes each; above that findings are joined by a shuffle
 SPANS = "array<struct<start:bigint,end:bigint,kind:int>>"
 
 # Matched on the text with A-Z in lower case. The classes hold no letter whose case matters.
@@ -26,8 +27,23 @@ _ASSIGN_WORDS = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 _HEX = re.compile(rb"[0-9a-f]+")
 _HEX_ONLY = bytes(49 if c in b"0123456789abcdef" else 32 for c in range(256))
-_PRIVATE_KEY = re.compile(rb"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----.*?-----END [A-Z ]{0,30}PRIVATE KEY-----", re.DOTALL)
-_WEB_TOKEN = re.compile(rb"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+# Each is searched once along the text: marks are paired afterwards, and a run of letters is entered at its start only.
+_KEY_MARK = re.compile(rb"(?=-----(BEGIN|END) [A-Z ]{0,30}PRIVATE KEY-----)")
+_WEB_TOKEN = re.compile(
+    rb"(?<![A-Za-z0-9_-])(?>[A-Za-z0-9_-]*?(?=eyJ))(eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)")
+
+
+def _private_keys(text: bytes) -> list[tuple[int, int]]:
+    """From each BEGIN line to the first END line after it; a BEGIN without END is none."""
+    found, start, after = [], None, 0
+    for m in _KEY_MARK.finditer(text):
+        at, end = m.start(), text.index(b"KEY-----", m.start()) + 8
+        if m[1] == b"BEGIN" and start is None and at >= after:
+            start, after = at, end
+        elif m[1] == b"END" and start is not None and at >= after:
+            found.append((start, end))
+            start, after = None, end
+    return found
 
 
 def scan(text: bytes) -> list[tuple[int, int, int]]:
@@ -40,9 +56,9 @@ def scan(text: bytes) -> list[tuple[int, int, int]]:
     if b"1" * 32 in text.translate(_HEX_ONLY):
         found += [(m.start(), m.end(), 2) for m in _HEX.finditer(text) if m.end() - m.start() >= 32]
     if b"PRIVATE KEY-----" in text:
-        found += [(m.start(), m.end(), 3) for m in _PRIVATE_KEY.finditer(text)]
+        found += [(a, b, 3) for a, b in _private_keys(text)]
     if b"eyJ" in text:
-        found += [(m.start(), m.end(), 4) for m in _WEB_TOKEN.finditer(text)]
+        found += [(*m.span(1), 4) for m in _WEB_TOKEN.finditer(text)]
     if not found:
         return []
     ends = sorted({p for s, e, _ in found for p in (s, e)})
@@ -91,14 +107,20 @@ def update_ledger(docs: DataFrame, ledger: str | None = None, text_col: str = "t
 def find_secrets(docs: DataFrame, ledger: str | None = None, text_col: str = "text", spans_col: str = "spans") -> DataFrame:
     """All rows and columns of ``docs`` with ``spans_col``: the findings of the row's text.
 
+    Only blobs with findings are joined back, so texts move where those are too many to broadcast, and not else.
+
     Positions are code points, ends exclusive; ``kind`` is an index into
     ``KINDS``. Null and empty texts have no spans. Repeated rows are kept, each
     with its findings; a column of ``docs`` named ``spans_col`` is replaced. An
     empty table gives an empty result.
     """
-    found = update_ledger(docs, ledger, text_col).withColumnRenamed("spans", spans_col)
+    found = update_ledger(docs, ledger, text_col).where(F.size("spans") > 0).select(
+        F.col("blob").alias("_blob"), F.col("spans").alias("_found"))
+    if (found.agg(F.sum(F.size("_found") + 2)).first()[0] or 0) <= BROADCAST_SPANS:
+        found = F.broadcast(found)
     keyed = docs.drop(spans_col).withColumn("_blob", blob_of(F.coalesce(F.col(text_col), F.lit(""))))
-    return keyed.join(found.withColumnRenamed("blob", "_blob"), "_blob").drop("_blob")
+    return keyed.join(found, "_blob", "left").withColumn(
+        spans_col, F.coalesce("_found", F.array().cast(SPANS))).drop("_blob", "_found")
 
 
 def redact(text: Column, spans: Column) -> Column:

@@ -1,7 +1,9 @@
 """Secret scans against plain searches in the text."""
 
 import hashlib
+import random
 import re
+import time
 
 from cases import rows_of, texts
 from pyspark.sql import functions as F
@@ -71,3 +73,23 @@ def test_redaction(docs):
     assert out.startswith("x = 1\n[assign]\" é token=abc [assign] [access] [hex]")
     kept = secret_scan.find_secrets(docs.where("doc_id in (4, 8)"))
     assert kept.where(secret_scan.redact(F.col("text"), F.col("spans")) != F.col("text")).count() == 0
+
+
+def test_added_kinds_equal_plain_patterns():
+    key = re.compile(rb"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----.*?-----END [A-Z ]{0,30}PRIVATE KEY-----", re.DOTALL)
+    token = re.compile(rb"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+    rng = random.Random(4)
+    parts = ["-----BEGIN PRIVATE KEY-----", "BEGIN RSA PRIVATE KEY-----", "-----END PRIVATE KEY-----", "END EC PRIVATE KEY-----",
+             "-----", "x", "eyJabcdefgh", "eyJ", "abcdefgh", ".", ".", " ", "KEY-----"]
+    for _ in range(20_000):
+        text = "".join(rng.choices(parts, k=rng.randrange(1, 14))).encode()
+        want = sorted([(*m.span(), 3) for m in key.finditer(text)] + [(*m.span(), 4) for m in token.finditer(text)])
+        assert [x for x in secret_scan.scan(text) if x[2] > 2] == want, text
+
+
+def test_long_texts_take_linear_time():
+    """Two megabytes that a search from every mark to the end of the text would take hours for."""
+    for unit in (b"-----BEGIN RSA PRIVATE KEY-----\n", b"eyJ", b"eyJ.", b"token ", b"-----END PRIVATE KEY-----"):
+        start = time.perf_counter()
+        assert secret_scan.scan(unit * (2_000_000 // len(unit))) == []
+        assert time.perf_counter() - start < 3
