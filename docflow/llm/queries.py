@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.llm import (
-    embedding_dedup, mixing, packing, quality, secret_scan, simhash, sql, suffix_dedup, token_counts, toxicity, warc,
+    collocations, embedding_dedup, mixing, packing, quality, secret_scan, simhash, sql, suffix_dedup, token_counts, toxicity, warc,
 )
 from docflow.llm.common import prepare, table
 
@@ -89,3 +89,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_simhash")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op11_collocations", sql.COLLOCATIONS)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))

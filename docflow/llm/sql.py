@@ -60,3 +60,37 @@ SELECT doc_id, source, CAST(pos // 65536 AS BIGINT) AS mix_block,
   CAST(pos // 65536 // q * 1024 + slot AS BIGINT) AS mix_slot, CAST(pos % 65536 AS BIGINT) AS mix_offset
 FROM b JOIN plan ON plan.s = b.s AND plan.k = (pos // 65536) % q
 """
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+COLLOCATIONS = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]'), lambda x: x <> '') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM words, range(1, 5) AS lengths(m) WHERE len(w) >= m)
+  GROUP BY ALL),
+counts AS (SELECT * FROM grams WHERE f >= 30),
+candidates AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS w, f AS a FROM counts WHERE m > 1),
+cuts AS (
+  SELECT lang, m, phrase, a, k, array_to_string(w[1:k], ' ') AS p, array_to_string(w[k + 1 : m], ' ') AS q
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates)),
+scores AS (
+  SELECT c.lang, c.m, c.phrase, a, x.f AS l, y.f AS r, (2000000::HUGEINT * a) // (x.f::HUGEINT + y.f) AS score, k
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = p JOIN counts y ON y.lang = c.lang AND y.phrase = q),
+best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, array_to_string(w[i : i + n - 1], ' ') AS phrase, max(a) AS top
+  FROM (
+    SELECT lang, w, a, n, unnest(range(1, m - n + 2)) AS i
+    FROM (SELECT *, unnest(range(2, m)) AS n FROM candidates WHERE m > 2))
+  GROUP BY ALL)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, n,
+  CAST(score AS BIGINT) AS score
+FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase JOIN totals t ON t.lang = b.lang
+WHERE top IS NULL OR 100::HUGEINT * top < 80::HUGEINT * a
+QUALIFY rank <= 2000
+"""
