@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.llm import (
-    collocations, embedding_dedup, mixing, packing, quality, secret_scan, simhash, sql, suffix_dedup, token_counts, toxicity, warc,
+    collocations, embedding_dedup, license_scan, mixing, packing, quality, secret_scan, simhash, sql, suffix_dedup, token_counts, toxicity, warc,
 )
 from docflow.llm.common import prepare, table
 
@@ -94,3 +94,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_collocations", sql.COLLOCATIONS)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op12_licenses", sql.LICENSES)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.find_licenses(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score")

@@ -1,5 +1,7 @@
 """DuckDB counterparts of the queries that SQL can express."""
 
+from docflow.llm.license_scan import CONTAINMENT_PERCENT, PHRASES, TEMPLATES
+
 WARC = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
 d AS (SELECT *, sha1(payload) AS h, max(page_id) OVER (PARTITION BY payload) AS latest FROM p),
@@ -94,3 +96,35 @@ FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase JOIN t
 WHERE top IS NULL OR 100::HUGEINT * top < 80::HUGEINT * a
 QUALIFY rank <= 2000
 """
+
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+LICENSES = f"""
+WITH given(template, label, body) AS (VALUES {", ".join(f"({i}, '{label}', '{body}')" for i, (label, body) in enumerate(TEMPLATES))}),
+cut AS (SELECT template, label, {_WORDS.format("body")} AS w FROM given),
+step AS (SELECT max(len(w)) AS s FROM cut),
+held AS (
+  SELECT template, label, len(list_distinct(w)) AS size, ({CONTAINMENT_PERCENT} * len(list_distinct(w)) + 99) // 100 AS need,
+    unnest(list_distinct(w)) AS word FROM cut),
+phrases(label, p) AS (VALUES {", ".join(f"('{label}', string_split('{phrase}', ' '))" for phrase, label in PHRASES.items())}),
+d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+places AS (
+  SELECT rid, label, i FROM (SELECT rid, w, p, label, unnest(range(0, len(w) - len(p) + 1)) AS i FROM d, phrases)
+  WHERE w[i + 1 : i + len(p)] = p),
+base AS (
+  SELECT rid, count(*) AS n, min(i) AS lo, max(i) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY rid),
+tokens AS (SELECT rid, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM d),
+blocks AS (
+  SELECT DISTINCT rid, block, word FROM (SELECT rid, n, s, word, unnest([i // s - 1, i // s]) AS block FROM tokens, step)
+  WHERE block = 0 OR block > 0 AND (block + 1) * s < n),
+matches AS (
+  SELECT rid, label, count(*)::DOUBLE / size AS c FROM blocks JOIN held USING (word)
+  GROUP BY rid, block, template, label, size, need HAVING count(*) >= need),
+best AS (SELECT rid, max(c) AS c FROM matches GROUP BY rid),
+listed AS (
+  SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM (SELECT rid, label FROM places UNION SELECT rid, label FROM matches) GROUP BY rid)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_base, lo AS first_word, hi AS last_word, coalesce(base.labels, '') AS base_labels,
+  coalesce(listed.labels, '') AS labels, CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(c, 0.0::DOUBLE) END AS score
+FROM d LEFT JOIN base USING (rid) LEFT JOIN best USING (rid) LEFT JOIN listed USING (rid)
+"""
