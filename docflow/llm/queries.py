@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.llm import (
-    collocations, embedding_dedup, license_scan, mixing, packing, quality, secret_scan, simhash, sql, suffix_dedup, token_counts, toxicity, warc,
+    collocations, embedding_dedup, license_scan, mixing, packing, quality, secret_scan, simhash, sql, suffix_dedup, token_counts, toxicity,
+    vector_codes, warc,
 )
 from docflow.llm.common import prepare, table
 
@@ -102,3 +103,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
         F.array_join("labels", ",").alias("labels"), "score")
+
+
+@query("op13_vector_codes", sql.CODES)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings")).drop("label")

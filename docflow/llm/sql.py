@@ -128,3 +128,40 @@ SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_base, lo AS first_word, hi
   coalesce(listed.labels, '') AS labels, CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(c, 0.0::DOUBLE) END AS score
 FROM d LEFT JOIN base USING (rid) LEFT JOIN best USING (rid) LEFT JOIN listed USING (rid)
 """
+
+
+def _lloyd(rounds: int) -> str:
+    """Assignments ``a0`` .. and codebooks ``c0`` .. of each round."""
+    out = []
+    for r in range(rounds + 1):
+        out.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT rid, p, any_value(x) AS x, min(CAST(xx + yy - 2 * list_inner_product(x, y) AS BIGINT) * 256 + entry) AS best
+  FROM parts JOIN (SELECT p, entry, y, list_inner_product(y, y) AS yy FROM c{r}) USING (p) GROUP BY rid, p)""")
+        if r < rounds:
+            out.append(f"""
+m{r} AS (
+  SELECT p, entry, list(floor(total / n) ORDER BY j) AS y FROM (
+    SELECT p, best % 256 AS entry, j, sum(v) AS total, count(*) AS n
+    FROM (SELECT p, best, unnest(x) AS v, generate_subscripts(x, 1) AS j FROM a{r}) GROUP BY ALL)
+  GROUP BY p, entry),
+c{r + 1} AS MATERIALIZED (SELECT c.p, c.entry, coalesce(m.y, c.y) AS y FROM c{r} c LEFT JOIN m{r} m USING (p, entry))""")
+    return ",".join(out)
+
+
+CODES = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 1024)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cut AS (SELECT rid, p, e[p * (len(e) // 4) + 1 : (p + 1) * (len(e) // 4)] AS x FROM v, range(4) AS four(p)),
+parts AS MATERIALIZED (SELECT *, list_inner_product(x, x) AS xx FROM cut),
+c0 AS MATERIALIZED (SELECT p, rid - 1 AS entry, x AS y FROM parts WHERE rid <= 256),{_lloyd(4)},
+book AS (
+  SELECT sha256(string_agg(CAST(CAST(v AS BIGINT) AS VARCHAR), ',' ORDER BY p, entry, j)) AS h
+  FROM (SELECT p, entry, unnest(y) AS v, generate_subscripts(y, 1) AS j FROM c4)),
+coded AS (
+  SELECT rid, string_agg(printf('%02x', best % 256), '' ORDER BY p) AS code, CAST(sum(best // 256) AS BIGINT) AS error FROM a4 GROUP BY rid)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM v JOIN coded USING (rid), book
+"""
