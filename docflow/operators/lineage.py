@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from docflow import schemas as S
-from docflow.functions.names import document_signature
+from docflow.functions.names import document_link, document_signature
 from docflow.operators import Outcome
 from docflow.operators.ordered import SLICE_ROWS, latest_by_key, running
+from docflow.session import written
 
 
 def with_signature(events: DataFrame) -> DataFrame:
@@ -91,6 +92,41 @@ def lineage_edges(lineage: DataFrame) -> DataFrame:
     )
 
 
+def derivations(edges: DataFrame) -> DataFrame:
+    """``(source, target, depth)``: every object and all that come from it, by the fewest steps.
+
+    ``edges`` are source to target pairs (``lineage_edges``); objects are named by
+    their links. Round ``k`` finds what lies up to ``2 ** (k + 1)`` steps apart:
+    a shortest way of more than ``2 ** k`` steps starts with one of just that many, so
+    only those are continued, by the ways known so far, and each pair is found
+    in one round. Objects on a cycle come from each other, but none from itself. Edges without
+    a file name on either side are passed over.
+    """
+    ways = written(edges.where(F.col("targetFileName").isNotNull()).select(
+        document_link("sourceBucketName", "sourceFileName").alias("source"),
+        document_link("targetBucketName", "targetFileName").alias("target"),
+    ).where("source <> target").distinct().withColumn("depth", F.lit(1)), "derivations")
+    known, reach = ways, 1
+    while True:
+        begun = known.where(F.col("depth") == reach).select("source", F.col("target").alias("_via"), F.col("depth").alias("_before"))
+        onward = known.select(F.col("source").alias("_via"), "target", "depth")
+        longer = begun.join(onward, "_via").where("source <> target").groupBy("source", "target").agg(
+            F.min(F.col("_before") + F.col("depth")).alias("depth"))
+        fresh = written(longer.join(known.select("source", "target"), ["source", "target"], "left_anti"), "derivations")
+        if fresh.isEmpty():
+            return known
+        known, reach = known.unionByName(fresh), 2 * reach
+
+
+def origins(ways: DataFrame) -> DataFrame:
+    """``(target, origin, depth)`` from ``derivations``: the objects that come from no other.
+
+    What only comes out of a cycle has no origin.
+    """
+    derived = ways.select(F.col("target").alias("source")).distinct()
+    return ways.join(derived, "source", "left_anti").select("target", F.col("source").alias("origin"), "depth")
+
+
 def record_lineage(events: DataFrame, present_key: str = "s3Event") -> DataFrame:
     """Name the event as a plain put unless it is already named."""
     return events.withColumn("s3Event", F.coalesce(F.col(present_key), F.lit(S.EVENT_PUT)))

@@ -12,6 +12,7 @@ from docflow.plans import ingest
 from docflow.plans.registry import query
 from docflow.session import scratch_dir
 from docflow.sources import events as ev
+from docflow.streaming import state
 
 # Status events straight from the table, judged against the first signup of their document.
 JUDGED = """
@@ -215,6 +216,29 @@ def stream_rejected(spark, d):
     return _tracked_stream(spark, d).rejected.select("documentId", "timestamp", "reason")
 
 
+def _state_stream(spark, d, keep_ms=None):
+    """The events as five files, one micro-batch each; another run goes on where the first one stopped."""
+    root = scratch_dir(spark, "states")
+    for run in range(2):
+        part = fx.table(spark, d, "events").repartitionByRange(5, "ts")
+        part.where(F.spark_partition_id() % 2 == run).write.mode("append").parquet(f"{root}/in")
+        events = fx.status_events_of(spark.readStream.schema(part.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in"))
+        _run(state.stream_states(events, f"{root}/table", f"{root}/checkpoint", keep_ms))
+    return f"{root}/table"
+
+
+@query("stream_states", JUDGED + f"SELECT {ITEM} FROM ops")
+def stream_states(spark, d):
+    # finished documents leave the state at once; what comes later still counts
+    return state.state_operations(spark, _state_stream(spark, d, keep_ms=0))
+
+
+@query("stream_summary", JUDGED + """
+SELECT stage AS "documentStage", status AS "documentStatus", count(*) AS documents FROM ops GROUP BY ALL""")
+def stream_summary(spark, d):
+    return state.kept_summary(spark, _state_stream(spark, d))
+
+
 @query("dedupe_messages", JUDGED + """
 SELECT doc AS "documentId", stamp AS "timestamp", status, stage FROM se""")
 def dedupe_messages(spark, d):

@@ -2,13 +2,14 @@
 
 Every stored table is a folder of batches. A batch writes its own sub-folder,
 ``batch=<id>``, and overwrites it when it is replayed, so a lost executor or a
-restart changes nothing. Readers fold the batches with the same aggregates the
+restart changes nothing. A batch that writes several tables marks itself finished at
+the end, and readers pass over what is not: they see all of a batch or
+nothing. Readers fold the batches with the same aggregates the
 batch operators use; ``compact`` folds a folder into a new one.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -18,26 +19,8 @@ from docflow.operators import Outcome, registry, tracking
 from docflow.operators import lineage as lin
 from docflow.operators.ordered import latest_by_key
 from docflow.sources import events as ev
-
-SIGNATURE_BUCKETS = 64
-
-
-def _batch_path(path: str, batch_id: int) -> str:
-    return f"{path}/batch={batch_id}"
-
-
-def read_batches(spark: SparkSession, path: str) -> DataFrame | None:
-    """All batches of a stored table, or None before the first."""
-    try:
-        return spark.read.option("basePath", path).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
-def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(_batch_path(path, batch_id))
+from docflow.streaming import signatures
+from docflow.streaming.batches import finish_batch, read_batches, write_batch
 
 
 def dedupe_messages(stream: DataFrame, columns: list[str], delay: str, time: str = "ts") -> DataFrame:
@@ -67,7 +50,7 @@ def stream_object_events(records: DataFrame, metadata=None) -> tuple[DataFrame,
 def append_stream(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Append a stream to a stored table, one folder per batch."""
     return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda df, n: _write_batch(df, path, n)
+        lambda df, n: write_batch(df, path, n)
     )
 
 
@@ -79,15 +62,16 @@ def stream_tracking(events: DataFrame, path: str, checkpoint: str) -> DataStream
     """
     def put(df: DataFrame, n: int) -> None:
         rows = df.persist()
-        _write_batch(rows, f"{path}/events", n)
-        _write_batch(tracking.fold_state(rows), f"{path}/state", n)
+        write_batch(rows, f"{path}/events", n)
+        write_batch(tracking.fold_state(rows), f"{path}/state", n)
+        finish_batch(df.sparkSession, path, n)
         rows.unpersist()
 
     return events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(put)
 
 
 def _folded(spark: SparkSession, path: str) -> DataFrame:
-    return read_batches(spark, f"{path}/state").groupBy("documentId").agg(
+    return read_batches(spark, path, "state").groupBy("documentId").agg(
         F.min_by("init", "init.seq").alias("init"), F.max_by("last", "last.seq").alias("last"))
 
 
@@ -98,7 +82,7 @@ def tracked_operations(spark: SparkSession, path: str) -> DataFrame:
 
 def tracked(spark: SparkSession, path: str) -> tracking.Tracked:
     """Operations, timeline and refused events of a stored stream, as the batch fold gives them."""
-    events = read_batches(spark, f"{path}/events").drop("batch")
+    events = read_batches(spark, path, "events").drop("batch")
     return tracking.fold_status_events(events)._replace(operations=tracked_operations(spark, path))
 
 
@@ -111,8 +95,9 @@ def stream_registry(messages: DataFrame, path: str, checkpoint: str) -> DataStre
     def put(df: DataFrame, n: int) -> None:
         rows = df.persist()
         out = registry.register_documents(None, rows)
-        _write_batch(out.accepted, f"{path}/documents", n)
-        _write_batch(out.rejected, f"{path}/rejected", n)
+        write_batch(out.accepted, f"{path}/documents", n)
+        write_batch(out.rejected, f"{path}/rejected", n)
+        finish_batch(df.sparkSession, path, n)
         rows.unpersist()
 
     return messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(put)
@@ -120,12 +105,12 @@ def stream_registry(messages: DataFrame, path: str, checkpoint: str) -> DataStre
 
 def registered(spark: SparkSession, path: str) -> Outcome:
     """Registered documents, and all refused messages with their reason."""
-    offered = read_batches(spark, f"{path}/documents")
+    offered = read_batches(spark, path, "documents")
     first = offered.groupBy("documentId").agg(F.min("batch").alias("_first"))
     judged = offered.join(first, "documentId")
     late = judged.where("batch > _first").drop("batch", "_first").withColumn(
         "reason", F.lit("document is already registered"))
-    refused = read_batches(spark, f"{path}/rejected")
+    refused = read_batches(spark, path, "rejected")
     return Outcome(
         judged.where("batch = _first").drop("batch", "_first"),
         late if refused is None else late.unionByName(refused.drop("batch"), allowMissingColumns=True),
@@ -136,34 +121,22 @@ def registered_documents(spark: SparkSession, path: str) -> DataFrame:
     return registered(spark, path).accepted
 
 
-def _bucket(signature: Column) -> Column:
-    return F.pmod(F.xxhash64(signature), F.lit(SIGNATURE_BUCKETS)).cast("int")
-
-
-def _known_signatures(spark: SparkSession, path: str, deletes: DataFrame, before: int) -> DataFrame | None:
-    """First documents of earlier batches, of the buckets that the batch's deletes fall into."""
-    wanted = [r.b for r in lin.with_signature(deletes).select(_bucket(F.col("documentSignature")).alias("b")).distinct().collect()]
-    stored = read_batches(spark, f"{path}/signatures") if wanted else None  # at most SIGNATURE_BUCKETS numbers
-    # a replayed batch must not see its own first attempt
-    return None if stored is None else stored.where(F.col("bucket").isin(wanted) & (F.col("batch") < before)).drop("batch", "bucket")
-
-
 def stream_lineage(messages: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Append lineage as messages arrive; deletes look up documents of the batches before theirs.
 
     Besides its rows and the refused ones, a batch stores the first document of
-    each signature it has seen, a narrow table in buckets of the signature. A
-    later batch reads only the buckets of its deletes, never the lineage.
+    each signature it has seen (``signatures``). A later batch reads only the
+    parts of that table whose filter knows one of its deletes, never the lineage.
     """
     def put(df: DataFrame, n: int) -> None:
-        rows = df.persist()
-        known = _known_signatures(df.sparkSession, path, rows.where(F.col("s3Event").startswith("ObjectRemoved")), n)
-        out = lin.resolve_deleted_ids(known, rows)
-        _write_batch(lin.append_lineage(None, out.accepted), f"{path}/lineage", n)
-        _write_batch(out.rejected, f"{path}/rejected", n)
+        rows, spark, table = df.persist(), df.sparkSession, f"{path}/signatures"
+        deletes = lin.with_signature(rows.where(F.col("s3Event").startswith("ObjectRemoved")))
+        out = lin.resolve_deleted_ids(signatures.known(spark, table, deletes.select("documentSignature"), n), rows)
+        write_batch(lin.append_lineage(None, out.accepted), f"{path}/lineage", n)
+        write_batch(out.rejected, f"{path}/rejected", n)
         first = lin.first_documents(out.accepted.where(~F.col("s3Event").startswith("ObjectRemoved")), ["documentSignature"])
-        narrow = first.select("documentSignature", "_doc.*", _bucket(F.col("documentSignature")).alias("bucket"))
-        narrow.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(_batch_path(f"{path}/signatures", n))
+        signatures.add(spark, table, first.select("documentSignature", "_doc.*"), n)
+        finish_batch(spark, path, n)
         rows.unpersist()
 
     return messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(put)
@@ -171,13 +144,13 @@ def stream_lineage(messages: DataFrame, path: str, checkpoint: str) -> DataStrea
 
 def stored_lineage(spark: SparkSession, path: str) -> DataFrame:
     return latest_by_key(
-        read_batches(spark, f"{path}/lineage"), ["documentId", "timestamp"], ["batch", "seq"]
+        read_batches(spark, path, "lineage"), ["documentId", "timestamp"], ["batch", "seq"]
     ).drop("batch")
 
 
 def rejected_lineage(spark: SparkSession, path: str) -> DataFrame:
     """Refused lineage messages with their reason."""
-    return read_batches(spark, f"{path}/rejected").drop("batch")
+    return read_batches(spark, path, "rejected").drop("batch")
 
 
 def stream_changes(records: DataFrame, path: str, checkpoint: str, handle) -> DataStreamWriter:
@@ -190,8 +163,9 @@ def stream_changes(records: DataFrame, path: str, checkpoint: str, handle) -> Da
         rows = df.persist()
         changes = ev.read_changes(rows)
         out = handle(changes.accepted)
-        _write_batch(out.accepted, f"{path}/accepted", n)
-        _write_batch(out.rejected.unionByName(changes.rejected, allowMissingColumns=True), f"{path}/rejected", n)
+        write_batch(out.accepted, f"{path}/accepted", n)
+        write_batch(out.rejected.unionByName(changes.rejected, allowMissingColumns=True), f"{path}/rejected", n)
+        finish_batch(df.sparkSession, path, n)
         rows.unpersist()
 
     return records.writeStream.option("checkpointLocation", checkpoint).foreachBatch(put)
@@ -207,8 +181,9 @@ def classify_changes(changes: DataFrame, rules: dict[str, bool] | None = None) -
 
 
 def compact(table: DataFrame, path: str) -> None:
-    """Write a folded table as batch 0 of a new folder; readers move there when it is done."""
-    _write_batch(table, path, 0)
+    """Write a folded table as batch 0 of a new folder, a table of the folder above; readers move there when it is done."""
+    write_batch(table, path, 0)
+    finish_batch(table.sparkSession, path.rsplit("/", 1)[0], 0)
 
 
 def _comparable(value: Column, kind: DataType) -> Column:
