@@ -12,7 +12,7 @@ from docflow.plans import fixtures as fx
 from docflow.plans.registry import query
 from docflow.session import scratch_dir
 from docflow.sources import catalog as cat
-from docflow.sources import ocr_files, outputs
+from docflow.sources import exact_files, ocr_files, outputs
 
 # Lines of every document, straight from its text. Documents that start with an
 # outdated block have one more page in front, unless their first PAGE is missing.
@@ -96,9 +96,8 @@ def read_ocr_responses(spark, d):
     # next to each response its first half, under another name of the same document
     half = whole.where(F.col("ord.a") < 3).withColumn("path", F.concat("documentId", F.lit("/cut/ocr-analysis/fullresponse.json")))
     outputs.write_lines(whole.unionByName(half.where("line <> ']}'")), path, per_file=True)
-    out = ocr_files.read_ocr_responses(spark, path)
-    read = ocr.explode_blocks(out.accepted)
-    return read.where(F.col("BlockType") == "LINE").select(
+    out = ocr_files.read_response_blocks(spark, path)
+    return out.accepted.where(F.col("BlockType") == "LINE").select(
         "documentId", F.expr("substr(Id, 2)").cast("bigint").alias("line"), F.col("Text").alias("text"),
         F.lit(None).cast("string").alias("reason")).unionByName(out.rejected.select("documentId", "reason"), allowMissingColumns=True)
 
@@ -116,11 +115,12 @@ def read_ocr_parts(spark, d):
         F.when(F.size("Blocks") > F.col("n") * 50, F.to_json(F.struct(
             F.slice("Blocks", (F.col("n") * 50 + 1).cast("int"), F.lit(50)).alias("Blocks")))).otherwise('{"Blocks":[{').alias("line"))
     check = fx.text_responses(spark, d).select(F.concat(job, F.lit("/.s3_access_check")).alias("path"), F.lit("{}").alias("line"))
-    files = parts.unionByName(check)
-    found = ocr_files.job_parts(ocr_files.judged_files(files.select(F.col("path").alias("file"), F.col("line").alias("value"))))
+    path = scratch_dir(spark, "parts")
+    exact_files.write_files(parts.unionByName(check).withColumn("ord", F.lit(0)), path)
+    found = ocr_files.read_part_blocks(spark, path)
     notices = fx.text_responses(spark, d).select(
         F.concat(F.lit("job-"), "documentId").alias("jobId"), "documentId", F.col("documentId").alias("objectName"), F.lit(True).alias("ok"))
-    blocks = ocr_files.blocks_of_jobs(ocr_files.concat_parts(found.accepted), notices)
+    blocks = ocr_files.blocks_of_jobs(found.accepted, notices)
     numbered = ocr.segment_pages(blocks.where(
         F.col("BlockType").isin("PAGE", "LINE") | (F.col("pos") == 0)).select("documentId", "pos", "BlockType", "Id", "Text"))
     lost = ocr_files.jobs_without_results(notices, found, "results")
@@ -322,7 +322,7 @@ def page_content(spark, d):
         F.coalesce(F.size("rows"), F.lit(0)).alias("n"))
 
 
-@query("write_page_outputs", PAGE_CONTENT + """
+OUTPUT_LINES = PAGE_CONTENT + """
 , texts AS (
   SELECT doc || '/scan/' || doc || '.pdf/ocr-analysis/page-' || page || '/text.txt' AS path, i AS place, text AS line FROM lines
 ), pages AS (
@@ -339,6 +339,10 @@ def page_content(spark, d):
 ), marks AS (
   SELECT doc || '/scan/' || doc || '.pdf/ocr-analysis/page-' || page || '/text.txt' AS path, -1 AS place, NULL AS line FROM pages
 ), every AS (SELECT * FROM texts UNION ALL SELECT * FROM marks UNION ALL SELECT * FROM forms UNION ALL SELECT * FROM tables)
+"""
+
+
+@query("write_page_outputs", OUTPUT_LINES + """
 SELECT path, (row_number() OVER (PARTITION BY path ORDER BY place) - 1)::BIGINT AS place, line FROM every""")
 def write_page_outputs(spark, d):
     from docflow.operators.ordered import ordinal
@@ -352,6 +356,23 @@ def write_page_outputs(spark, d):
     return ordinal(lines, ["path"], ["ord"], name="place", slice_on=F.col("ord.a")).select("path", "place", "line")
 
 
+@query("write_output_files", OUTPUT_LINES + """
+SELECT path, coalesce(sum(strlen(line) + 1), 0)::BIGINT AS bytes, md5(coalesce(string_agg(line || chr(10), '' ORDER BY place), '')) AS content
+FROM every GROUP BY path""")
+def write_output_files(spark, d):
+    blocks = fx.all_blocks(spark, d)
+    objects = fx.objects_of(fx.text_responses(spark, d)).unionByName(
+        fx.objects_of(fx.form_responses(spark, d))).unionByName(fx.objects_of(fx.table_responses(spark, d)))
+    path = scratch_dir(spark, "files")
+    listed = exact_files.write_files(outputs.page_outputs(blocks, objects, forms=True, tables=True).accepted, path)
+    # every file as it lies there, at its own path; Spark passes over empty ones
+    key = F.split_part(F.col("path"), F.lit(path + "/"), F.lit(-1))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(
+        key.alias("path"), F.md5("content").alias("content"))
+    return listed.where(~F.col("path").endswith(".json")).join(files, "path", "left").select(
+        "path", "bytes", F.when(F.col("bytes") == 0, F.md5(F.lit(""))).otherwise(F.col("content")).alias("content"))
+
+
 @query("write_page_json", LINES + """
 , counts AS (SELECT doc_id, doc, i, count(*) AS n, any_value(word) AS w FROM words GROUP BY ALL),
 per AS (
@@ -371,7 +392,8 @@ def write_page_json(spark, d):
     blocks = fx.text_blocks(spark, d)
     out = outputs.page_outputs(blocks, fx.objects_of(responses)).accepted
     outputs.write_lines(out.where(F.col("path").endswith(".json")), path, per_file=True)
-    files = spark.read.text(path, wholetext=True)
+    key = F.split_part(F.col("_metadata.file_path"), F.lit(path + "/"), F.lit(-1))
+    files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select(key.alias("path"), "value")
     # a page's file is a list of blocks, the whole response an object that holds one
     whole = F.when(F.col("path").endswith("fullresponse.json"), F.col("value")).otherwise(
         F.concat(F.lit('{"Blocks":'), "value", F.lit("}")))

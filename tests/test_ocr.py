@@ -148,8 +148,8 @@ def test_outputs_round_trip(spark, tmp_path):
 
     bare = outputs.page_outputs(blocks_of(spark, e=[b("PAGE", "p")]), spark.createDataFrame([("e", "e/z.pdf")], objects.schema))
     outputs.write_lines(bare.accepted, str(tmp_path / "bare"), per_file=True)
-    sizes = {f.parent.name.split("%2F")[-1]: f.stat().st_size for f in (tmp_path / "bare").rglob("part-*")}
-    assert sizes["text.txt"] == 1 and sizes["response.json"] > 2
+    sizes = {str(f.relative_to(tmp_path / "bare")): f.stat().st_size for f in (tmp_path / "bare").rglob("*") if f.is_file()}
+    assert sizes["e/z.pdf/ocr-analysis/page-1/text.txt"] == 0 and sizes["e/z.pdf/ocr-analysis/page-1/response.json"] > 2
     folder = str(tmp_path / "files")
     outputs.write_lines(out.accepted.where(F.col("path").endswith("fullresponse.json")), folder, per_file=True)
     again = ocr.explode_blocks(ocr_files.read_ocr_responses(spark, folder).accepted)
