@@ -69,6 +69,17 @@ def _messages(spark, d):
     return reg.unionByName(lin)
 
 
+def _all_messages(spark, d):
+    """Messages of all three types, without their order."""
+    return _messages(spark, d).drop("seq").unionByName(ev.to_messages(fx.status_events(spark, d), S.OPERATIONS).drop("seq"))
+
+
+def _named(messages):
+    names = [F.get_json_object("payload", f"$.{n}") for n in ("documentName", "targetFileName", "objectName")]
+    return messages.select("metadataType", "documentId", "timestamp", F.coalesce(*names).alias("name"), F.coalesce(
+        F.get_json_object("payload", "$.s3Event"), F.get_json_object("payload", "$.stage")).alias("what"))
+
+
 # --- sources -----------------------------------------------------------------------
 
 @query("read_object_events", EVENTS + """
@@ -172,28 +183,33 @@ def filterchange_records(spark, d):
         "eventName", F.col("new_image")["documentId"].alias("documentId"), (F.col("eventName") == "INSERT").alias("routed"))
 
 
-@query("write_metadata_events", EVENTS + """
-SELECT 'document-registry' AS "metadataType", id AS "documentId", ts AS "timestamp", key AS name FROM created
+MESSAGES = EVENTS + """
+SELECT 'document-registry' AS "metadataType", id AS "documentId", ts AS "timestamp", key AS name, NULL::VARCHAR AS what FROM created
 UNION ALL
-SELECT 'document-lineage', CASE WHEN name LIKE 'ObjectCreated%' THEN id ELSE 'UNKNOWN_YET' END, ts, key
-FROM oe WHERE name <> 'ObjectRestore:Post'""")
+SELECT 'document-lineage', CASE WHEN name LIKE 'ObjectCreated%' THEN id ELSE 'UNKNOWN_YET' END, ts, key, name
+FROM oe WHERE name <> 'ObjectRestore:Post'
+UNION ALL
+SELECT 'pipeline-operations', CASE WHEN event_id % 97 = 0 THEN 'unknown-' || event_id ELSE 'doc-' || user_id END,
+  strftime(e.ts, '%Y-%m-%d %H:%M:%S.%f') || ' +0000 UTC', 'u/' || user_id || '.pdf',
+  CASE event_type WHEN 'signup' THEN 'DOCUMENT_CLASSIFIER' WHEN 'view' THEN 'DOCUMENT_PROCESSOR' WHEN 'click' THEN 'SYNC_PROCESS_TEXTRACT'
+    WHEN 'error' THEN 'ASYNC_PROCESS_TEXTRACT' WHEN 'purchase' THEN 'SYNC_PROCESS_COMPREHEND' END
+FROM events e"""
+
+
+@query("write_metadata_events", MESSAGES)
 def write_metadata_events(spark, d):
     path = scratch_dir(spark, "metadata")
-    ev.write_metadata_events(_messages(spark, d).drop("seq"), path)
-    return spark.read.parquet(path).select(
-        "metadataType", "documentId", "timestamp",
-        F.coalesce(F.get_json_object("payload", "$.documentName"), F.get_json_object("payload", "$.targetFileName")).alias("name"))
+    ev.write_metadata_events(_all_messages(spark, d), path)
+    return _named(spark.read.parquet(path))
 
 
-@query("fan_out_by_type", EVENTS + """
-SELECT 'document-registry' AS "metadataType", count(*) AS messages FROM created
-UNION ALL SELECT 'document-lineage', count(*) FROM oe WHERE name <> 'ObjectRestore:Post'""")
+@query("fan_out_by_type", MESSAGES)
 def fan_out_by_type(spark, d):
     path = scratch_dir(spark, "metadata")
-    ev.write_metadata_events(_messages(spark, d).drop("seq"), path)
-    out = ev.fan_out_by_type(spark.read.parquet(path))
-    counts = [df.groupBy("metadataType").agg(F.count(F.lit(1)).alias("messages")) for df in out.values()]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    ev.write_metadata_events(_all_messages(spark, d), path)
+    # what each of the three consumers gets
+    first, second, third = (_named(df) for df in ev.fan_out_by_type(spark.read.parquet(path)).values())
+    return first.unionByName(second).unionByName(third)
 
 
 # --- projections ---------------------------------------------------------------------

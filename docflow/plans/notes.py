@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docflow import schemas as S
 from docflow.functions.text import ENTITY_PATTERNS, STOP_WORDS, sorted_map_json
 from docflow.operators import annotate, registry, routing, search, tracking
+from docflow.operators.ordered import collect_in_order
 from docflow.plans import fixtures as fx
 from docflow.plans import ingest
 from docflow.plans import ocr as ocr_queries
@@ -148,16 +149,22 @@ def page_search_record(spark, d):
 
 @query("write_annotations", RECORDS + """
 SELECT doc AS "documentId", doc || '/scan/' || doc || '.pdf/comprehend-output.json' AS path, count(*) AS pages,
-  sum(strlen(text))::BIGINT AS bytes FROM records GROUP BY doc""")
+  sum(strlen(text))::BIGINT AS bytes, md5(string_agg(page || '|' || text || '|' || phrases || '|' || entities || '|' || coalesce("table", '') || '|' ||
+    coalesce(forms, ''), chr(10) ORDER BY page)) AS content FROM records GROUP BY doc""")
 def write_annotations(spark, d):
     records = _records(spark, d)
     named = records.where("page = 1").select("documentId", F.concat(F.lit("scan/"), "documentId", F.lit(".pdf")).alias("documentName"))
     path = scratch_dir(spark, "annotations")
     outputs.write_annotations(records, named, path)
     lines = spark.read.parquet(path).where("line <> ']'")
-    record = F.from_json(F.substr("line", F.lit(2)), "documentId STRING, page INT, text STRING")
-    return lines.select("documentId", "path", record.alias("r")).groupBy("documentId", "path").agg(
-        F.count("r.page").alias("pages"), F.sum(F.octet_length("r.text")).cast("bigint").alias("bytes"))
+    schema = "documentId STRING, page INT, text STRING, KeyPhrases ARRAY<STRING>, Entities MAP<STRING, STRING>, table ARRAY<ARRAY<STRING>>, forms ARRAY<ARRAY<STRING>>"
+    read = lines.select("path", F.from_json(F.substr("line", F.lit(2)), schema).alias("r")).select("path", "r.*")
+    whole = F.concat_ws("|", F.col("page").cast("string"), "text", "phrases", "entities", "table", "forms")
+    # a digest of all fields of a document's records, in order
+    content = F.md5(F.array_join(collect_in_order("page", "_whole"), "\n"))
+    flat = _flat(read.withColumn("documentId", F.struct("documentId", "path"))).withColumn("_whole", whole)
+    return flat.groupBy("documentId.documentId", "documentId.path").agg(
+        F.count("page").alias("pages"), F.sum(F.octet_length("text")).cast("bigint").alias("bytes"), content.alias("content"))
 
 
 def _pages_index(spark, d):
