@@ -6,7 +6,7 @@ ids, which are joined back to each shard. A phrase of up to four ids is packed
 into two halves and permuted by a Feistel network, which is invertible: the top bits
 (the quotient) name a place, all other bits (the remainder) are kept whole, so a
 filter loses nothing and no two phrases share a counter. Filters are sorted by
-quotient and remainder: a task merges those of its shards, cuts the result at the
+quotient and remainder: a task counts some millions of places, cuts the filter at the
 quotient's leading bits into segments, and each segment is merged over all tasks.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from docflow.llm.common import text_bytes, when_small, written
 
 SHARD_WORDS = 500_000
-TASK_PHRASES = 2_000_000  # distinct phrases that a task merges before it sends them on
+TASK_PHRASES = 4_000_000  # places that a task counts together before it sends them on
 SEGMENT_PHRASES = 2_000_000
 CUT_BYTES = 4_000_000
 RANK_SALTS = 64
@@ -128,12 +128,12 @@ def halves(keys: list[np.ndarray], bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def counted(keys: list[np.ndarray], counts: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct keys in order with the sums of their counts (one each without ``counts``)."""
+    """Distinct keys in order with the sums of their counts (one each without ``counts``; a single key array is then sorted in place)."""
     n = len(keys[0])
     if not n:
         return keys, np.empty(0, np.int64)
     if counts is None and len(keys) == 1:
-        keys = [np.sort(keys[0])]
+        keys[0].sort()
     else:
         order = np.argsort(keys[0], kind="stable") if len(keys) == 1 else np.lexsort(keys[::-1])
         keys, counts = [k[order] for k in keys], None if counts is None else counts[order]
@@ -184,30 +184,10 @@ def decode(data: bytes, bits: int, lead: int, segment: int) -> tuple[list[np.nda
     return keys, counts
 
 
-class Merger:
-    """Sorted tables of counts, merged by size, so that each count moves a few times only."""
-
-    def __init__(self):
-        self.tables = []
-
-    def add(self, keys: list[np.ndarray], counts: np.ndarray) -> None:
-        self.tables.append((keys, counts))
-        while len(self.tables) > 1 and 2 * len(self.tables[-1][1]) >= len(self.tables[-2][1]):
-            self._merge(2)
-
-    def _merge(self, n: int) -> None:
-        last = self.tables[-n:]
-        keys = [np.concatenate(k) for k in zip(*(t[0] for t in last), strict=True)]
-        self.tables[-n:] = [counted(keys, np.concatenate([t[1] for t in last]))]
-
-    def size(self) -> int:
-        return sum(len(c) for _, c in self.tables)
-
-    def take(self) -> tuple[list[np.ndarray], np.ndarray]:
-        """All counts, once; there must be some table."""
-        if len(self.tables) > 1:
-            self._merge(len(self.tables))
-        return self.tables.pop()
+def merged(tables: list[tuple[list[np.ndarray], np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray]:
+    """One sorted table of the sums of several."""
+    keys = [np.concatenate(k) for k in zip(*(t[0] for t in tables), strict=True)]
+    return counted(keys, np.concatenate([t[1] for t in tables]))
 
 
 def phrases_of(ids: np.ndarray, begins: int, bits: int, longest: int) -> tuple[np.ndarray, np.ndarray]:
@@ -222,15 +202,15 @@ def phrases_of(ids: np.ndarray, begins: int, bits: int, longest: int) -> tuple[n
     return np.concatenate(lefts), np.concatenate(rights)
 
 
-def count_phrases(shard_ids: DataFrame, bits: int, longest: int, lead: int, min_count: int, limits: tuple[int, int]) -> DataFrame:
+def count_phrases(shard_ids: DataFrame, bits: int, longest: int, lead: int, min_count: int, limits: tuple[int, int, int]) -> DataFrame:
     """``(w1, w2, w3, w4, f)``: phrases found ``min_count`` times, from rows of (``ids``, ``known``) per shard.
 
     ``known`` lists the places in the shard's dictionary and their dense ids.
     """
-    task_phrases, part_words = limits
+    task_phrases, part_words, segment_phrases = limits
 
-    def segments(merger):
-        keys, counts = merger.take()
+    def segments(found):
+        keys, counts = counted([np.concatenate(k) for k in zip(*found, strict=True)])
         width = (2 if len(keys) == 1 else 1) * bits
         top = (keys[0] >> np.uint64(width - lead)).astype(np.int64) if lead else np.zeros(len(counts), np.int64)
         first = np.flatnonzero(np.diff(top, prepend=-1))
@@ -239,7 +219,7 @@ def count_phrases(shard_ids: DataFrame, bits: int, longest: int, lead: int, min_
         return pa.RecordBatch.from_arrays([pa.array(top[first], pa.int32()), pa.array(blobs, pa.binary())], ["segment", "filter"])
 
     def build(batches):
-        merger = Merger()
+        found, size = [], 0
         for batch in batches:
             for i in range(batch.num_rows):
                 places = batch.column(1)[i].values
@@ -250,17 +230,19 @@ def count_phrases(shard_ids: DataFrame, bits: int, longest: int, lead: int, min_
                 for at in range(0, len(ids), part_words):
                     part = ids[at : at + part_words + longest - 1]
                     halved = permute(*phrases_of(part, min(part_words, len(part)), bits, longest), bits)
-                    merger.add(*counted(joined(*halved, bits)))
-                    if merger.size() >= task_phrases:
-                        yield segments(merger)
-        if merger.size():
-            yield segments(merger)
+                    found.append(joined(*halved, bits))
+                    size += len(halved[0])
+                    if size >= task_phrases:
+                        yield segments(found)
+                        found, size = [], 0
+        if size:
+            yield segments(found)
 
     def merge(batches):
-        at, merger = None, Merger()
+        at, tables, size = None, [], 0
 
         def done():
-            keys, counts = merger.take()
+            keys, counts = merged(tables)
             often = counts >= min_count
             left, right = restore(*halves([k[often] for k in keys], bits), bits)
             shift, mask = np.uint64(bits // 2), np.uint64((1 << bits // 2) - 1)
@@ -270,11 +252,16 @@ def count_phrases(shard_ids: DataFrame, bits: int, longest: int, lead: int, min_
 
         for batch in batches:
             for segment, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if segment != at and merger.size():
-                    yield done()
-                at = segment
-                merger.add(*decode(blob, bits, lead, segment))
-        if merger.size():
+                if segment != at:
+                    if tables:
+                        yield done()
+                    at, tables, size = segment, [], 0
+                tables.append(decode(blob, bits, lead, segment))
+                size += len(tables[-1][1])
+                if size > 2 * segment_phrases:  # permuted phrases spread evenly, so this is rare
+                    tables = [merged(tables)]
+                    size = len(tables[0][1])
+        if tables:
             yield done()
 
     filters = shard_ids.select("ids", "known").mapInArrow(build, "segment int, filter binary")
@@ -371,7 +358,7 @@ def collocations(
     known = listed.join(when_small(vocabulary.select("lang", "word", "id")), ["lang", "word"]).groupBy("shard").agg(
         F.collect_list(F.struct("at", "id")).alias("known"))  # bounded by the words of a shard
     found = count_phrases(
-        cut.select("shard", "ids").join(known, "shard"), bits, longest, lead, min_count, (task_phrases, shard_words))
+        cut.select("shard", "ids").join(known, "shard"), bits, longest, lead, min_count, (task_phrases, shard_words, segment_phrases))
     phrases = written(found, "phrases")
     candidates = uncovered(scored(phrases, vocabulary), phrases, cover_percent)
 

@@ -116,14 +116,14 @@ def test_filters_are_lossless(bits):
         assert set(got) <= set(want)
 
 
-def test_merger():
-    rng, merger, want = np.random.default_rng(1), collocations.Merger(), Counter()
+def test_merged():
+    rng, tables, want = np.random.default_rng(1), [], Counter()
     for _ in range(40):
         values = rng.integers(0, 500, rng.integers(1, 300), dtype=np.uint64)
-        merger.add(*collocations.counted([values]))
         want.update(values.tolist())
-    keys, counts = merger.take()
-    assert dict(zip(keys[0].tolist(), counts.tolist(), strict=True)) == want and merger.size() == 0
+        tables.append(collocations.counted([values]))
+    keys, counts = collocations.merged(tables)
+    assert dict(zip(keys[0].tolist(), counts.tolist(), strict=True)) == want
 
 
 def test_query(ready, sf_dir):
