@@ -77,12 +77,27 @@ rows AS (
 
 # --- blocks ------------------------------------------------------------------------------
 
-@query("explode_blocks", LINES + """
-SELECT doc AS "documentId", (count(DISTINCT i) + count(*) + max(i) // 20 + 1 - CASE WHEN any_value(doc_id) % 5 = 0 THEN 1 ELSE 0 END
-  + CASE WHEN any_value(doc_id) % 4 = 0 THEN 1 ELSE 0 END)::BIGINT AS blocks FROM words GROUP BY doc""")
+# Every block of every text response, in order.
+BLOCKS = LINES.rstrip() + """
+, every AS (
+  SELECT doc, doc_id, -1 AS i, 0 AS kind, 0 AS j, 'WORD' AS type, 'w0-0' AS id, 'outdated' AS text, NULL AS children, 0.25 AS top
+  FROM split WHERE doc_id % 4 = 0
+  UNION ALL SELECT doc, doc_id, i, 0, 0, 'PAGE', 'p' || i, NULL, NULL, 0.25 FROM lines WHERE i % 20 = 0 AND (i > 0 OR doc_id % 5 <> 0)
+  UNION ALL SELECT doc, doc_id, i, 1, 0, 'LINE', 'l' || i, text,
+    array_to_string(list_transform(range(len(string_split(text, ' '))), lambda j: 'w' || i || '-' || j), ',') || ',missing-' || i, (i % 4) * 0.25 FROM lines
+  UNION ALL SELECT doc, doc_id, i, 2, j, 'WORD', 'w' || i || '-' || j, word, NULL, 0.25 FROM words)
+"""
+
+
+@query("explode_blocks", BLOCKS + """
+SELECT doc AS "documentId", row_number() OVER (PARTITION BY doc ORDER BY i, kind, j) - 1 AS pos, type AS "BlockType", id AS "Id", text AS "Text",
+  99.5::DOUBLE AS "Confidence", children, top::DOUBLE AS top, NULL::VARCHAR AS rest FROM every""")
 def explode_blocks(spark, d):
-    return ocr.explode_blocks(fx.stored(spark, d, "text_responses", fx.text_responses)).groupBy("documentId").agg(
-        (F.max("pos") + 1).alias("blocks"))
+    blocks = ocr.explode_blocks(fx.stored(spark, d, "text_responses", fx.text_responses))
+    rest = ["EntityTypes", "SelectionStatus", "RowIndex", "ColumnIndex", "RowSpan", "ColumnSpan"]
+    return blocks.select(
+        "documentId", "pos", "BlockType", "Id", "Text", "Confidence", F.array_join(F.col("Relationships")[0]["Ids"], ",").alias("children"),
+        F.col("Geometry.BoundingBox.Top").alias("top"), F.nullif(F.to_json(F.struct(*rest)), F.lit("{}")).alias("rest"))
 
 
 @query("read_ocr_responses", LINES + """
@@ -130,13 +145,14 @@ def read_ocr_parts(spark, d):
         lost.select("documentId", F.lit("unreadable").alias("message")), allowMissingColumns=True)
 
 
-@query("geometry_columns", LINES + """
-SELECT doc AS "documentId", 'l' || i AS id, 0.5::DOUBLE AS width, 0.125::DOUBLE AS height, 0.25::DOUBLE AS left, ((i % 4) * 0.25)::DOUBLE AS top,
-  2 AS points, 0.75::DOUBLE AS x2 FROM lines""")
+@query("geometry_columns", BLOCKS + """
+SELECT doc AS "documentId", type AS "BlockType", id, 0.5::DOUBLE AS width, 0.125::DOUBLE AS height, 0.25::DOUBLE AS left, top::DOUBLE AS top,
+  2 AS points, 0.25::DOUBLE AS x1, 0.75::DOUBLE AS x2, top::DOUBLE AS y2 FROM every""")
 def geometry_columns(spark, d):
-    return ocr.geometry_columns(fx.text_blocks(spark, d).where("BlockType = 'LINE'")).select(
-        "documentId", F.col("Id").alias("id"), "width", "height", "left", "top",
-        F.size("polygon").alias("points"), F.col("polygon")[1]["X"].alias("x2"))
+    point = F.col("polygon")
+    return ocr.geometry_columns(fx.text_blocks(spark, d)).select(
+        "documentId", "BlockType", F.col("Id").alias("id"), "width", "height", "left", "top",
+        F.size("polygon").alias("points"), point[0]["X"].alias("x1"), point[1]["X"].alias("x2"), point[1]["Y"].alias("y2"))
 
 
 @query("extract_words", LINES + """
