@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from docflow.llm.common import text_bytes, when_small, written
 
 SHARD_WORDS = 500_000
-TASK_PHRASES = 4_000_000  # places that a task counts together before it sends them on
+TASK_PHRASES = 2_000_000  # places that a task counts together before it sends them on
 SEGMENT_PHRASES = 2_000_000
 CUT_BYTES = 4_000_000
 RANK_SALTS = 64
