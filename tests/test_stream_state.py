@@ -89,11 +89,11 @@ def test_generations_answer_like_one_table_and_read_little(spark, tmp_path, monk
     for name, value in (("BASE_ROWS", 40), ("BLOCK_KEYS", 16), ("BUCKET_BLOCKS", 2)):
         monkeypatch.setattr(signatures, name, value)
     rng, path, best = random.Random(1), str(tmp_path / "sig"), {}
-    for batch in range(14):
+    for batch in range(11):
         names = [(rng.randrange(400), rng.randrange(10**4)) for _ in range(rng.choice([0, 20, 30]))]
         names = list({i: (i, t) for i, t in names}.values())
         gens = signatures.add(spark, path, signature_rows(spark, names), batch)
-        if batch in (3, 9):  # replayed: the same list again
+        if batch == 6:  # replayed: the same list again
             assert gens == signatures.add(spark, path, signature_rows(spark, names), batch)
         for i, t in names:
             best[f"s{i}"] = min(best.get(f"s{i}", ("z", "")), (f"t{t:05d}", f"d{t}"))
@@ -123,12 +123,12 @@ def test_generations_answer_like_one_table_and_read_little(spark, tmp_path, monk
 def test_lineage_stream_over_many_batches_equals_the_batch_operator(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(signatures, "BASE_ROWS", 4)
     rng, rows = random.Random(7), []
-    for i in range(72):
+    for i in range(48):
         kind = rng.choice(["ObjectCreated:Put", "ObjectCreated:Put", "ObjectRemoved:Delete"])
         rows.append(lineage_row("UNKNOWN_YET" if "Removed" in kind else f"d{i}", i + 1, kind, time=f"t{rng.randrange(999):04d}", name=f"f{rng.randrange(14)}"))
     folder, table, check = (str(tmp_path / n) for n in ("in", "table", "check"))
-    for start in (0, 36):
-        files(spark, rows, LINEAGE, folder, [slice(i, i + 6) for i in range(start, start + 36, 6)])
+    for start in (0, 24):
+        files(spark, rows, LINEAGE, folder, [slice(i, i + 6) for i in range(start, start + 24, 6)])
         run(streaming.stream_lineage(source(spark, LINEAGE, folder), table, check))
     events = spark.createDataFrame(rows, LINEAGE)
     out = lineage.resolve_deleted_ids(None, events)
@@ -136,4 +136,4 @@ def test_lineage_stream_over_many_batches_equals_the_batch_operator(spark, tmp_p
     assert sorted(map(str, streaming.stored_lineage(spark, table).select(*want.columns).collect())) == sorted(map(str, want.collect()))
     assert streaming.rejected_lineage(spark, table).count() == out.rejected.count() > 0
     assert len(signatures.live(spark, f"{table}/signatures")) < 8
-    assert events.where(F.col("s3Event").startswith("ObjectRemoved")).count() > 10
+    assert events.where(F.col("s3Event").startswith("ObjectRemoved")).count() > 6
