@@ -99,31 +99,34 @@ class BKTree:
         return found
 
 
-def _linked(members: list[int], queries: list[int], radius: int) -> list[tuple[int, int]]:
-    """Edges that join what is linked in one shard: at most one per fingerprint."""
-    tree, root = BKTree(), {}
-
-    def find(x):
-        while root.setdefault(x, x) != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
+class _Shard:
+    """The tree of one shard and which of its members are connected so far; what only asks is not kept."""
+
+    def __init__(self, radius: int):
+        self.tree, self.root, self.radius = BKTree(), {}, radius
 
-    def link(value):
-        for other in tree.within(value, radius):
-            a, b = find(value), find(other)
-            if a != b:
-                root[max(a, b)] = min(a, b)
+    def _find(self, x: int) -> int:
+        while self.root[x] != x:
+            self.root[x] = self.root[self.root[x]]
+            x = self.root[x]
+        return x
 
-    alone = members == queries  # one tree: a search before each insertion finds every pair once
-    for value in members:
-        if alone:
-            link(value)
-        tree.add(value)
-    if not alone:
-        for value in queries:
-            link(value)
-    return [(x, find(x)) for x in list(root) if find(x) != x]
+    def ask(self, value: int) -> list[tuple[int, int]]:
+        """An edge to one member of every group that ``value`` is linked with; these groups are one from now on."""
+        groups = {}
+        for other in self.tree.within(value, self.radius):
+            if other != value:
+                groups.setdefault(self._find(other), other)
+        if groups:
+            self.root |= dict.fromkeys(groups, min(groups))
+        return [(value, other) for other in groups.values()]
+
+    def add(self, value: int) -> list[tuple[int, int]]:
+        """``ask``, then become a member: so every pair of members is compared once."""
+        found = self.ask(value)
+        self.root[value] = self._find(found[0][1]) if found else value
+        self.tree.add(value)
+        return found
 
 
 def _shards(fps: DataFrame, tree_limit: int) -> DataFrame:
@@ -149,32 +152,21 @@ def links(fps: DataFrame, radius: int = 4, tree_limit: int = 4096) -> DataFrame:
         raise ValueError("the blocks serve a radius of at most 4")
 
     def run(batches):
-        key, members, queries = None, [], []
-
-        def done():
-            found = _linked(members, queries, radius) if len(queries) > 1 else []
-            return [list(x) for x in zip(*found, strict=True)] if found else None
-
+        key, shard = None, None
         for batch in batches:
-            out = [[], []]
-            columns = [c.to_pylist() for c in batch.columns]
-            for k, salt, fp, tree in zip(*columns, strict=True):
+            found = []
+            for k, salt, fp, tree in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (k, salt) != key:
-                    if found := done():
-                        out[0] += found[0]
-                        out[1] += found[1]
-                    key, members, queries = (k, salt), [], []
+                    key, shard = (k, salt), _Shard(radius)
                 fp &= (1 << 64) - 1
-                queries.append(fp)
-                if tree:
-                    members.append(fp)
-            yield edges(out)
-        yield edges(done() or [[], []])
+                found += shard.add(fp) if tree else shard.ask(fp)
+            yield edges(list(zip(*found, strict=True)) or [[], []])
 
     def edges(out):
         return pa.RecordBatch.from_arrays([pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in out], ["a", "b"])
 
-    placed = _shards(fps.select("fp"), tree_limit).repartition("key", "salt").sortWithinPartitions("key", "salt", "fp")
+    placed = _shards(fps.select("fp"), tree_limit).repartition("key", "salt").sortWithinPartitions(
+        "key", "salt", F.desc("tree"), "fp")  # members first, so a task holds one tree and a batch of what asks it
     return placed.mapInArrow(run, "a bigint, b bigint")
 
 

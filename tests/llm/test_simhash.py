@@ -89,3 +89,24 @@ def test_links_with_split_shards(ready):
             want.append(sorted(group))
     assert groups(4096) == sorted(want)
     assert groups(3) == sorted(want)
+
+
+def test_a_shard_keeps_its_members_only():
+    """Many questions leave the shard as it is; each gives an edge per group it meets, and joins these groups."""
+    shard = simhash._Shard(4)
+    assert shard.add(0) == [] and shard.add(0xFF) == [] and shard.add(1) == [(1, 0)]
+    assert sorted(first for _, first in shard.ask(0x0F)) in ([0, 0xFF], [1, 0xFF])
+    for value in range(1 << 12, 1 << 13):
+        assert len(shard.ask(value)) <= 1  # one group by now
+    assert set(shard.root) == {0, 1, 0xFF} and len({shard._find(x) for x in shard.root}) == 1
+
+
+def test_repeated_rows_and_hot_shards(ready):
+    """One block value for thousands of fingerprints: trees of any size give the same edges' groups."""
+    from docflow.llm.common import components
+
+    rng = random.Random(8)
+    low = [rng.getrandbits(20) for _ in range(1500)]
+    df = ready.createDataFrame([(x,) for x in sorted(set(low))], "fp bigint")
+    groups = [{r.node: r.component for r in components(simhash.links(df, tree_limit=n)).collect()} for n in (4096, 100)]
+    assert groups[0] == groups[1] and len(groups[0]) > 100
