@@ -67,7 +67,10 @@ def held_out(ids: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int, bits: int, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """``(label, place, at)``: features of at most ``sample`` documents of each class, chosen by a digest of the id."""
+    """``(label, place, at)``: features of at most ``sample`` documents of each class, chosen by a digest of the id.
+
+    Of documents that repeat an id, the text with the least digest is learned from.
+    """
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).where(
         F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     # contradictory labels of one document count as toxic
@@ -76,7 +79,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int, bits: int, id
     chosen = once.where("label = 0").orderBy("place", "doc_id").limit(sample).unionByName(
         once.where("label = 1").orderBy("place", "doc_id").limit(sample))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    joined = texts.join(F.broadcast(chosen), "doc_id").select("label", "place", "text")
+    # one row per id, combined before the shuffle: an id that documents repeat can't outgrow the sample
+    joined = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label", "place").agg(
+        F.min_by("text", F.sha2("text", 256)).alias("text")).select("label", "place", "text")
 
     def run(batches):
         for batch in batches:

@@ -91,6 +91,77 @@ def test_l1_leaves_few_weights():
     assert len(at) < 1 << 9 and at[np.argmax(weights)] == 3 and math.isfinite(bias)
 
 
+def plain_model(rows, alpha, beta, l1, l2, rounds):
+    """FTRL-proximal one coordinate after the other; ``rows`` are lists of coordinates with a label."""
+    z, n, bias, bias_n = {}, {}, 0.0, 0.0
+    toxic = sum(y for _, y in rows)
+    up = max(1.0, (len(rows) - toxic) / max(1, toxic))
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for _ in range(rounds):
+        for at, y in rows:
+            w = {i: weight(i) for i in at}
+            p = 1 / (1 + math.exp(-max(-35.0, min(35.0, sum(w.values()) + bias))))
+            g = (p - y) * (up if y else 1.0)
+            for i in at:
+                rate = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / alpha
+                z[i] = z.get(i, 0.0) + g - rate * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+            bias_n += g * g
+            bias -= alpha / (beta + math.sqrt(bias_n)) * g
+    return {i: weight(i) for i in z}, bias
+
+
+def coordinates(text):
+    """Words, neighbours and pairs with one word between, hashed one text at a time."""
+    raw = np.frombuffer((text or "").encode(), dtype=np.uint8)
+    return toxicity.features(raw, np.array([0, len(raw)]), toxicity.BITS)[1].tolist()
+
+
+def plain_scores(ready, docs, labels):
+    """Scores by a plain restatement of the whole operator; ``docs`` and ``labels`` are lists of pairs."""
+    marks = {}
+    for i, y in labels:
+        if i is not None and y in (0, 1) and not held(i):
+            marks[i] = max(y, marks.get(i, 0))
+    place = {r.i: r.h for r in ready.createDataFrame([(i,) for i in marks], "i bigint").select("i", F.xxhash64(F.lit(7), "i").alias("h")).collect()}
+    known = [(place[i], marks[i], coordinates(t)) for i, t in docs if i in marks]
+    known.sort(key=lambda r: (r[0], r[1], len(r[2])))
+    weights, bias = plain_model([(at, y) for _, y, at in known], **toxicity.SETTINGS)
+    # weights are sent as single floats
+    return {i: 1 / (1 + math.exp(-sum(float(np.float32(weights.get(a, 0.0))) for a in coordinates(t)) - bias)) for i, t in docs}
+
+
+def test_scores_equal_a_plain_restatement(ready, marked):
+    docs, labels, rows = marked
+    want = plain_scores(ready, [(i, t) for i, t, _ in rows], [(i, y) for i, _, y in rows])
+    found = {r.doc_id: r.score for r in toxicity.score_toxicity(docs, labels).collect()}
+    assert found.keys() == want.keys() and all(abs(found[i] - want[i]) < 1e-6 for i in want)
+    assert max(want.values()) - min(want.values()) > 0.5
+
+
+def test_query_equals_a_plain_restatement(ready, sf_dir, sf_texts):
+    labels = [(r.doc_id, r.toxic) for r in ready.read.parquet(f"{sf_dir}/labels.parquet").collect()]
+    want = plain_scores(ready, sf_texts, labels)
+    found = {r.doc_id: r.score for r in queries.QUERIES["op2_toxicity"](ready, sf_dir).collect()}
+    assert found.keys() == want.keys() and all(abs(found[i] - want[i]) < 1e-6 for i in want)
+
+
+def test_repeated_ids_are_learned_from_once(ready, marked):
+    docs, labels, _ = marked
+    often = docs.where("doc_id % 50 = 1").withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(40)))).drop("copy")
+    mixed = docs.unionByName(often).unionByName(docs.limit(3).withColumn("text", F.lit(None).cast("string")))
+    train = toxicity.training_rows(mixed, labels, 4000, 20, "doc_id", "text", "toxic")
+    assert train.count() == labels.where(~toxicity.held_out(F.col("doc_id"))).count()
+    a = {r.doc_id: r.score for r in toxicity.score_toxicity(docs, labels).collect()}
+    b = {(r.doc_id, r.score) for r in toxicity.score_toxicity(docs.unionByName(often), labels).collect()}
+    assert set(a.items()) == b
+
+
 def test_query(ready, sf_dir):
     """On the smallest table every document has a score; accuracy is measured on a larger one."""
     assert queries.QUERIES["op2_toxicity"](ready, sf_dir).count() == ready.read.parquet(f"{sf_dir}/documents.parquet").count()
