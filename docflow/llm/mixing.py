@@ -12,9 +12,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 SLOTS = 1024
 BLOCK_BYTES = 65_536
+BROADCAST_SLOTS = 65_536
+FRACTION_STEPS = 1_000_000_000  # weights that are no whole numbers count in billionths of the largest
 SLICE_BITS = 12  # a source is ordered in 4096 slices, none of them in one task with another
 
 
@@ -27,9 +30,29 @@ def _source(column: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("null"))
 
 
+def slots_for(sources: int) -> int:
+    """Slots of a period: ``SLOTS``, or the next power of two that gives every source one."""
+    return max(SLOTS, 1 << max(0, sources - 1).bit_length())
+
+
+def whole_weights(weights: DataFrame) -> DataFrame:
+    """Weights as whole numbers in the same proportions; negative ones and those that are not finite end the job."""
+    if isinstance(weights.schema["weight"].dataType, IntegralType):
+        scaled = F.col("weight").cast("bigint")
+    else:
+        every, x = Window.partitionBy(), F.col("weight").cast("double")
+        steps = F.round(x / F.max(x).over(every) * FRACTION_STEPS)
+        odd = F.abs(x) == F.lit(float("inf"))
+        x = F.when(odd | F.isnan(x), F.raise_error(F.lit("a weight is not finite"))).otherwise(x)
+        scaled = F.when(F.max(x != F.floor(x)).over(every), steps).otherwise(x).cast("bigint")
+    below = F.raise_error(F.lit("a weight is negative"))
+    return weights.withColumn("weight", F.when(F.col("weight") < 0, below).otherwise(scaled))
+
+
 def shares(weights: DataFrame, slots: int = SLOTS) -> DataFrame:
     """``(_source, q)`` from ``(_source, weight)``: one slot each, the others by weight and largest remainder."""
     every = Window.partitionBy()
+    weights = whole_weights(weights)
     spare = weights.select(
         "_source", F.col("weight").cast("bigint").alias("w"), F.sum(F.col("weight").cast("bigint")).over(every).alias("all"),
         (F.lit(slots) - F.count("*").over(every)).alias("spare"))
@@ -73,7 +96,7 @@ def schedule(share: DataFrame, slots: int = SLOTS) -> DataFrame:
 
 
 def mix(
-    docs: DataFrame, weights: DataFrame | None = None, slots: int = SLOTS, block_bytes: int = BLOCK_BYTES,
+    docs: DataFrame, weights: DataFrame | None = None, slots: int | None = None, block_bytes: int = BLOCK_BYTES,
     id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
 ) -> DataFrame:
     """All rows and columns of ``docs`` with ``mix_slot``, ``mix_block`` and ``mix_offset``.
@@ -81,9 +104,11 @@ def mix(
     Reading by (``mix_slot``, ``mix_offset``) gives the mixture: at every slot each
     source has had its share to less than one block, until a source ends; its
     slots then stay empty and the others keep their proportions, so no row is
-    dropped. ``weights`` has ``source`` and ``weight``, whole numbers whose sum is
-    what counts (null or missing: the least share, one slot); without it a
-    source's weight is the square root of its bytes. At most ``slots`` sources.
+    dropped. ``weights`` has ``source`` and ``weight``, whole numbers or fractions,
+    of which the proportions count (null or missing: the least share, one slot;
+    negative or not finite: refused); without it a source's weight is the square
+    root of its bytes. Without ``slots`` a period has ``slots_for`` the number of
+    sources, which are counted first; a number of slots below theirs is refused.
 
     A document weighs its bytes and one more, so null and empty texts count; it
     belongs to the block in which it starts. Within a source documents are
@@ -93,13 +118,17 @@ def mix(
 
     Only sizes and positions are shuffled by slices of a source, so a source with
     a third of all rows is spread over thousands of groups. The schedule has
-    ``slots`` rows, which bounds what is broadcast.
+    ``slots`` rows; up to ``BROADCAST_SLOTS`` it is broadcast, above it is joined
+    by a shuffle. One task makes it, in ``slots`` steps over all sources.
     """
     own = ["mix_slot", "mix_block", "mix_offset", "_source", "_size", "_key", "_slice", "_id", "q", "k", "slot"]
     rows = docs.drop(*own).select(
         "*", _source(source_col).alias("_source"), F.col(id_col).alias("_id"), shuffle_key(F.col(id_col)).alias("_key"),
         (F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)).cast("bigint") + 1).alias("_size"),
     ).withColumn("_slice", F.shiftright("_key", 60 - SLICE_BITS).cast("int"))
+    if slots is None:
+        slots = slots_for(rows.select("_source").distinct().count())
+    sent = F.broadcast if slots <= BROADCAST_SLOTS else lambda table: table
     sizes = rows.groupBy("_source", "_slice").agg(F.sum("_size").alias("_bytes"))
     if weights is None:
         target = sizes.groupBy("_source").agg(F.floor(F.sqrt(F.sum("_bytes").cast("double"))).alias("weight"))
@@ -116,7 +145,7 @@ def mix(
     blocked = placed.withColumn("mix_block", F.expr(f"_at div {block_bytes}")).withColumn(
         "mix_offset", F.expr(f"_at % {block_bytes}"))
     share = plan.select("_source", "q").distinct()
-    quoted = blocked.join(F.broadcast(share), "_source").withColumn("k", F.expr("cast(mix_block % q as int)"))
+    quoted = blocked.join(sent(share), "_source").withColumn("k", F.expr("cast(mix_block % q as int)"))
     kept = [c for c in docs.columns if c not in own]
-    return quoted.join(F.broadcast(plan.select("_source", "k", "slot")), ["_source", "k"]).select(
+    return quoted.join(sent(plan.select("_source", "k", "slot")), ["_source", "k"]).select(
         *kept, (F.expr("mix_block div q") * slots + F.col("slot")).alias("mix_slot"), "mix_block", "mix_offset")

@@ -1,6 +1,7 @@
 """Mixing: the schedule's bounds, every row once, order by target."""
 
 from collections import defaultdict
+from decimal import Decimal
 from fractions import Fraction
 
 import pytest
@@ -36,6 +37,38 @@ def test_too_many_sources(ready):
         mixing.shares(target, 8).collect()
 
 
+@pytest.mark.parametrize("given, whole", [([0.6, 0.3, 0.1], [6, 3, 1]), ([1.5, None, 0.0], [1, 0, 0]), ([2.0, 4.0, 1.0], [2, 4, 1])])
+def test_fractions_keep_their_proportions(ready, given, whole):
+    def found(weights, kind):
+        rows = ready.createDataFrame([(str(i), w) for i, w in enumerate(weights)], f"_source string, weight {kind}").na.fill({"weight": 0})
+        return {r._source: r.q for r in mixing.shares(rows).collect()}
+
+    assert found(given, "double") == found(whole, "bigint")
+    assert found([Decimal(w) / 2 for w in whole], "decimal(9, 2)") == found(whole, "bigint")
+
+
+@pytest.mark.parametrize("weights", [[1.0, -0.5], [1.0, float("nan")], [1.0, float("inf")]])
+def test_odd_weights_are_refused(ready, weights):
+    rows = ready.createDataFrame([(str(i), w) for i, w in enumerate(weights)], "_source string, weight double")
+    with pytest.raises(Exception, match="a weight is"):
+        mixing.shares(rows).collect()
+
+
+@pytest.mark.parametrize("broadcast", [1 << 16, 1])
+def test_more_sources_than_usual(ready, monkeypatch, broadcast):
+    """The period follows the number of sources, and every row is in the mixture once."""
+    monkeypatch.setattr(mixing, "SLOTS", 8)
+    monkeypatch.setattr(mixing, "BROADCAST_SLOTS", broadcast)
+    assert [mixing.slots_for(n) for n in (0, 1, 8, 9, 33)] == [8, 8, 8, 16, 64]
+    rows = ready.createDataFrame([(i, "x" * (i % 7), f"s{i % 33}") for i in range(400)], "doc_id bigint, text string, source string")
+    found = mixing.mix(rows, block_bytes=16).collect()
+    assert sorted(r.doc_id for r in found) == list(range(400))
+    blocks = {(r.source, r.mix_block): r.mix_slot for r in found}
+    assert len(set(blocks.values())) == len(blocks)  # a slot has one block
+    for (source, block), slot in blocks.items():
+        assert blocks.get((source, block + 1), slot + 1) > slot
+
+
 ROWS = [(i, "x" * (i % 50), "a") for i in range(600)] + [(1000 + i, "y" * 20, "b") for i in range(100)] + [
     (2000, None, None), (2001, "", None), (None, "z", "b"), (None, "z", "b"), (2002, "long" * 5000, "a"), (2003, "q", "")]
 
