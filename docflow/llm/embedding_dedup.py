@@ -1,12 +1,15 @@
 """Near-duplicate embeddings: spherical k-means cells, blocked cosine products inside them.
 
-A vector lives in the cell of its nearest centre and is a guest in every cell
-whose border it is close to: a vector linked with it differs by at most
-``sqrt(2 - 2 * threshold)``, and where the step towards another centre ``c`` from
-the own centre ``h`` is more than ``margin`` of that, the other cell need not be
-asked. At ``margin`` 1, the default, no link can be lost, whatever the cells; a
-smaller one loses links whose difference points at a border with more than
-``margin`` of its length.
+Only vectors of one label are compared. A label that one block holds is one cell;
+a larger one has as many cells as its vectors fill. A vector lives in the cell of
+its nearest centre and is a guest in cells whose border it is close to: a vector
+linked with it differs by at most ``sqrt(2 - 2 * threshold)``, and where the step
+towards another centre ``c`` from the own centre ``h`` is more than ``margin`` of
+that, the other cell need not be asked. At ``margin`` 1, the default, no link can
+be lost, whatever the cells; a smaller one loses links whose difference points at
+a border with more than ``margin`` of its length. The test holds for each of two
+linked vectors, so a guest visits cells of smaller numbers only, and every pair of
+cells, like every pair of blocks, is compared once.
 """
 
 from __future__ import annotations
@@ -16,12 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docflow.llm.common import components, written
+from docflow.llm.common import components, when_small, written
 
 SAMPLE = 20_000
 MAX_CELLS = 1024
 CELL_VECTORS = 8192
-BLOCK_VECTORS = 1024
+BLOCK_VECTORS = 8192
+BLOCK_BYTES = 32_000_000  # vectors of many dimensions make smaller blocks
+TILE = 512  # rows of a block multiplied together
 MARGIN = 1.0
 
 
@@ -69,20 +74,26 @@ def spherical_kmeans(data: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     return centres
 
 
-def fit_cells(classes: DataFrame, sample: int, cell_vectors: int, max_cells: int) -> dict[int, np.ndarray]:
-    """Centres per number of dimensions, fitted on at most ``sample`` vectors, the first by digest."""
-    sizes = {r.dims: r["count"] for r in classes.groupBy("dims").count().orderBy(F.desc("count")).limit(16).collect()}
+def large_labels(classes: DataFrame, cell_vectors: int, max_cells: int) -> DataFrame:
+    """``(label, dims, vectors, cells)`` of those above ``cell_vectors``; cells are powers of two, so few sets of centres serve all."""
+    count = classes.groupBy("label", "dims").agg(F.count("*").alias("vectors")).where(F.col("vectors") > cell_vectors)
+    cells = F.least(F.lit(max_cells), F.pow(F.lit(2.0), F.ceil(F.log2(F.col("vectors") / F.lit(cell_vectors)))).cast("int"))
+    return written(count.withColumn("cells", cells), "labels")
+
+
+def fit_cells(classes: DataFrame, large: DataFrame, sample: int) -> dict[tuple[int, int], np.ndarray]:
+    """Centres per (dimensions, cells), fitted on at most ``sample`` vectors of large labels, the first by digest."""
+    sets = large.groupBy("dims").agg(F.sum("vectors").alias("n"), F.collect_set("cells").alias("cells")).orderBy(F.desc("n")).limit(16).collect()
     found = {}
-    for dims, count in sizes.items():
-        k = min(max_cells, -(-count // cell_vectors))
-        if k > 1:
-            rows = classes.where(F.col("dims") == dims).orderBy("cid").limit(sample).select("unit").collect()
-            found[dims] = spherical_kmeans(np.stack([np.frombuffer(r.unit) for r in rows]), min(k, len(rows)))
+    for dims, _, cells in sets:
+        rows = classes.where((F.col("dims") == dims) & (F.col("cells") > 1)).orderBy("cid").limit(sample).select("unit").collect()
+        data = np.stack([np.frombuffer(r.unit) for r in rows])
+        found |= {(dims, k): spherical_kmeans(data, min(k, len(rows))) for k in cells}
     return found
 
 
-def assign(classes: DataFrame, centres: dict[int, np.ndarray], threshold: float, margin: float) -> DataFrame:
-    """``(label, dims, cell, guest, cid, n, unit)``: a row for the home cell and for each cell visited."""
+def assign(classes: DataFrame, centres: dict[tuple[int, int], np.ndarray], threshold: float, margin: float) -> DataFrame:
+    """``(label, dims, cell, guest, cid, n, unit)``: a row for the home cell and for each earlier cell visited."""
     reach = margin * np.sqrt(max(0.0, 2 - 2 * threshold) + 1e-12)  # more than products are rounded by
     sent = classes.sparkSession.sparkContext.broadcast(centres)
     label = classes.schema["label"].dataType.simpleString()
@@ -90,39 +101,55 @@ def assign(classes: DataFrame, centres: dict[int, np.ndarray], threshold: float,
     def run(batches):
         apart = {d: np.stack([np.linalg.norm(c - x, axis=1) for x in c]) for d, c in sent.value.items()}
         for batch in batches:
-            dims = batch.column(1).to_numpy()
+            dims, sets = batch.column(1).to_numpy(), batch.column(5).to_numpy()
             rows, cells, guests = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, bool)]
-            for d in np.unique(dims):
-                at = np.flatnonzero(dims == d)
-                if d not in apart:
+            for d, k in set(zip(dims.tolist(), sets.tolist(), strict=True)):
+                at = np.flatnonzero((dims == d) & (sets == k))
+                if (d, k) not in apart:
                     rows.append(at), cells.append(np.zeros(len(at), np.int64)), guests.append(np.zeros(len(at), bool))
                     continue
                 data = np.frombuffer(b"".join(batch.column(4).take(pa.array(at)).to_pylist())).reshape(-1, d)
-                near = data @ sent.value[d].T
+                near = data @ sent.value[d, k].T
                 home = near.argmax(axis=1)
                 own = near[np.arange(len(at)), home][:, None]
-                row, cell = np.nonzero(own - near <= reach * apart[d][home] + 1e-12)
+                close = own - near <= reach * apart[d, k][home] + 1e-12
+                row, cell = np.nonzero(close & (np.arange(near.shape[1]) <= home[:, None]))
                 rows.append(at[row]), cells.append(cell), guests.append(cell != home[row])
             row = np.concatenate(rows)
             take = pa.array(row)
             for i in range(0, len(row), 8192):
                 part = slice(i, i + 8192)
-                picked = [c.take(take[part]) for c in batch.columns]
+                picked = [c.take(take[part]) for c in batch.columns[:5]]
                 yield pa.RecordBatch.from_arrays(
                     [picked[0], picked[1], pa.array(np.concatenate(cells)[part], pa.int32()),
                      pa.array(np.concatenate(guests)[part]), picked[2], picked[3], picked[4]],
                     ["label", "dims", "cell", "guest", "cid", "n", "unit"])
 
-    return classes.select("label", "dims", "cid", "n", "unit").mapInArrow(
+    return classes.select("label", "dims", "cid", "n", "unit", "cells").mapInArrow(
         run, f"label {label}, dims int, cell int, guest boolean, cid string, n bigint, unit binary")
 
 
+def _tiles(n: int):
+    return [slice(i, min(i + TILE, n)) for i in range(0, n, TILE)]
+
+
+def _links(data: np.ndarray, threshold: float) -> np.ndarray:
+    """Which rows are linked, as a symmetric boolean matrix: every product is made once, tile by tile."""
+    linked = np.zeros((len(data), len(data)), dtype=bool)
+    for t in _tiles(len(data)):
+        linked[t, : t.stop] = data[t] @ data[: t.stop].T >= threshold
+        own = np.tril(linked[t, t], -1)
+        linked[t, t] = own | own.T
+        linked[: t.start, t] = linked[t, : t.start].T
+    return linked
+
+
 def _labels(linked: np.ndarray) -> np.ndarray:
     """The least row that each row of a symmetric boolean matrix reaches."""
     n = len(linked)
-    label = np.arange(n)
+    label = np.arange(n, dtype=np.int32)
     while True:
-        least = np.where(linked, label[None, :], n).min(axis=1, initial=n)
+        least = np.concatenate([np.where(linked[t], label, n).min(axis=1, initial=n) for t in _tiles(n)])
         new = np.minimum(label, least)
         new = new[new]
         if (new == label).all():
@@ -142,10 +169,9 @@ class _Block:
 
     def close(self):
         """All homes are there: products among them."""
-        self.data = np.stack(self.data)
-        linked = self.data @ self.data.T >= self.threshold
-        np.fill_diagonal(linked, False)
-        self.links = linked @ np.asarray(self.weights, dtype=np.int64)
+        self.data, self.weights = np.stack(self.data), np.asarray(self.weights, dtype=np.float64)
+        linked = _links(self.data, self.threshold)
+        self.links = np.concatenate([linked[t] @ self.weights for t in _tiles(len(linked))])
         self.label = _labels(linked)
         self.order = np.argsort(self.label, kind="stable")
         self.firsts = np.flatnonzero(np.diff(self.label[self.order], prepend=-1))
@@ -153,17 +179,20 @@ class _Block:
         return [(c, self.cids[r], None) for c, r in zip(self.cids, self.label, strict=True) if self.cids[r] != c]
 
     def guests(self, cids, weights, vectors):
+        """Edges of guests, and their links with this block, which no other task counts."""
         linked = self.data @ np.stack(vectors).T >= self.threshold
-        self.links += linked @ np.asarray(weights, dtype=np.int64)
+        self.links += linked @ np.asarray(weights, dtype=np.float64)
+        counts = self.weights @ linked
         group, guest = np.nonzero(np.logical_or.reduceat(linked[self.order], self.firsts, axis=0))
-        return [(cids[g], self.reps[c], None) for c, g in zip(group, guest, strict=True)]
+        return [(cids[g], self.reps[c], None) for c, g in zip(group, guest, strict=True)] + [
+            (cids[g], None, int(counts[g])) for g in np.flatnonzero(counts)]
 
     def totals(self):
         return [(c, None, int(x)) for c, x in zip(self.cids, self.links, strict=True)]
 
 
 def compare(placed: DataFrame, threshold: float) -> DataFrame:
-    """``(a, b, links)``: per home vector its weight of links, and edges ``a``-``b`` that connect what is linked.
+    """``(a, b, links)``: weights of links per vector, to be added up, and edges ``a``-``b`` that connect what is linked.
 
     The rows of a block come sorted with the homes first, so a task holds one
     block of homes and a batch of the vectors compared with it.
@@ -197,7 +226,7 @@ def compare(placed: DataFrame, threshold: float) -> DataFrame:
                     if block.label is None:
                         out += block.close()
                     waiting[0].append(cid), waiting[1].append(n), waiting[2].append(np.frombuffer(vector))
-                    if len(waiting[0]) >= 2048:
+                    if len(waiting[0]) >= TILE:
                         out += flush()
             yield made(out)
         if block is not None:
@@ -215,14 +244,15 @@ def compare(placed: DataFrame, threshold: float) -> DataFrame:
 
 
 def in_blocks(assigned: DataFrame, block_vectors: int) -> DataFrame:
-    """Cut the homes of each cell into blocks; every other member of the cell visits each block."""
+    """Cut the homes of each cell into blocks: guests of the cell visit each of them, homes visit those before their own."""
     keys = ["label", "dims", "cell"]
-    counts = assigned.where(~F.col("guest")).groupBy(*keys).count().select(
-        *keys, F.ceil(F.col("count") / F.lit(block_vectors)).cast("int").alias("blocks"))
-    rows = assigned.join(counts, keys).withColumn("own", F.when(
-        ~F.col("guest"), F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")).otherwise(-1))
-    return rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn(
-        "guest", F.col("block") != F.col("own")).drop("own", "blocks")
+    bytes_each = F.col("dims") * F.lit(8)
+    counts = assigned.where(~F.col("guest")).groupBy(*keys).count().select(*keys, F.ceil(F.greatest(
+        F.col("count") / F.lit(block_vectors), F.col("count") * bytes_each / F.lit(BLOCK_BYTES))).cast("int").alias("blocks"))
+    last = F.when(F.col("guest"), F.col("blocks") - 1).otherwise(F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    rows = assigned.join(counts, keys).withColumn("last", last)
+    return rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("last")))).withColumn(
+        "guest", F.col("guest") | (F.col("block") != F.col("last"))).drop("last", "blocks")
 
 
 def near_duplicates(
@@ -242,10 +272,11 @@ def near_duplicates(
     names its component. Other columns are ignored; an empty table gives an
     empty result.
 
-    The centres are fitted on at most ``sample`` vectors and there are at most
-    ``max_cells``, which bounds what is collected and broadcast; all vectors are
-    assigned. A cell above ``block_vectors`` is cut into blocks that are compared
-    in different tasks.
+    The centres are fitted on at most ``sample`` vectors for each of the 16
+    commonest dimensions and there are at most ``max_cells`` in a set, which bounds
+    what is collected and broadcast; all vectors are assigned. A label beyond these
+    dimensions is one cell. A cell above ``block_vectors`` (or ``BLOCK_BYTES``) is
+    cut into blocks that are compared in different tasks.
     """
     # ids of classes are digests, so repeated or missing vec_ids do no harm
     rows = written(units(vectors, id_col, vector_col, label_col).withColumn("cid", F.when(
@@ -255,14 +286,16 @@ def near_duplicates(
     classes = written(linkable.groupBy("cid").agg(
         F.first("label").alias("label"), F.first("dims").alias("dims"), F.first("unit").alias("unit"),
         F.count("*").alias("n"), F.min("vec_id").alias("least")), "classes")
-    centres = fit_cells(classes, sample, cell_vectors, max_cells)
-    assigned = written(assign(classes, centres, threshold, margin), "cells")
+    large = large_labels(classes, cell_vectors, max_cells)
+    sized = classes.join(when_small(large.select("label", "dims", "cells")), ["label", "dims"], "left").withColumn(
+        "cells", F.coalesce("cells", F.lit(1)))
+    assigned = written(assign(sized, fit_cells(sized, large, sample), threshold, margin), "cells")
     found = written(compare(in_blocks(assigned, block_vectors), threshold), "links")
     roots = components(found.where(F.col("b").isNotNull()).select("a", "b"), "vectors")
     named = classes.join(roots, F.col("cid") == F.col("node"), "left").select(
         "cid", "least", F.coalesce("component", "cid").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    links = found.where(F.col("links").isNotNull()).select(F.col("a").alias("cid"), "links")
+    links = found.where(F.col("links").isNotNull()).groupBy(F.col("a").alias("cid")).agg(F.sum("links").alias("links"))
     described = classes.select("cid", "n").join(named, "cid").join(least, "root").join(links, "cid").select(
         "cid", (F.col("links") + F.col("n") - 1).alias("n_links"), "component_id")
     joined = rows.select("vec_id", "cid").join(described, "cid", "left")
