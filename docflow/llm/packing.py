@@ -117,7 +117,8 @@ class TierPacker:
         if window & (window - 1) or smallest & (smallest - 1) or smallest > window:
             raise ValueError("tiers are powers of two")
         self.window, self.smallest, self.step_tokens = window, smallest, step_tokens
-        self.next_id, self.sequences = first_id, {}
+        self.first_id = self.next_id = first_id
+        self.sequences = {}
         self.by_length = [[] for _ in range(window + 1)]
         self.lengths = 0  # bit n is set where pieces of length n wait
         self.waiting = self.tokens = 0
@@ -199,7 +200,7 @@ class TierPacker:
 
     def _emit(self, pieces: list, size: int) -> None:
         n = self.sequences[size] = self.sequences.get(size, -1) + 1
-        group, offset = n * size // self.step_tokens, 0
+        group, offset = self.first_id | size.bit_length() << 32 | n * size // self.step_tokens, 0
         for ids, (document, total), start in pieces:
             length = len(ids) // 4
             self.out.append((document, start, length, zlib.crc32(ids), total, self.next_id, offset, size, size, group))
@@ -219,7 +220,8 @@ def pack(
     piece. All sequences are full; those shorter than ``smallest`` come from the
     end of a task and are powers of two as well. Within a task and tier, runs of
     sequences with ``step_tokens`` tokens in all form a ``step_group``, so groups
-    weigh the same whatever their context size. Null and empty texts are one
+    weigh the same whatever their context size, and its number names task, tier and
+    run, so it is a key of its own. Null and empty texts are one
     id. Repeated rows are packed one by one, null ids are kept, other columns are
     ignored, an empty table gives an empty result. ``sequence_id`` names the task,
     so a task that is run again writes the same rows.

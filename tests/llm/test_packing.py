@@ -65,6 +65,7 @@ def test_small_windows_and_steps(docs):
     for p in pieces:
         steps[p.sequence_id >> 40, p.tier, p.step_group] += p.length
     assert max(steps.values()) == 64
+    assert len({group for _, _, group in steps}) == len(steps)
     for (task, tier, group), tokens in steps.items():
         assert tokens == 64 or (task, tier, group + 1) not in steps
 
