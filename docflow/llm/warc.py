@@ -1,9 +1,11 @@
 """Zstandard-compressed WARC archives, written and read back.
 
-An archive starts with a skippable frame that holds its dictionary; then each
-record is one frame. Archives travel as rows ``(path, content)``, the shape that
-Spark's ``binaryFile`` source gives, so archives on disk are read with
-``read_archives(spark.read.format("binaryFile").load(...))``.
+An archive is a ``.warc.zst`` file that starts with a skippable frame that holds
+its dictionary; then each record is one frame. An archive of fewer than 16
+records, or of records from which no dictionary can be trained, has none. Tasks
+write archives to a staging folder; the list of what finished tasks wrote is a
+table, and a second job moves those to their names, so a task that fails or runs
+twice leaves nothing. Spark's ``binaryFile`` source reads them.
 """
 
 from __future__ import annotations
@@ -12,14 +14,17 @@ import base64
 import hashlib
 import re
 import struct
+import uuid
 
 import pyarrow as pa
 import zstandard
+from pyarrow import fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm.common import written
+from docflow.llm.common import BROADCAST_ROWS, written
+from docflow.session import scratch_dir
 
 # fixed values of the formats
 DICTIONARY_FRAME = 0x184D2A5D
@@ -43,9 +48,11 @@ def digest32(hex_sha1: str) -> str:
     return base64.b32encode(bytes.fromhex(hex_sha1)).decode()
 
 
-def record(kind: str, record_id: str, uri: str | None, digest: str, payload: bytes, refers_to: str | None) -> bytes:
-    """One record; a revisit keeps the headers of the exchange and leaves the payload out."""
-    block = f"HTTP/1.1 200 OK\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+def record(
+    kind: str, record_id: str, uri: str | None, digest: str, payload: bytes | None, refers_to: str | None, size: int | None = None,
+) -> bytes:
+    """One record; a revisit keeps the headers of the exchange, with the payload's ``size``, and leaves the payload out."""
+    block = f"HTTP/1.1 200 OK\r\nContent-Length: {len(payload) if size is None else size}\r\n\r\n".encode()
     if kind == "response":
         block += payload
     fields = [("WARC-Type", kind), ("WARC-Record-ID", f"<{record_id}>"), ("WARC-Date", DATE)]
@@ -146,22 +153,34 @@ def parse(data: bytes) -> dict:
     }
 
 
-def write_archives(records: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """``(path, content)`` from ``(record_id, uri, payload, sha1, refers_to)``: archives of about ``archive_bytes``.
+def _folder(uri: str) -> tuple[pafs.FileSystem, str]:
+    return pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
 
-    A record with ``refers_to`` becomes a revisit. A larger record makes an archive of its own.
+
+def write_archives(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
+    """Write ``(record_id, uri, payload, size, sha1, refers_to)`` as archives of about ``archive_bytes`` below ``folder``.
+
+    Returns ``(path, bytes)`` of each file. A record with ``refers_to`` becomes a
+    revisit, whose payload is not used. A record larger than ``archive_bytes`` ends
+    its archive. All executors must reach the folder.
     """
+    folder = folder.rstrip("/")
+    staging = f"{folder}/.staging-{uuid.uuid4().hex}"
 
-    def run(batches):
-        task, number, waiting, size = TaskContext.get().partitionId(), 0, [], 0
+    def stage(batches):
+        files, inside = _folder(staging)
+        task, attempt, number, waiting, size = TaskContext.get().partitionId(), uuid.uuid4().hex, 0, [], 0
 
         def done():
+            name, data = f"part-{task:05d}-{number:05d}.warc.zst", archive(waiting)
+            with files.open_output_stream(f"{inside}/{attempt}-{name}", compression=None) as out:  # it is compressed already
+                out.write(data)
             return pa.RecordBatch.from_arrays(
-                [pa.array([f"part-{task:05d}-{number:05d}.warc.zst"]), pa.array([archive(waiting)], pa.binary())], ["path", "content"])
+                [pa.array([name]), pa.array([f"{attempt}-{name}"]), pa.array([len(data)], pa.int64())], ["path", "staged", "bytes"])
 
         for batch in batches:
-            for key, uri, payload, sha1, refers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                waiting.append(record("revisit" if refers else "response", key, uri, digest32(sha1), payload, refers))
+            for key, uri, payload, n, sha1, refers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                waiting.append(record("revisit" if refers else "response", key, uri, digest32(sha1), payload, refers, n))
                 size += len(waiting[-1])
                 if size >= archive_bytes:
                     yield done()
@@ -169,7 +188,29 @@ def write_archives(records: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> Da
         if waiting:
             yield done()
 
-    return records.select("record_id", "uri", "payload", "sha1", "refers_to").mapInArrow(run, "path string, content binary")
+    def move(batches):
+        files, outside = _folder(folder)
+        _, inside = _folder(staging)
+        for batch in batches:
+            for path, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                # a task that runs again finds its earlier moves done
+                if files.get_file_info(f"{inside}/{name}").type != pafs.FileType.NotFound:
+                    files.move(f"{inside}/{name}", f"{outside}/{path}")
+            yield batch.select(["path", "bytes"])
+
+    files, inside = _folder(staging)
+    files.create_dir(inside, recursive=True)
+    try:
+        rows = records.select("record_id", "uri", "payload", "size", "sha1", "refers_to")
+        listed = written(rows.mapInArrow(stage, "path string, staged string, bytes bigint"), "staged-archives")
+        return written(listed.repartition("path").mapInArrow(move, "path string, bytes bigint"), "archives")
+    finally:
+        files.delete_dir(inside)
+
+
+def load_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """``(path, content)`` of the archives below ``folder``."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select("path", "content")
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
@@ -215,31 +256,42 @@ def read_archives(archives: DataFrame) -> DataFrame:
     return archives.select("path", "content").mapInArrow(run, RECORD)
 
 
-def archive_pages(
+def page_records(
     pages: DataFrame, smallest: int = 0, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
+    listed: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Archives ``(path, content)`` of all rows of ``pages``.
+    """``(record_id, uri, payload, size, sha1, refers_to)`` of all rows of ``pages``; revisits have no payload.
 
     Of records with equal payloads of at least ``smallest`` bytes the one with
     the largest id is a response and the others are revisits of it; all smaller
     ones are responses. Null payloads are empty ones. Repeated rows that have the
     largest id are all responses; a null id is smaller than any other, and where
     a payload has null ids only, all are responses. Other columns are ignored.
-    An empty table gives no archives. Equal payloads are combined in their own
-    tasks before the shuffle, so a payload that a third of all pages share does
-    not meet in one task; its join is left to adaptive skew handling.
+    An empty table gives no records.
+
+    Digests that occur more than once are counted first. Up to ``listed`` of them
+    are broadcast and no payload is shuffled. Beyond that the revisits are told from
+    digests and ids alone and joined by both, so copies of one payload are spread by their ids.
     """
     rows = pages.select(
         F.col(id_col).cast("bigint").alias("id"), F.col(url_col).alias("uri"),
         F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload"),
-    ).withColumn("sha1", F.sha1("payload"))
-    large = F.octet_length("payload") >= smallest
-    latest = rows.where(large).groupBy("sha1").agg(F.max("id").alias("latest"))
+    ).withColumns({"sha1": F.sha1("payload"), "size": F.octet_length("payload").cast("bigint")})
+    large = rows.where(F.col("size") >= smallest).select("sha1", "id")
+    copied = written(
+        large.groupBy("sha1").agg(F.max("id").alias("latest"), F.count("*").alias("n")).where("n > 1 and latest is not null")
+        .select("sha1", "latest"), "copied-payloads")
+    if copied.count() <= listed:
+        known = rows.join(F.broadcast(copied), "sha1", "left")
+    else:
+        revisits = large.join(copied, "sha1").where(~F.col("id").eqNullSafe(F.col("latest"))).distinct().select(
+            F.col("sha1").alias("of"), F.col("id").alias("by"), "latest")
+        known = rows.join(revisits, (F.col("sha1") == F.col("of")) & F.col("id").eqNullSafe(F.col("by")), "left")
+    revisit = F.col("latest").isNotNull() & ~F.col("id").eqNullSafe(F.col("latest"))
     name = F.concat(F.lit(ID), F.coalesce(F.col("id").cast("string"), F.lit("")))
-    refers = F.when(large & ~F.col("id").eqNullSafe(F.col("latest")) & F.col("latest").isNotNull(),
-                    F.concat(F.lit(ID), F.col("latest").cast("string")))
-    return write_archives(rows.join(latest, "sha1", "left").select(
-        name.alias("record_id"), "uri", "payload", "sha1", refers.alias("refers_to")))
+    return known.select(
+        name.alias("record_id"), "uri", F.when(~revisit, F.col("payload")).alias("payload"), "size", "sha1",
+        F.when(revisit, F.concat(F.lit(ID), F.col("latest").cast("string"))).alias("refers_to"))
 
 
 def page_of(urn):
@@ -247,6 +299,8 @@ def page_of(urn):
     return F.nullif(F.replace(urn, F.lit(ID), F.lit("")), F.lit("")).cast("bigint")
 
 
-def round_trip(pages: DataFrame, smallest: int = 0) -> DataFrame:
-    """Archive all pages in the shared folder and read the records back."""
-    return read_archives(written(archive_pages(pages, smallest), "warc"))
+def round_trip(pages: DataFrame, smallest: int = 0, folder: str | None = None) -> DataFrame:
+    """Write all pages as archives below ``folder`` (a fresh one in the shared folder by default) and read the records back."""
+    folder = folder or scratch_dir(pages.sparkSession, "warc")
+    write_archives(page_records(pages, smallest), folder)
+    return read_archives(load_archives(pages.sparkSession, folder))

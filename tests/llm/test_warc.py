@@ -7,6 +7,8 @@ import struct
 import pytest
 from cases import SF_DIR, rows_of
 from docflow.llm import queries, warc
+from pyspark.errors import PythonException
+from pyspark.sql import functions as F
 
 PAGES = [
     (1, "http://a/ b%\n", "<p>é</p>"), (2, None, None), (3, "http://c", ""), (4, "http://d", "<p>é</p>"), (4, "http://d", "<p>é</p>"),
@@ -45,6 +47,31 @@ def test_round_trip(pages, smallest):
     assert got == expected(smallest)
 
 
+def test_many_copied_payloads(pages):
+    """Without a broadcast the records are the same."""
+    key = lambda r: str(tuple(r))
+    for smallest in (0, 5):
+        short, long = (sorted(warc.page_records(pages, smallest, listed=n).collect(), key=key) for n in (100, 0))
+        assert short == long and sum(r.refers_to is not None for r in long) > 1
+        assert all((r.payload is None) == (r.refers_to is not None) for r in long)
+
+
+def test_archives_are_files(pages, tmp_path):
+    """Archives lie below their names alone, each with as many frames as records, and no staging is left."""
+    found = warc.write_archives(warc.page_records(pages), str(tmp_path / "out"), archive_bytes=100).collect()
+    files = {f.name: f.read_bytes() for f in (tmp_path / "out").iterdir() if not f.name.endswith(".crc")}
+    assert {r.path: r.bytes for r in found} == {k: len(v) for k, v in files.items()}
+    made = [x for data in files.values() for x in warc.frames(data)]
+    assert len(made) == len(PAGES) and all(warc.parse(x) for x in made)
+
+
+def test_a_failed_task_leaves_nothing(pages, tmp_path):
+    bad = warc.page_records(pages).withColumn("sha1", F.when(F.col("record_id") == "urn:x-page:8", "no digest").otherwise(F.col("sha1")))
+    with pytest.raises(PythonException):
+        warc.write_archives(bad, str(tmp_path / "out"), archive_bytes=100)
+    assert list((tmp_path / "out").iterdir()) == []
+
+
 def test_empty(pages):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
