@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from plans import nodes
 from pyspark.sql import functions as F
 
 from docflow import schemas as S
@@ -247,3 +248,10 @@ def test_geometry(spark):
 def test_children_by_relationship(spark, kind, count):
     blocks = blocks_of(spark, d=[b("KEY_VALUE_SET", "k", rel=[("CHILD", ["w", "x"]), ("VALUE", ["w"])]), word("w", "1"), word("x", "2")])
     assert ocr.block_children(blocks, kind).count() == count
+
+
+def test_whole_responses_are_read_one_by_one(spark, tmp_path):
+    rows = [(f"d{i}", [b("WORD", f"w{j}", Text="x") for j in range(50)]) for i in range(20)]
+    spark.createDataFrame(rows, f"documentId STRING, Blocks ARRAY<{S.BLOCK}>").write.parquet(str(tmp_path / "r"))
+    blocks = ocr.explode_blocks(spark.read.parquet(str(tmp_path / "r")))
+    assert "Batched: false" in nodes(blocks, "Scan parquet")[0] and blocks.count() == 1000
