@@ -16,17 +16,44 @@ def _words() -> Column:
     return F.filter(F.split(F.lower(content()), WORD_BREAK), lambda w: w != "")
 
 
+def _counted(words: Column) -> Column:
+    """The distinct words of an array with how often each is in it, by sorting."""
+    def runs(w: Column) -> Column:
+        first = F.filter(F.sequence(F.lit(1), F.size(w)), lambda i: (i == 1) | (F.get(w, i - 1) != F.get(w, i - 2)))
+        return F.transform(F.array(first), lambda at: F.transform(at, lambda i, k: F.struct(
+            F.get(w, i - 1).alias("token"), (F.coalesce(F.get(at, k + 1), F.size(w) + 1) - i).alias("tf"))))[0]
+
+    # bound to variables, so the words are made once
+    none = F.array().cast("array<struct<token:string,tf:int>>")
+    return F.transform(F.array(F.array_sort(words)), lambda w: F.when(F.size(w) > 0, runs(w)).otherwise(none))[0]
+
+
+def _page_words(index: DataFrame) -> DataFrame:
+    """``(token, documentId, page, tf, length)`` of every row of the index."""
+    words = index.select(*PAGE_KEYS, F.transform(F.array(_words()), lambda w: F.struct(F.size(w).alias("length"), _counted(w).alias("held")))[0].alias("_w"))
+    # the outer form does not make the words a second time to test for them
+    return words.select(*PAGE_KEYS, F.col("_w.length").alias("length"), F.explode_outer("_w.held").alias("_t")).where("_t is not null").select(
+        F.col("_t.token").alias("token"), *PAGE_KEYS, F.col("_t.tf").alias("tf"), "length")
+
+
+def _by_page(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("token", *PAGE_KEYS).agg(F.sum("tf").cast("int").alias("tf"), F.first("length").alias("length"))
+
+
 def postings(index: DataFrame) -> DataFrame:
     """``(token, documentId, page, tf, length)``: how often a page holds a token, and the page's words."""
-    words = index.select(*PAGE_KEYS, _words().alias("_words"))
-    return words.select(*PAGE_KEYS, F.size("_words").alias("length"), F.explode("_words").alias("token")).groupBy(
-        "token", *PAGE_KEYS).agg(F.count(F.lit(1)).cast("int").alias("tf"), F.first("length").alias("length"))
+    return _by_page(_page_words(index))
+
+
+def ordered_postings(index: DataFrame) -> DataFrame:
+    """The postings in token order. Rows move once: the ranges that order them also bring those of a page together."""
+    order = ["token", *PAGE_KEYS]
+    return _by_page(_page_words(index).repartitionByRange(*order)).sortWithinPartitions(*order)
 
 
 def write_postings(index: DataFrame, path: str) -> None:
     """Write the postings in token order and the totals that scores need; a common token spans many tasks."""
-    order = ["token", *PAGE_KEYS]
-    postings(index).repartitionByRange(*order).sortWithinPartitions(*order).write.mode("errorifexists").parquet(f"{path}/postings")
+    ordered_postings(index).write.mode("errorifexists").parquet(f"{path}/postings")
     index.agg(F.count(F.lit(1)).alias("pages"), F.sum(F.size(_words())).alias("words")).write.mode("errorifexists").parquet(f"{path}/totals")
 
 

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+from plans import nodes
 from pyspark.sql import functions as F
 
 from docflow.operators import lineage, ranked, search
@@ -100,3 +101,14 @@ def test_derivations(spark):
     got = {(int(r.target[7:]), int(r.origin[7:]), r.depth) for r in lineage.origins(ways).collect()}
     assert got == {(b, a, d) for (a, b), d in want.items() if a not in derived}
     assert lineage.derivations(edges.limit(0)).count() == 0
+
+
+def test_postings_move_once(spark):
+    rows = pages(7, 30)
+    df = spark.createDataFrame([*rows, *rows[:9]], INDEX)  # of repeated pages the words are added up
+    ordered = ranked.ordered_postings(df)
+    assert len(nodes(ordered, "Exchange")) == 1
+    want = Counter()
+    for r in [*rows, *rows[:9]]:
+        want.update((w, r[0], r[1]) for w in words_of(r))
+    assert {(r.token, r.documentId, r.page): r.tf for r in ordered.collect()} == want
