@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import pytest
+from plans import nodes
 
 from docflow.functions.text import key_phrases
 from docflow.operators import phrases
@@ -95,3 +96,18 @@ def test_a_large_dictionary(spark, monkeypatch, limit):
 def test_no_names(spark):
     texts = spark.createDataFrame(some_texts(4, 3), TEXTS)
     assert phrases.dictionary_entities(texts, spark.createDataFrame([("..", "x")], "name STRING, type STRING"), ["id"]).count() == 0
+
+
+def test_scored_phrases_move_texts_once(spark):
+    df = spark.createDataFrame(some_texts(5), TEXTS)
+    assert len(nodes(phrases.scored_phrases(df, ["id"]), "Exchange")) == 1
+    twice = phrases.scored_phrases(df.where("id = 1").unionByName(df.where("id = 1")), ["id"]).collect()
+    once = {r.phrase: r for r in phrases.scored_phrases(df.where("id = 1"), ["id"]).collect()}
+    assert len(twice) == len(once) and all(r.n == 2 * once[r.phrase].n and r.score == once[r.phrase].score for r in twice)
+
+
+def test_words_of_a_text_do_not_move_with_each_place(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "NAMES_BROADCAST", 0)
+    names = spark.createDataFrame([("linear systems", "x"), ("set", "y")], "name STRING, type STRING")
+    found = phrases.dictionary_entities(spark.createDataFrame(some_texts(6), TEXTS), names, ["id"])
+    assert nodes(found, "Exchange") and not any("_w#" in x for x in nodes(found, "Exchange"))
