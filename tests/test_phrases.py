@@ -10,6 +10,7 @@ from plans import nodes
 
 from docflow.functions.text import key_phrases
 from docflow.operators import phrases
+from docflow.operators.keyed import may_be_among
 from docflow.operators.search import WORD_BREAK
 
 TEXTS = "id INT, text STRING"
@@ -111,3 +112,9 @@ def test_words_of_a_text_do_not_move_with_each_place(spark, monkeypatch):
     names = spark.createDataFrame([("linear systems", "x"), ("set", "y")], "name STRING, type STRING")
     found = phrases.dictionary_entities(spark.createDataFrame(some_texts(6), TEXTS), names, ["id"])
     assert nodes(found, "Exchange") and not any("_w#" in x for x in nodes(found, "Exchange"))
+
+
+def test_a_filter_loses_no_row(spark):
+    rows = spark.range(20_000).selectExpr("id", "cast(id as string) as name")
+    kept = {r.id for r in may_be_among(rows, rows.where("id % 7 = 0"), "name").collect()}
+    assert kept >= set(range(0, 20_000, 7)) and len(kept) < 3_000
