@@ -255,3 +255,38 @@ def test_whole_responses_are_read_one_by_one(spark, tmp_path):
     spark.createDataFrame(rows, f"documentId STRING, Blocks ARRAY<{S.BLOCK}>").write.parquet(str(tmp_path / "r"))
     blocks = ocr.explode_blocks(spark.read.parquet(str(tmp_path / "r")))
     assert "Batched: false" in nodes(blocks, "Scan parquet")[0] and blocks.count() == 1000
+
+
+def mixed_document(n):
+    return [
+        b("PAGE", "p"), b("LINE", "l", Text="a b", rel=[("CHILD", ["w1", "gone", "w2"])]), word("w1", "old"), word("w1", f"a{n}"), word("w2", "b"),
+        b("KEY_VALUE_SET", "k", EntityTypes=["KEY"], rel=[("CHILD", ["w1"]), ("VALUE", ["v"])]),
+        b("KEY_VALUE_SET", "v", EntityTypes=["VALUE"], rel=[("CHILD", ["w2", "w1"])]), b("KEY_VALUE_SET", "k2", EntityTypes=["KEY"], rel=[("CHILD", ["w2"])]),
+        b("TABLE", "t", rel=[("CHILD", ["c1", "gone", "c2"])]), b("CELL", "c1", RowIndex=1, rel=[("CHILD", ["w2"])]),
+        b("CELL", "c2", RowIndex=2), b("TABLE", "t2", rel=[("CHILD", [])]), b("TABLE", "t3")]
+
+
+OPERATORS = {
+    "lines": (ocr.extract_lines, 3), "children": (lambda x: ocr.block_children(x, "CHILD"), 2), "cells": (ocr.cell_text, 2),
+    "table cells": (ocr.table_cells, 3), "keys": (ocr.field_key_text, 3), "pairs": (ocr.key_value_pairs, 2),
+    "values": (ocr.field_value_text, 5), "structures": (ocr._structures, 3)}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_blocks_move_once_to_their_document(spark, monkeypatch, name):
+    """Blocks and what lists them are placed by document and not moved again; hot documents give the same rows."""
+    operator, most = OPERATORS[name]
+    blocks = blocks_of(spark, a=mixed_document(1), b=mixed_document(2), c=[b("LINE", "l", Text="x")])
+    near = operator(blocks)
+    assert len(nodes(near, "Exchange")) <= most and all("documentId" in x for x in nodes(near, "Exchange"))
+    monkeypatch.setattr(ocr, "HOT_BLOCKS", 5)
+    hot = operator(blocks)
+    assert len(nodes(hot, "Exchange")) > most
+    assert near.count() > 1 and sorted(map(str, hot.collect())) == sorted(map(str, near.collect()))
+
+
+def test_documents_without_keys_and_tables_are_passed_over(spark):
+    blocks = blocks_of(spark, a=mixed_document(1), b=mixed_document(2), c=[b("LINE", "l", Text="x")])
+    got = ocr.page_content(blocks)
+    assert any("_part" in x for x in nodes(got, "BroadcastHashJoin"))
+    assert {(r.documentId, r.kind) for r in got.collect()} == {("c", "line")} | {(d, k) for d in "ab" for k in ("line", "field", "table")}
