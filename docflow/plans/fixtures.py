@@ -23,10 +23,13 @@ QUEUE = "arn:docflow:queue"
 LINES_PER_PAGE = 20
 
 
+SPREAD_ROWS = 10_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A given table; ``spread`` deals its rows to all cores, where each makes many rows."""
+    """A given table; ``spread`` deals its rows to all cores, where each makes many rows, ``SPREAD_ROWS`` to a task at most."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df.repartition(spark.sparkContext.defaultParallelism) if spread else df
+    return df.repartition(max(spark.sparkContext.defaultParallelism, -(-df.count() // SPREAD_ROWS))) if spread else df
 
 
 def pick(values: list[str], number: Column) -> Column:
