@@ -18,6 +18,7 @@ from docflow.llm.common import text_buffers, written
 from docflow.llm.words import find_words, pairs, word_hashes
 
 BITS = 20
+CHUNK = 500_000  # bytes of text whose features are made at once
 SAMPLE = 4000  # labelled documents per class, at most
 SETTINGS = {"alpha": 1.0, "beta": 1.0, "l1": 10.0, "l2": 1.0, "rounds": 4}
 
@@ -85,7 +86,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int, bits: int, id
 
     def run(batches):
         for batch in batches:
-            for first, data, offsets in text_buffers(batch.column(2)):
+            for first, data, offsets in text_buffers(batch.column(2), CHUNK):
                 text, at = features(data, offsets, bits)
                 cuts = np.searchsorted(text, np.arange(len(offsets)))
                 part = slice(first, first + len(offsets) - 1)
@@ -139,7 +140,7 @@ def score(docs: DataFrame, model: DataFrame, bits: int = BITS, id_col: str = "do
         table[at] = values
         for batch in batches:
             totals = [np.empty(0)]
-            for _, data, offsets in text_buffers(batch.column(1)):
+            for _, data, offsets in text_buffers(batch.column(1), CHUNK):
                 text, found = features(data, offsets, bits, table != 0)
                 totals.append(np.bincount(text, weights=table[found], minlength=len(offsets) - 1) + base)
             total = np.clip(np.concatenate(totals), -500, 500)
