@@ -22,7 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from docflow.llm.common import text_bytes
 
 PIECES_KEPT = 4096
-CHUNKS_KEPT = 600_000
+CHUNKS_KEPT = 1_200_000
 TEXTS_AT_ONCE = 200
 _LOADED: dict = {}
 _OTHER_SPACE = re.compile(r"[^\S \n]")
@@ -56,6 +56,12 @@ class _Encoder(dict):
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.sizes = None  # bytes of each id, where ids stand for the bytes of a text
+        if type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel" and self.tokenizer.normalizer is None:
+            vocabulary = self.tokenizer.get_vocab()
+            self.sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+            for token, i in vocabulary.items():
+                self.sizes[i] = len(token)  # a character for each byte
 
     def encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
@@ -65,8 +71,8 @@ class _Encoder(dict):
         if len(self) + len(chunks) > CHUNKS_KEPT:
             self.clear()
         line_end = self.encode("\n")
-        chunks = [x for x in chunks if x != "\n"]
         self["\n"] = line_end.tobytes()
+        chunks = self._joined([x for x in chunks if x != "\n"])
         if not chunks:
             return
         found = self.encode("\n".join(chunks))
@@ -77,6 +83,21 @@ class _Encoder(dict):
         raw = found.tobytes()
         self.update((x, raw[4 * a + 4 : 4 * b]) for x, a, b in zip(chunks, [-1, *cuts], [*cuts, len(found)], strict=True))
 
+    def _joined(self, chunks: list[str]) -> list[str]:
+        """Encode the chunks that begin with a blank as one text, cut by the bytes of its ids; the others are left."""
+        spaced = [x for x in chunks if x[0] == " "]
+        if self.sizes is None or not spaced:
+            return chunks
+        found = self.encode("".join(spaced))
+        at = np.cumsum(self.sizes[found])
+        ends = np.cumsum(np.fromiter(map(len, map(str.encode, spaced)), dtype=np.int64, count=len(spaced)))
+        cuts = np.searchsorted(at, ends)
+        if at[-1] != ends[-1] or not np.array_equal(at[cuts], ends):
+            return chunks
+        raw, cuts = found.tobytes(), (4 * (cuts + 1)).tolist()
+        self.update(zip(spaced, [raw[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)], strict=True))
+        return [x for x in chunks if x[0] != " "]
+
     def ids(self, texts: list[str]) -> list[bytes]:
         out = []
         for i in range(0, len(texts), TEXTS_AT_ONCE):

@@ -72,3 +72,16 @@ def test_small_windows_and_steps(docs):
 
 def test_empty(empty):
     assert packing.pack(empty, PATH).count() == 0
+
+
+def test_chunks_are_encoded_together_and_cut_by_their_bytes():
+    """Words after a blank are one call without separators; ids are those of the whole text."""
+    with open(queries.tokenizer("byte_bpe_50k.json"), encoding="utf-8") as f:
+        encoder = packing._Encoder(f.read())
+    calls = []
+    plain = encoder.encode
+    encoder.encode = lambda text: calls.append(text) or plain(text)
+    texts = ["It's a naïve test, 日本語 'tis\nnext' s line 12 3.5", "na\u0308ive 𝒳 été\nIt's it's", "one"]
+    found = encoder.ids(texts)
+    assert " a naïve test, 日本語".replace(" ", "") in "".join(calls).replace(" ", "") and any("\n" not in x and " a naïve" in x for x in calls)
+    assert found == [plain(x).tobytes() for x in texts]
