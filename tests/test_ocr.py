@@ -180,6 +180,22 @@ def test_search_records(spark, tmp_path):
     assert {r.page: r.text for r in search.upsert_search_index(records, revised).collect()} == {1: "Mail a@b.org, now\n", 2: "new"}
 
 
+def test_search_records_are_made_once(spark):
+    """Pages are not built again for their annotations, nor records for the end of their file; a page without chunks stays."""
+    blocks = blocks_of(spark, d=[b("PAGE", "p1"), b("LINE", "l1", Text="Mail a@b.org"), b("PAGE", "p2")], e=[b("WORD", "w")])
+    records = annotate.page_search_record(blocks)
+    documents = spark.createDataFrame([("d", "in/x.pdf"), ("e", "in/y.pdf")], "documentId STRING, documentName STRING")
+    lines = outputs.annotation_lines(records, documents)
+    windows = len(nodes(ocr.pages(blocks), "Window"))
+    assert windows > 0 and len(nodes(records, "Window")) == len(nodes(lines, "Window")) == windows
+    assert {(r.documentId, r.page): (r.text, r.KeyPhrases, r.Entities) for r in records.collect()} == {
+        ("d", 1): ("Mail a@b.org\n", ["Mail a@b", "org"], {"EMAIL": "a@b.org"}), ("d", 2): ("", [], {}), ("e", 1): ("", [], {})}
+    texts = {}
+    for r in lines.orderBy("path", "ord").collect():
+        texts[r.documentId] = texts.get(r.documentId, "") + r.line
+    assert {d: [p["page"] for p in json.loads(t)] for d, t in texts.items()} == {"d": [1, 2], "e": [1]}
+
+
 def test_annotator_failure_marks_only_its_text(spark):
     def shout(texts):
         for t in texts:
