@@ -22,6 +22,9 @@ from docflow.llm.common import text_bytes, when_small, written
 SHARD_WORDS = 500_000
 TASK_PHRASES = 2_000_000  # places that a task counts together before it sends them on
 SEGMENT_PHRASES = 2_000_000
+PART_WORDS = 50_000  # words whose phrases are made at once
+MERGE_ROWS = 250_000  # counters that are merged at once
+OUT_BYTES = 2_000_000  # filters that a task hands over at once
 CUT_BYTES = 4_000_000
 RANK_SALTS = 64
 SCALE = 2_000_000
@@ -127,21 +130,26 @@ def halves(keys: list[np.ndarray], bits: int) -> tuple[np.ndarray, np.ndarray]:
     return keys[0] >> np.uint64(bits), keys[0] & np.uint64((1 << bits) - 1)
 
 
+def summed(keys: list[np.ndarray], counts: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct keys of sorted ones with the sums of their counts (one each without ``counts``)."""
+    n = len(keys[0])
+    new = np.ones(n, dtype=bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    first = np.flatnonzero(new)
+    sums = np.diff(first, append=n) if counts is None else np.add.reduceat(counts, first)
+    return [k[first] for k in keys], sums.astype(np.int64, copy=False)
+
+
 def counted(keys: list[np.ndarray], counts: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
     """Distinct keys in order with the sums of their counts (one each without ``counts``; a single key array is then sorted in place)."""
-    n = len(keys[0])
-    if not n:
+    if not len(keys[0]):
         return keys, np.empty(0, np.int64)
     if counts is None and len(keys) == 1:
         keys[0].sort()
     else:
         order = np.argsort(keys[0], kind="stable") if len(keys) == 1 else np.lexsort(keys[::-1])
         keys, counts = [k[order] for k in keys], None if counts is None else counts[order]
-    new = np.ones(n, dtype=bool)
-    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
-    first = np.flatnonzero(new)
-    sums = np.diff(first, append=n) if counts is None else np.add.reduceat(counts, first)
-    return [k[first] for k in keys], sums.astype(np.int64)
+    return summed(keys, counts)
 
 
 def encode(keys: list[np.ndarray], counts: np.ndarray, bits: int, lead: int) -> bytes:
@@ -184,10 +192,22 @@ def decode(data: bytes, bits: int, lead: int, segment: int) -> tuple[list[np.nda
     return keys, counts
 
 
+def merged_ranges(tables: list[tuple[list[np.ndarray], np.ndarray]], rows: int = MERGE_ROWS):
+    """Sorted tables of the sums of several sorted ones, by ranges of keys; each is made of about ``rows`` rows."""
+    n = -(-sum(len(counts) for _, counts in tables) // rows)
+    some = np.sort(np.concatenate([keys[0][::100] for keys, _ in tables]))
+    limits = np.unique(some[np.arange(1, n) * len(some) // max(1, n)])
+    ends = [[0, *np.searchsorted(keys[0], limits).tolist(), len(counts)] for keys, counts in tables]
+    for i in range(len(limits) + 1):
+        parts = [([k[e[i] : e[i + 1]] for k in keys], counts[e[i] : e[i + 1]]) for (keys, counts), e in zip(tables, ends, strict=True)]
+        keys = [np.concatenate(k) for k in zip(*(keys for keys, _ in parts), strict=True)]
+        yield counted(keys, np.concatenate([counts for _, counts in parts]))
+
+
 def merged(tables: list[tuple[list[np.ndarray], np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray]:
     """One sorted table of the sums of several."""
-    keys = [np.concatenate(k) for k in zip(*(t[0] for t in tables), strict=True)]
-    return counted(keys, np.concatenate([t[1] for t in tables]))
+    ranges = list(merged_ranges(tables))
+    return [np.concatenate(k) for k in zip(*(keys for keys, _ in ranges), strict=True)], np.concatenate([counts for _, counts in ranges])
 
 
 def phrases_of(ids: np.ndarray, begins: int, bits: int, longest: int) -> tuple[np.ndarray, np.ndarray]:
@@ -202,70 +222,96 @@ def phrases_of(ids: np.ndarray, begins: int, bits: int, longest: int) -> tuple[n
     return np.concatenate(lefts), np.concatenate(rights)
 
 
+def filters(keys: list[np.ndarray], bits: int, lead: int):
+    """Batches of (``segment``, ``filter``) of unsorted keys; a single key array is sorted in place."""
+    width = (2 if len(keys) == 1 else 1) * bits
+    if len(keys) == 1:
+        keys[0].sort()
+    order = np.lexsort(keys[::-1]) if len(keys) == 2 else None
+    starts = np.arange(1 << lead, dtype=np.uint64) << np.uint64(width - lead)
+    ends = np.append(np.searchsorted(keys[0], starts, sorter=order), len(keys[0]))
+    names, blobs, size = [], [], 0
+    for i in np.flatnonzero(np.diff(ends)).tolist():
+        at = slice(ends[i], ends[i + 1])
+        blobs.append(encode(*summed([k[at if order is None else order[at]] for k in keys]), bits, lead))
+        names.append(i)
+        size += len(blobs[-1])
+        if size >= OUT_BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], ["segment", "filter"])
+            names, blobs, size = [], [], 0
+    if names:
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], ["segment", "filter"])
+
+
+def build_filters(batches, bits: int, longest: int, lead: int, task_phrases: int, part_words: int):
+    """Batches of (``segment``, ``filter``) from batches of (``ids``, ``known``).
+
+    Phrases are made of ``part_words`` words at once, and go to one place in memory that is used again.
+    """
+    room = [np.empty(task_phrases + (longest - 1) * part_words, np.uint64) for _ in range(1 if 2 * bits <= 64 else 2)]
+    size = 0
+    for batch in batches:
+        for i in range(batch.num_rows):
+            known = batch.column(1)[i].values.to_numpy()
+            local = np.frombuffer(batch.column(0)[i].as_buffer(), "<u4")
+            to = np.zeros(int(local.max(initial=0)) + 1, np.uint32)
+            to[(known >> 32) + 2] = known & 0xFFFFFFFF
+            for at in range(0, len(local), part_words):
+                part = to[local[at : at + part_words + longest - 1]].astype(np.uint64)
+                halved = permute(*phrases_of(part, min(part_words, len(part)), bits, longest), bits)
+                for k, found in zip(room, joined(*halved, bits), strict=True):
+                    k[size : size + len(found)] = found
+                size += len(halved[0])
+                if size >= task_phrases:
+                    yield from filters([k[:size] for k in room], bits, lead)
+                    size = 0
+    if size:
+        yield from filters([k[:size] for k in room], bits, lead)
+
+
+def merge_filters(batches, bits: int, lead: int, min_count: int, segment_phrases: int):
+    """Batches of (``w1``, ``w2``, ``w3``, ``w4``, ``f``) from batches of (``segment``, ``filter``) in order of segments."""
+    at, tables, size = None, [], 0
+
+    def done():
+        shift, mask = np.uint64(bits // 2), np.uint64((1 << bits // 2) - 1)
+        for keys, counts in merged_ranges(tables):
+            often = counts >= min_count
+            left, right = restore(*halves([k[often] for k in keys], bits), bits)
+            w = [left >> shift, left & mask, right >> shift, right & mask]
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(x.astype(np.int32)) for x in w), pa.array(counts[often], pa.int64())], ["w1", "w2", "w3", "w4", "f"])
+
+    for batch in batches:
+        for i, segment in enumerate(batch.column(0).to_pylist()):
+            if segment != at:
+                if tables:
+                    yield from done()
+                at, tables, size = segment, [], 0
+            tables.append(decode(batch.column(1)[i].as_buffer(), bits, lead, segment))
+            size += len(tables[-1][1])
+            if size > 2 * segment_phrases:  # permuted phrases spread evenly, so this is rare
+                tables = [merged(tables)]
+                size = len(tables[0][1])
+    if tables:
+        yield from done()
+
+
 def count_phrases(shard_ids: DataFrame, bits: int, longest: int, lead: int, min_count: int, limits: tuple[int, int, int]) -> DataFrame:
     """``(w1, w2, w3, w4, f)``: phrases found ``min_count`` times, from rows of (``ids``, ``known``) per shard.
 
-    ``known`` lists the places in the shard's dictionary and their dense ids.
+    ``known`` lists places in the shard's dictionary (the upper 32 bits) with their dense ids (the lower).
     """
     task_phrases, part_words, segment_phrases = limits
 
-    def segments(found):
-        keys, counts = counted([np.concatenate(k) for k in zip(*found, strict=True)])
-        width = (2 if len(keys) == 1 else 1) * bits
-        top = (keys[0] >> np.uint64(width - lead)).astype(np.int64) if lead else np.zeros(len(counts), np.int64)
-        first = np.flatnonzero(np.diff(top, prepend=-1))
-        ends = np.append(first[1:], len(counts))
-        blobs = [encode([k[a:b] for k in keys], counts[a:b], bits, lead) for a, b in zip(first, ends, strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(top[first], pa.int32()), pa.array(blobs, pa.binary())], ["segment", "filter"])
-
     def build(batches):
-        found, size = [], 0
-        for batch in batches:
-            for i in range(batch.num_rows):
-                places = batch.column(1)[i].values
-                local = np.frombuffer(batch.column(0)[i].as_buffer(), "<u4")
-                to = np.zeros(int(local.max(initial=0)) + 1, np.uint64)
-                to[places.field(0).to_numpy(zero_copy_only=False) + 2] = places.field(1).to_numpy(zero_copy_only=False).astype(np.uint64)
-                ids = to[local]
-                for at in range(0, len(ids), part_words):
-                    part = ids[at : at + part_words + longest - 1]
-                    halved = permute(*phrases_of(part, min(part_words, len(part)), bits, longest), bits)
-                    found.append(joined(*halved, bits))
-                    size += len(halved[0])
-                    if size >= task_phrases:
-                        yield segments(found)
-                        found, size = [], 0
-        if size:
-            yield segments(found)
+        return build_filters(batches, bits, longest, lead, task_phrases, part_words)
 
     def merge(batches):
-        at, tables, size = None, [], 0
+        return merge_filters(batches, bits, lead, min_count, segment_phrases)
 
-        def done():
-            keys, counts = merged(tables)
-            often = counts >= min_count
-            left, right = restore(*halves([k[often] for k in keys], bits), bits)
-            shift, mask = np.uint64(bits // 2), np.uint64((1 << bits // 2) - 1)
-            w = [left >> shift, left & mask, right >> shift, right & mask]
-            return pa.RecordBatch.from_arrays(
-                [*(pa.array(x.astype(np.int32)) for x in w), pa.array(counts[often], pa.int64())], ["w1", "w2", "w3", "w4", "f"])
-
-        for batch in batches:
-            for segment, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if segment != at:
-                    if tables:
-                        yield done()
-                    at, tables, size = segment, [], 0
-                tables.append(decode(blob, bits, lead, segment))
-                size += len(tables[-1][1])
-                if size > 2 * segment_phrases:  # permuted phrases spread evenly, so this is rare
-                    tables = [merged(tables)]
-                    size = len(tables[0][1])
-        if tables:
-            yield done()
-
-    filters = shard_ids.select("ids", "known").mapInArrow(build, "segment int, filter binary")
-    placed = filters.repartition("segment").sortWithinPartitions("segment")
+    found = shard_ids.select("ids", "known").mapInArrow(build, "segment int, filter binary")
+    placed = found.repartition("segment").sortWithinPartitions("segment")
     return placed.mapInArrow(merge, "w1 int, w2 int, w3 int, w4 int, f bigint")
 
 
@@ -348,17 +394,19 @@ def collocations(
     cut = written(shards(docs, text_col, lang_col, shard_words), "shards")
     totals = written(cut.groupBy("lang").agg(F.sum("n").alias("n")), "word-totals")
     n_words = totals.agg(F.sum("n")).first()[0] or 0
-    listed = cut.select("lang", "shard", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w")).select(
-        "lang", "shard", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+    listed = cut.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).select(
+        "lang", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     often = listed.groupBy("lang", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
     vocabulary = dense(often)
     size = vocabulary.agg(F.max("id")).first()[0] or 0
     bits = 2 * max(1, int(size).bit_length())
     lead = min(bits, max(0, (longest - 1) * n_words // segment_phrases).bit_length())
-    known = listed.join(when_small(vocabulary.select("lang", "word", "id")), ["lang", "word"]).groupBy("shard").agg(
-        F.collect_list(F.struct("at", "id")).alias("known"))  # bounded by the words of a shard
-    found = count_phrases(
-        cut.select("shard", "ids").join(known, "shard"), bits, longest, lead, min_count, (task_phrases, shard_words, segment_phrases))
+    places = cut.select("lang", "shard", F.posexplode("words").alias("at", "word"))
+    place = F.shiftleft(F.col("at").cast("bigint"), 32).bitwiseOR(F.col("id").cast("bigint"))
+    known = places.join(when_small(vocabulary.select("lang", "word", "id")), ["lang", "word"]).groupBy("shard").agg(
+        F.collect_list(place).alias("known"))  # bounded by the words of a shard
+    limits = task_phrases, min(shard_words, PART_WORDS), segment_phrases
+    found = count_phrases(cut.select("shard", "ids").join(known, "shard"), bits, longest, lead, min_count, limits)
     phrases = written(found, "phrases")
     candidates = uncovered(scored(phrases, vocabulary), phrases, cover_percent)
 

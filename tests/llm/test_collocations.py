@@ -2,9 +2,11 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import texts
 from sql_check import compare
@@ -126,6 +128,64 @@ def test_merged():
     assert dict(zip(keys[0].tolist(), counts.tolist(), strict=True)) == want
 
 
+def peak_mb(fn):
+    """MB that numpy and Python take at most while ``fn`` runs, without what was there before."""
+    tracemalloc.start()
+    try:
+        fn()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_merged_ranges():
+    """Ranges are sorted, share no key and hold what plain counts give, whatever the keys."""
+    rng = np.random.default_rng(2)
+    for n, width in ((1, 1), (2, 1), (3, 2), (60, 1), (60, 2)):
+        tables, want = [], Counter()
+        for _ in range(n):
+            keys = [rng.integers(0, 300, rng.integers(1, 400), dtype=np.uint64) for _ in range(1)] * width
+            want.update(zip(*(k.tolist() for k in keys), strict=True))
+            tables.append(collocations.counted(list(keys)))
+        found = [(key, c) for keys, counts in collocations.merged_ranges(tables, 50)
+                 for key, c in zip(zip(*(k.tolist() for k in keys), strict=True), counts.tolist(), strict=True)]
+        assert found == sorted(want.items())
+    same = [([np.full(1, 7, np.uint64)], np.ones(1, np.int64))] * 500
+    assert [(k[0].tolist(), c.tolist()) for k, c in collocations.merged_ranges(same, 50) if len(c)] == [([7], [500])]
+
+
+@pytest.mark.parametrize("bits", [32, 40])
+def test_memory_of_counting(bits):
+    """Filters of a task, and their merge, take little more than the counters (and an order) themselves."""
+    rng, lead, n = np.random.default_rng(bits), 4, 400_000
+    ids = rng.integers(2, 60_002, n).astype("<u4")
+    known = pa.array([((np.arange(60_000) << 32) | np.arange(1, 60_001))], pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays([pa.array([ids.tobytes()], pa.binary()), known], ["ids", "known"])
+    filters = list(collocations.build_filters([batch], bits, 4, lead, 300_000, 20_000))
+    built = peak_mb(lambda: [None for _ in collocations.build_filters([batch], bits, 4, lead, 900_000, 20_000)])
+    places = 960_000 * (1 if bits == 32 else 2) * 8 / 1e6  # of a task
+    assert built < places * 2 + 20
+
+    rows = [(s, blob) for b in filters for s, blob in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    rows.sort(key=lambda r: r[0])
+    assert {s for s, _ in rows} == set(range(1 << lead))
+    ordered = pa.RecordBatch.from_arrays([pa.array([s for s, _ in rows], pa.int32()), pa.array([b for _, b in rows], pa.binary())], ["segment", "filter"])
+    merged = list(collocations.merge_filters([ordered], bits, lead, 1, 10**6))
+    got = Counter(dict(r for b in merged for r in zip(zip(*(c.to_pylist() for c in b.columns[:4]), strict=True), b.column(4).to_pylist(), strict=True)))
+    words = (ids - 1).tolist()
+    want = Counter((*words[i : i + m], *[0] * (4 - m)) for m in (2, 3, 4) for i in range(n - m + 1))
+    assert got == want
+
+
+def test_memory_of_merging():
+    """Counters are merged by ranges: beside all of them stand the sums and what one range takes."""
+    rng = np.random.default_rng(3)
+    tables = [collocations.counted([rng.integers(0, 2**62, 100_000, dtype=np.uint64)]) for _ in range(20)]
+    total = sum(len(c) for _, c in tables) * 16 / 1e6
+    assert peak_mb(lambda: [None for _ in collocations.merged_ranges(tables)]) < total
+    assert peak_mb(lambda: collocations.merged(tables)) < 3 * total
+
+
 def test_query(ready, sf_dir):
     assert compare(ready, sf_dir, "op11_collocations") > 0
     rows = [(r.lang, r.text) for r in ready.read.parquet(f"{sf_dir}/documents.parquet").collect()]
