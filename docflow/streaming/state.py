@@ -13,8 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -31,17 +30,18 @@ KINDS = ", ".join(f"{c} {'BIGINT' if c.endswith('seq') else 'STRING'}" for c in
 GIVEN = f"documentId STRING, {KINDS}, oldStage STRING, oldStatus STRING, newStage STRING, newStatus STRING"
 
 
-def _plain(row: pd.Series) -> list:
-    return [None if pd.isna(x) else int(x) if c == "seq" else x for c, x in row.items()]
+GIVEN_ROW = Row(*[c.split()[0] for c in GIVEN.split(", ")])
+FINISHED = (S.STAGE_ANNOTATE, S.SUCCEEDED)
 
 
 def _current(state: list) -> tuple:
     """Stage and status from a state; none before the first init."""
-    first, last = dict(zip(INIT, state[: len(INIT)], strict=True)), dict(zip(LAST, state[len(INIT) :], strict=True))
-    if first["seq"] is None:
+    n = len(INIT)
+    if state[0] is None:
         return None, None
-    now = last if last["seq"] is not None and last["seq"] > first["seq"] else first
-    return now["stage"], now["status"]
+    if state[n] is not None and state[n] > state[0]:
+        return state[n + LAST.index("stage")], state[n + LAST.index("status")]
+    return state[INIT.index("stage")], state[INIT.index("status")]
 
 
 class KeepState(StatefulProcessor):
@@ -54,30 +54,37 @@ class KeepState(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("state", KINDS)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        state = list(self.state.get()) if self.state.exists() else [None] * len(STATE)
-        before, n = _current(state), len(INIT)
-        for part in rows:
-            init = part["initDoc"].eq("True")
-            if init.any():
-                first = _plain(part.loc[part.loc[init, "seq"].idxmin(), INIT])
-                if state[0] is None or first[0] < state[0]:
-                    state[:n] = first
-            if not init.all():
-                last = _plain(part.loc[part.loc[~init, "seq"].idxmax(), LAST])
-                if state[n] is None or last[0] > state[n]:
-                    state[n:] = last
-        self.state.update(tuple(state))
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        # every call of the state or of a timer goes to the JVM and back, so none is made that changes nothing
+        old, n = self.state.get(), len(INIT)
+        state = [None] * len(STATE) if old is None else list(old)
+        before = _current(state)
+        first = last = None  # of rows with the same seq the one that came first
+        for row in rows:
+            seq = row.seq
+            if seq is None:
+                continue
+            if row.initDoc == "True":
+                if (state[0] if first is None else first.seq) is None or seq < (state[0] if first is None else first.seq):
+                    first = row
+            elif (state[n] if last is None else last.seq) is None or seq > (state[n] if last is None else last.seq):
+                last = row
+        if first is not None:
+            state[:n] = [first[c] for c in INIT]
+        if last is not None:
+            state[n:] = [last[c] for c in LAST]
+        if old is None or first is not None or last is not None:
+            self.state.update(tuple(state))
         after = _current(state)
         if self.keep_ms is not None:
-            for due in list(self.handle.listTimers()):
-                self.handle.deleteTimer(due)
-            if after == (S.STAGE_ANNOTATE, S.SUCCEEDED):
+            if before == FINISHED:  # only then a timer runs
+                for due in list(self.handle.listTimers()):
+                    self.handle.deleteTimer(due)
+            if after == FINISHED:
                 self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.keep_ms)
-        frame = pd.DataFrame([[key[0], *state, *before, *after]], columns=[c.split()[0] for c in GIVEN.split(", ")])
-        yield frame.astype({c: "Int64" for c in frame.columns if c.endswith("_seq")})
+        yield GIVEN_ROW(key[0], *state, *before, *after)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.state.clear()
         return iter([])
 
@@ -94,7 +101,7 @@ def states(events: DataFrame, keep_ms: int | None = None) -> DataFrame:
         # input is used up would go on with empty batches for ever, waiting for timers
         events.sparkSession.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     columns = list(dict.fromkeys(["documentId", "initDoc", *INIT, *LAST]))
-    return events.select(*columns).groupBy("documentId").transformWithStateInPandas(
+    return events.select(*columns).groupBy("documentId").transformWithState(
         KeepState(keep_ms), outputStructType=GIVEN, outputMode="Update",
         timeMode="None" if keep_ms is None else "ProcessingTime")
 

@@ -137,3 +137,50 @@ def test_lineage_stream_over_many_batches_equals_the_batch_operator(spark, tmp_p
     assert streaming.rejected_lineage(spark, table).count() == out.rejected.count() > 0
     assert len(signatures.live(spark, f"{table}/signatures")) < 8
     assert events.where(F.col("s3Event").startswith("ObjectRemoved")).count() > 6
+
+
+def test_state_is_only_asked_and_put_where_needed():
+    """Rows go in as they are; a message that changes nothing puts no state, and timers are only sought where one runs."""
+    from pyspark.sql import Row
+
+    class Fake:
+        def __init__(self):
+            self.value, self.timers, self.calls = None, [], []
+
+        def __getattr__(self, name):
+            def call(*args):
+                self.calls.append(name)
+                if name == "getValueState":
+                    return self
+                if name == "update":
+                    self.value = args[0]
+                if name == "registerTimer":
+                    self.timers.append(args[0])
+                if name == "deleteTimer":
+                    self.timers.remove(args[0])
+                return {"get": self.value, "listTimers": list(self.timers), "getCurrentProcessingTimeInMs": 100}.get(name)
+            return call
+
+    columns = ["documentId", "initDoc", *state.INIT]
+
+    def rows(*given):
+        return iter([Row(*columns)("d", init, seq, "b", "o", status_, S.STAGE_ANNOTATE, str(seq), None) for init, seq, status_ in given])
+
+    fake, keep = Fake(), state.KeepState(7)
+    keep.init(fake)
+
+    def feed(*given):
+        fake.calls.clear()
+        (out,) = keep.handleInputRows(("d",), rows(*given), fake)
+        return out.asDict()
+
+    out = feed(("True", 5, "FAILED"), (None, 3, "FAILED"), (None, None, "FAILED"), ("True", 4, "FAILED"))
+    assert (out["init_seq"], out["last_seq"], out["oldStatus"], out["newStatus"]) == (4, 3, None, "FAILED")
+    assert fake.calls == ["get", "update"]
+    feed((None, 2, "SUCCEEDED"), ("True", 9, "SUCCEEDED"))
+    assert fake.calls == ["get"]  # both came too late to count
+    out = feed((None, 8, "SUCCEEDED"), (None, 8, "FAILED"))
+    assert (out["last_seq"], out["oldStatus"], out["newStatus"]) == (8, "FAILED", "SUCCEEDED") and fake.timers == [107]
+    assert "listTimers" not in fake.calls
+    out = feed((None, 11, "FAILED"))
+    assert (out["oldStatus"], out["newStatus"]) == ("SUCCEEDED", "FAILED") and fake.timers == []
