@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from docflow import schemas as S
 from docflow.functions.text import ENTITY_PATTERNS, STOP_WORDS, sorted_map_json
 from docflow.operators import annotate, registry, routing, search, tracking
+from docflow.operators.keyed import may_be_among
 from docflow.operators.ordered import collect_in_order
 from docflow.plans import fixtures as fx
 from docflow.plans import ingest
 from docflow.plans import ocr as ocr_queries
 from docflow.plans.registry import query
-from docflow.session import scratch_dir
+from docflow.session import scratch_dir, written
 from docflow.sources import outputs
 
 # Cutting by bytes: the same rule over two hexadecimal digits per byte (20 is the space).
@@ -252,10 +253,12 @@ def document_chain(spark, d):
     # every 9th result cannot be read; the others are the responses of the documents' texts
     note = F.format_string(S.FAILED_RESULTS, "documentId", F.lit("results"), "objectName", "documentId")
     sync, job = (copies.where(F.col("route") == r) for r in ("sync", "async"))
-    read = copies.where("ok").select(F.concat(F.lit("doc-"), F.col("n").cast("string")).alias("source"), F.col("documentId").alias("owner"))
-    blocks = fx.text_blocks(spark, d).withColumnRenamed("documentId", "source").join(read, "source").withColumnRenamed(
-        "owner", "documentId").drop("source")
-    records = annotate.page_search_record(blocks)
+    read = written(copies.where("ok").select(
+        F.concat(F.lit("doc-"), F.col("n").cast("string")).alias("source"), F.col("documentId").alias("owner")), "read")
+    # records are made under the name of the response, of which only what is read; blocks need not move to get the document's id
+    blocks = may_be_among(fx.text_blocks(spark, d), read.select(F.col("source").alias("documentId")), "documentId")
+    records = written(annotate.page_search_record(blocks).withColumnRenamed("documentId", "source").join(read, "source").withColumnRenamed(
+        "owner", "documentId").drop("source"), "records")
     index = search.upsert_search_index(None, records)
     steps = [
         registry.start_analysis_events(classified),
