@@ -7,9 +7,10 @@ from collections import Counter
 
 import pytest
 from plans import nodes
+from pyspark.sql import functions as F
 
 from docflow.functions.text import key_phrases
-from docflow.operators import phrases
+from docflow.operators import keyed, phrases
 from docflow.operators.keyed import may_be_among
 from docflow.operators.search import WORD_BREAK
 
@@ -118,3 +119,14 @@ def test_a_filter_loses_no_row(spark):
     rows = spark.range(20_000).selectExpr("id", "cast(id as string) as name")
     kept = {r.id for r in may_be_among(rows, rows.where("id % 7 = 0"), "name").collect()}
     assert kept >= set(range(0, 20_000, 7)) and len(kept) < 3_000
+
+
+def test_a_filter_grows_with_what_it_holds(spark, monkeypatch):
+    """Few of the rows that are not among the others are let by, however many these are."""
+    monkeypatch.setattr(keyed, "FILTER_BITS", 16)
+    rows = spark.range(200_000).selectExpr("id", "cast(id as string) as name")
+    others = rows.where("id % 2 = 0")
+    kept = may_be_among(rows, others, "name", 100_000).agg(F.count("*").alias("n"), F.count_if(F.expr("id % 2 = 0")).alias("same")).first()
+    assert kept.same == 100_000 and kept.n < 102_000
+    monkeypatch.setattr(keyed, "MOST_FILTER_BITS", 17)  # too small: no row is lost
+    assert may_be_among(rows, others, "name", 100_000).where("id % 2 = 0").count() == 100_000
