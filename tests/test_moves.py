@@ -4,6 +4,7 @@ from plans import nodes
 from pyspark.sql import functions as F
 
 from docflow import schemas as S
+from docflow import session
 from docflow.operators import ocr
 from docflow.plans import notes
 from docflow.sources import outputs
@@ -45,3 +46,12 @@ def test_lines_are_made_once_to_be_written(spark, tmp_path):
     lines = spark.range(500).selectExpr("concat('f', id % 7) as path", "named_struct('a', id, 'b', 0L) as ord", "cast(id as string) as line")
     outputs.write_lines(lines.mapInArrow(count, lines.schema), str(tmp_path / "out"))
     assert made.value == 500 and spark.read.parquet(str(tmp_path / "out")).count() == 500
+
+
+def test_only_what_a_write_shuffled_is_deleted(spark, tmp_path):
+    """The rows of a query may be fetched one by one; a written table leaves no shuffle files."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    groups = spark.range(5000).repartition(8, "id").groupBy((F.col("id") % 50).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    before = spark.conf.get(key, "false")
+    assert session.written(groups, "groups").count() == 50 and spark.conf.get(key, "false") == before == "false"
+    assert sorted((r.k, r.n) for r in groups.toLocalIterator()) == [(k, 100) for k in range(50)]
